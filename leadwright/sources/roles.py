@@ -142,7 +142,7 @@ def role_sql(name: str, d: Dialect) -> str:
           CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE 'NATION_' || cast((c_nationkey + 7) % 25 as string) END AS wx_city,
           CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE 'NATION_' || cast((c_nationkey + 5) % 25 as string) END AS last_visit_city,
           CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE 'NATION_' || cast((c_nationkey + 17) % 25 as string) END AS mobile_city,
-          c_mktsegment AS mobile_operator,
+          CASE c_custkey % 4 WHEN 0 THEN '移动' WHEN 1 THEN '联通' WHEN 2 THEN '电信' ELSE c_mktsegment END AS mobile_operator,
           {_tag_columns()},
           cast(o.n_orders as int) AS hz_order_num, cast(o.n_filled as int) AS hz_eff_order_num,
           c_acctbal / 1000 AS hz_total_bal_amt, o.first_order AS hz_fst_join_time, o.last_order AS cf_last_donate_time,
