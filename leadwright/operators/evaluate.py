@@ -57,22 +57,19 @@ def exact_quantiles(curve: DataFrame, score: str, shares: list[float]) -> list[f
 
     Only the scores that cover the asked positions leave the cluster: at most two per share.
     """
-    total = curve.select("total_n").first()
-    if total is None:
+    last = F.col("total_n") - 1
+    positions = F.array(*[f(F.lit(q) * last).cast("bigint") for q in shares for f in (F.floor, F.ceil)])
+    covers = F.exists(positions, lambda p: (p >= F.col("cum_n") - F.col("n")) & (p < F.col("cum_n")))
+    cells = curve.where(covers).select(score, "n", "cum_n", "total_n").collect()
+    if not cells:
         return []
-    n = total[0]
-    wanted = [q * (n - 1) for q in shares]
-    positions = sorted({p for w in wanted for p in (math.floor(w), math.ceil(w))})
-    covers = F.lit(False)
-    for p in positions:
-        covers = covers | ((F.col("cum_n") - F.col("n") <= p) & (F.col("cum_n") > p))
-    cells = curve.where(covers).select(score, "n", "cum_n").collect()
 
     def value(p: int) -> float:
         return next(float(c[score]) for c in cells if c["cum_n"] - c["n"] <= p < c["cum_n"])
 
     out = []
-    for w in wanted:
+    for q in shares:
+        w = q * (cells[0]["total_n"] - 1)
         low, high = value(math.floor(w)), value(math.ceil(w))
         out.append(low + (high - low) * (w - math.floor(w)))
     return out

@@ -25,11 +25,16 @@ MAX_SLICES = 256
 
 @dataclass(frozen=True)
 class Source:
-    """Events with a time column and measures ``name -> (how, column)``; how is sum, min, max or last."""
+    """Events with a time column and measures ``name -> (how, column)``; how is sum, min, max or last.
+
+    ``size_of`` is a cheaper frame to count keys in (key and time column only) when ``df`` is itself the
+    result of shuffles; it may hold more rows than ``df``.
+    """
 
     df: DataFrame
     ts: str
     measures: dict[str, tuple[str, Column]]
+    size_of: tuple[DataFrame, str] | None = None
 
 
 _RUNNING = {
@@ -133,7 +138,11 @@ def point_in_time(
     events = events.withColumn("_kind", F.lit(event_kind))
 
     partition = ["_k"]
-    cuts = hot_key_cuts(asked.select("_k", "_ts").union(events.select("_k", "_ts")), "_k", "_ts", max_rows)
+    sizes = probes.select(F.col(key).alias("_k"), F.col(at).alias("_ts"))
+    for source in sources:
+        df, ts = source.size_of or (source.df, source.ts)
+        sizes = sizes.union(df.select(as_col(key).alias("_k"), as_col(ts).alias("_ts")))
+    cuts = hot_key_cuts(sizes.where(F.col("_k").isNotNull()), "_k", "_ts", max_rows)
     if cuts is not None:
         partition = ["_k", "_slice"]
         # Copies of one instant are folded on the map side, so that no slice is made of them.

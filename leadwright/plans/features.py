@@ -18,6 +18,7 @@ from leadwright.functions.columns import (
     category_map, city_class, days_between, fill_nulls, flag, moved_up, text_flag, to_day, to_long, url_tail,
 )
 from leadwright.operators.temporal import Source, conversion_labels, first_by, latest_by, point_in_time
+from leadwright.session import materialise
 
 Sources = dict[str, DataFrame]
 
@@ -220,20 +221,24 @@ def add_user_agent(leads: DataFrame, ua: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- 05 product pages
-def product_page_views(actions: DataFrame, span: Span, codes: list[str] = fx.PRODUCT_CODES) -> DataFrame:
+def page_view_rows(actions: DataFrame, span: Span, codes: list[str] = fx.PRODUCT_CODES) -> DataFrame:
     code = url_tail("current_original_path")
-    return (
-        actions.where(
-            F.col("dt").between(span.views_from, span.snapshot) & (F.col("biz") == fx.PAGE_BIZ)
-            & F.col("operation").isin(fx.PAGE_OPERATION) & (F.col("user_id") != 0) & code.isin(codes)
-        )
-        .select("user_id", "operation_time", code.alias("produ_no"))
-        .distinct()
-    )
+    return actions.where(
+        F.col("dt").between(span.views_from, span.snapshot) & (F.col("biz") == fx.PAGE_BIZ)
+        & F.col("operation").isin(fx.PAGE_OPERATION) & (F.col("user_id") != 0) & code.isin(codes)
+    ).select("user_id", "operation_time", code.alias("produ_no"))
+
+
+def product_page_views(actions: DataFrame, span: Span, codes: list[str] = fx.PRODUCT_CODES) -> DataFrame:
+    return page_view_rows(actions, span, codes).distinct()
+
+
+def is_gift_order() -> Column:
+    return (F.col("order_type") == 1) & (F.col("policy_no") != "")
 
 
 def gift_orders(orders: DataFrame) -> DataFrame:
-    return orders.where((F.col("order_type") == 1) & (F.col("policy_no") != ""))
+    return orders.where(is_gift_order())
 
 
 # ---------------------------------------------------------------- 03, 04, 05.2, 07 point-in-time features
@@ -254,23 +259,27 @@ def timeline_sources(src: Sources, span: Span, groups: list[str]) -> list[Source
     """Event sources of the asked feature groups, for one shared timeline."""
     out = [Source(src[VISITS[g][0]], "last_visit_time", {f"_{g}": ("last", _visit_row(g))}) for g in groups if g in VISITS]
     if "views" in groups:
-        views = product_page_views(src["user_action"], span)
+        # Both folds below drop repeated rows themselves, so the views need no distinct of their own.
+        views = page_view_rows(src["user_action"], span)
         moments = views.groupBy("user_id", "operation_time").agg(F.lit(1).alias("one"))
         products = views.groupBy("user_id", "produ_no").agg(F.min("operation_time").alias("first_seen"))
         out.append(Source(moments, "operation_time", {
             "_views": ("sum", F.col("one")), "_first_view": ("min", F.col("operation_time")),
-            "_last_view": ("max", F.col("operation_time"))}))
-        out.append(Source(products, "first_seen", {"_products": ("sum", F.lit(1))}))
+            "_last_view": ("max", F.col("operation_time"))}, size_of=(views, "operation_time")))
+        out.append(Source(products, "first_seen", {"_products": ("sum", F.lit(1))}, size_of=(views, "operation_time")))
     if "gifts" in groups:
-        gifts = gift_orders(src["ins_order"]).groupBy("user_id", "id").agg(F.min("create_time").alias("create_time"))
-        out.append(Source(gifts, "create_time", {"_gifts": ("sum", F.lit(1))}))
+        rows = gift_orders(src["ins_order"])
+        gifts = rows.groupBy("user_id", "id").agg(F.min("create_time").alias("create_time"))
+        out.append(Source(gifts, "create_time", {"_gifts": ("sum", F.lit(1))}, size_of=(rows, "create_time")))
+    # The order table is read once for the order history and the latest gift order's channel.
+    of_orders = {}
     if "orders" in groups:
-        out.append(Source(src["ins_order"], "create_time", {
-            "cnt": ("sum", F.when(F.col("order_no").isNotNull(), 1).otherwise(0)),
-            "money": ("sum", F.col("money")), "origin": ("sum", F.col("origin"))}))
+        of_orders |= {"cnt": ("sum", F.when(F.col("order_no").isNotNull(), 1).otherwise(0)),
+                      "money": ("sum", F.col("money")), "origin": ("sum", F.col("origin"))}
     if "channel" in groups:
-        out.append(Source(gift_orders(src["ins_order"]), "create_time", {
-            "_order": ("last", F.struct("create_time", "id", "channel"))}))
+        of_orders["_order"] = ("last", F.when(is_gift_order(), F.struct("create_time", "id", "channel")))
+    if of_orders:
+        out.append(Source(src["ins_order"], "create_time", of_orders))
     if "shares" in groups:
         out.append(Source(src["share_action"], "time", {
             "share_cnt": ("sum", F.lit(1)), "_last_share": ("max", F.col("time"))}))
@@ -284,7 +293,7 @@ def week_before(at: Column) -> Column:
     return F.date_sub(to_day(at), 7).cast("timestamp_ntz")
 
 
-ALL_GROUPS = ["cf", "hz", "bao", "views", "gifts", "orders", "channel", "shares", "app"]
+FINAL_GROUPS = ["cf", "hz", "bao", "views", "gifts", "channel", "shares", "app"]
 
 
 def add_point_in_time(leads: DataFrame, src: Sources, span: Span, groups: list[str]) -> DataFrame:
@@ -371,9 +380,9 @@ def finish(df: DataFrame, unknown_label: str) -> DataFrame:
 
 def feature_table(src: Sources, span: Span, tiers: Tiers = DEFAULT_TIERS, leads: DataFrame | None = None) -> DataFrame:
     """One row per lead, plus the allocation time and the last visit time for ranking."""
-    base = lead_base(src, span) if leads is None else leads
+    base = materialise(lead_base(src, span), "lead_base") if leads is None else leads
     base = base.drop("channel_type", "channel", "subchannel")
-    rows = add_point_in_time(base, src, span, ALL_GROUPS)
+    rows = add_point_in_time(base, src, span, FINAL_GROUPS)
     rows = add_follow_tags(add_user_agent(add_tags(rows, src["user_tag"], tiers), src["user_ua"]), src["wx_detail"], span)
     rows = rows.withColumns(channel_maps()).withColumn(
         "last_visit_time", F.greatest(*[F.col(f"last_visit_time_{g}") for g in VISITS])

@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame
 from leadwright.functions import fixed_values as fx
 from leadwright.operators import scorecard as sc
 from leadwright.plans import features as ft
-from leadwright.session import materialise
 
 OUTPUT = ["total_score", "user_id", "task_id", fx.TARGET, "last_visit_time"]
 
@@ -18,7 +17,6 @@ def daily_scoring(
 ) -> DataFrame:
     """Ranked leads from the source roles. Only the columns the rules use survive in the plan."""
     spark = src["crm_task"].sparkSession
-    leads = materialise(ft.lead_base(src, span), "lead_base")
-    features = ft.feature_table(src, span, tiers, leads)
+    features = ft.feature_table(src, span, tiers)
     scored = sc.score(sc.eligible(features), sc.deployed_rules(spark) if rules is None else rules, base)
     return sc.rank_leads(scored.select(*OUTPUT), recency="last_visit_time", ids=["user_id", "task_id"])

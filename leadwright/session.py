@@ -23,7 +23,9 @@ def build_session(app_name: str = "leadwright", master: str | None = None, **con
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    builder = builder.config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false")
+    builder = builder.config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false").config(
+        "spark.ui.showConsoleProgress", "false"
+    )
     for name, value in conf.items():
         builder = builder.config(name.replace("_", "."), value)
     return tune(builder.getOrCreate())

@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 @dataclass(frozen=True)
@@ -168,15 +168,21 @@ def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A role as a lazy DataFrame over the given Parquet tables."""
+def role(spark: SparkSession, sf_dir: str, name: str, opened: dict[str, DataFrame] | None = None) -> DataFrame:
+    """A role as a lazy DataFrame over the given Parquet tables; ``opened`` holds tables opened before."""
     sql = role_sql(name, SPARK)
-    tables = {t: given(spark, sf_dir, t) for t in set(_GIVEN.findall(sql))}
+    opened = {} if opened is None else opened
+    tables = {}
+    for table in sorted(set(_GIVEN.findall(sql))):
+        if table not in opened:
+            opened[table] = given(spark, sf_dir, table)
+        tables[table] = opened[table]
     return spark.sql(_GIVEN.sub(r"{\1}", sql), **tables)
 
 
 def load_roles(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: role(spark, sf_dir, name) for name in ROLES}
+    opened: dict[str, DataFrame] = {}
+    return {name: role(spark, sf_dir, name, opened) for name in ROLES}
 
 
 def duck_role(name: str) -> str:
@@ -196,8 +202,6 @@ def stamped_sql(name: str, d: Dialect) -> str:
 
 def snapshots(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A role as a table of full daily snapshots, one per stamp."""
-    from pyspark.sql import functions as F
-
     rows = role(spark, sf_dir, name)
     parts = [rows.where(F.col("dt") <= F.lit(day).cast("date")).withColumn("dt", F.lit(day).cast("date"))
              for day in STAMPS]
