@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from leadwright.functions import fixed_values as fx
 from leadwright.operators.evaluate import auc_ks
-from leadwright.operators.woe import Bin, by_variable, pick
+from leadwright.operators.woe import MAX_BINS_TOTAL, Bin, by_variable, pick
 
 # Share put in place of an empty bin, so that the index stays finite.
 EMPTY_SHARE = 1e-4
@@ -53,8 +53,10 @@ def new_categories(df: DataFrame, known: dict[str, list[str]], min_share: float
     cells = F.array(*[F.struct(F.lit(v).alias("variable"), F.col(v).cast("string").alias("category")) for v in known])
     counts = df.select(F.explode(cells).alias("c")).groupBy("c.variable", "c.category").agg(F.count(F.lit(1)).alias("n"))
     totals = counts.groupBy("variable").agg(F.sum("n").alias("_all"))
-    covered = df.sparkSession.createDataFrame(
-        [(v, c) for v, cs in known.items() for c in cs], "variable string, category string")
+    pairs = [(v, c) for v, cs in known.items() for c in cs]
+    if len(pairs) > MAX_BINS_TOTAL:
+        raise ValueError(f"more than {MAX_BINS_TOTAL} known categories")
+    covered = df.sparkSession.createDataFrame(pairs, "variable string, category string")
     fresh = counts.where(F.col("category").isNotNull()).join(F.broadcast(covered), ["variable", "category"], "left_anti")
     shares = fresh.join(totals, "variable").withColumn("share", F.col("n") / F.col("_all"))
     return shares.where(F.col("share") >= min_share).select("variable", "category", "n", "share")

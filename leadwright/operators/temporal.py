@@ -18,9 +18,9 @@ from leadwright.functions.columns import as_col, days_between
 
 # A key with more timeline rows than this is cut into slices.
 HOT_ROWS = 5_000_000
-# Bounds of the cut table that is broadcast: 1000 keys x 255 cuts x 8 bytes = 2 MB.
-MAX_HOT_KEYS = 1000
-MAX_SLICES = 256
+# Bounds of the cut table that is broadcast: 500 keys x 4095 cuts x 8 bytes = 16 MB at most.
+MAX_HOT_KEYS = 500
+MAX_SLICES = 4096
 
 
 @dataclass(frozen=True)
@@ -70,17 +70,21 @@ def hot_key_cuts(rows: DataFrame, key: str, ts: str, max_rows: int = HOT_ROWS) -
     cuts = (
         rows.join(F.broadcast(keys), key)
         .groupBy(key)
-        .agg(F.percentile_approx(ts, shares).alias("_cuts"))
+        .agg(F.percentile_approx(ts, shares, 10 * slices).alias("_cuts"))
     )
     found = cuts.collect()  # fixed values from here on: every reader of the cuts sees the same slices
     return rows.sparkSession.createDataFrame(found, cuts.schema)
 
 
 def _add_slices(rows: DataFrame, cuts: DataFrame) -> DataFrame:
-    number = F.when(F.col("_cuts").isNull(), 0).otherwise(
-        F.size(F.filter("_cuts", lambda cut: cut <= F.col("_ts")))
-    )
-    return rows.join(F.broadcast(cuts), "_k", "left").withColumn("_slice", number).drop("_cuts")
+    """Slice number = cuts at or before the row's time, found in two steps of about sqrt(cuts) each."""
+    longest = cuts.agg(F.max(F.size("_cuts"))).first()[0]
+    step = max(1, math.isqrt(longest))
+    table = cuts.withColumn("_coarse", F.filter("_cuts", lambda cut, i: (i + 1) % step == 0))
+    passed = F.size(F.filter("_coarse", lambda cut: cut <= F.col("_ts"))) * step
+    rest = F.filter(F.slice("_cuts", passed + 1, F.lit(step - 1)), lambda cut: cut <= F.col("_ts"))
+    number = F.when(F.col("_cuts").isNull(), 0).otherwise(passed + (F.size(rest) if step > 1 else 0))
+    return rows.join(F.broadcast(table), "_k", "left").withColumn("_slice", number).drop("_cuts", "_coarse")
 
 
 def _carries(events: DataFrame, cuts: DataFrame, measures: dict[str, str]) -> DataFrame:

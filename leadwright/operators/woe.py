@@ -161,8 +161,10 @@ def _fine_counts(df: DataFrame, variables: dict[str, str], target: str, n_fine:
     shares = [i / n_fine for i in range(1, n_fine)]
     edges = {}
     if numeric:
-        found = df.agg(*[F.percentile_approx(F.col(v).cast("double"), shares).alias(v) for v in numeric]).first()
-        edges = {v: sorted(set(found[v] or [])) for v in numeric}
+        # Sketches are merged in a tree, not in one task; their error is a twentieth of a cell.
+        doubles = df.select(*[F.col(v).cast("double").alias(v) for v in numeric])
+        found = doubles.approxQuantile(numeric, shares, 1 / (20 * n_fine))
+        edges = {v: sorted(set(e)) for v, e in zip(numeric, found)}
 
     def cell(v: str) -> Column:
         if variables[v] == "category":

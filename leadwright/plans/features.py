@@ -17,6 +17,7 @@ from leadwright.functions import fixed_values as fx
 from leadwright.functions.columns import (
     category_map, city_class, days_between, fill_nulls, flag, moved_up, text_flag, to_day, to_long, url_tail,
 )
+from leadwright.operators.joins import left_join_many
 from leadwright.operators.temporal import Source, conversion_labels, first_by, latest_by, point_in_time
 from leadwright.session import materialise
 
@@ -153,7 +154,7 @@ def label_groups(src: Sources, span: Span) -> DataFrame:
     attributes = ["task_id", *LEAD_COLUMNS]
     agents = tasks.groupBy(*attributes).agg(F.count(F.lit(1)).alias("_agents"))
     delay = days_between("policy_time", "alloc_date")
-    joined = agents.join(counted_policies(src["policy_order"], span), "task_id", "left")
+    joined = left_join_many(agents, counted_policies(src["policy_order"], span), ["task_id"])
     for h in fx.LABEL_HORIZONS:
         joined = joined.withColumn(f"t{h}_policy_flag", flag(delay <= h))
     flags = [f"t{h}_policy_flag" for h in fx.LABEL_HORIZONS]

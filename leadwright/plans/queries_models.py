@@ -148,8 +148,15 @@ def woe_auto_bins(spark, sf):
 
 
 # ---------------------------------------------------------------- model
+_TRAINED: dict = {}
+
+
 def trained(spark, sf):
-    return train_scorecard(feature_stage(spark, sf))
+    """One training run per session and input: the three queries below report parts of it."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _TRAINED:
+        _TRAINED[key] = train_scorecard(feature_stage(spark, sf))
+    return _TRAINED[key]
 
 
 @query("l1_fit")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from leadwright.functions import fixed_values as fx
 from leadwright.functions.columns import category_map, city_class, days_between, text_flag, to_day, to_long, url_tail
 from leadwright.operators import temporal as tp
+from leadwright.operators.joins import left_join_many
 from leadwright.operators.ordered import number_rows_by
 from leadwright.plans import features as ft
 from leadwright.plans import oracle as oc
@@ -116,7 +117,8 @@ def filter_known_city(spark, sf):
        "ON p.task_id = t.task_id")
 def join_task_policy(spark, sf):
     policies = ft.counted_policies(role(spark, sf, "policy_order"), SPAN)
-    return role(spark, sf, "crm_task").join(policies, "task_id", "left").select("task_id", "agent_name", "policy_no", "policy_time")
+    joined = left_join_many(role(spark, sf, "crm_task"), policies, ["task_id"])
+    return joined.select("task_id", "agent_name", "policy_no", "policy_time")
 
 
 @query("first_clue_channel", "SELECT task_id, target_user_mobile, channel, subchannel, channel_type FROM leads0 "
