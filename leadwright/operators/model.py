@@ -12,6 +12,7 @@ from leadwright.functions import fixed_values as fx
 from leadwright.operators.ordered import running_sums
 
 INTERCEPT = "(intercept)"
+MAX_CLASSES = 100
 
 
 def draw(columns: list[str], seed: int) -> Column:
@@ -22,11 +23,24 @@ def draw(columns: list[str], seed: int) -> Column:
 def split_stratified(
     df: DataFrame, ids: list[str], target: str, ratio: float = fx.SPLIT_RATIO, seed: int = fx.SPLIT_SEED
 ) -> DataFrame:
-    """Add ``part``: exactly round(ratio * n) rows of each class are 'train', the rest 'test'."""
-    drawn = df.withColumns({"_draw": draw(ids, seed), "_one": F.lit(1), "_class": F.coalesce(F.col(target), F.lit(-1))})
-    numbered = running_sums(drawn, ["_class"], ["_draw", *ids], {"one": "_one"})
-    train = F.col("cum_one") <= F.round(F.col("total_one") * ratio)
-    return numbered.withColumn("part", F.when(train, "train").otherwise("test")).select(*df.columns, "part")
+    """Add ``part``: exactly round(ratio * n) rows of each class are 'train', the rest 'test'.
+
+    Only ids, class and draw are sorted; from that, one boundary row per class (two for a binary target)
+    becomes a condition on the rows, so the wide rows are never shuffled. ``ids`` must tell the rows apart.
+    """
+    group = F.coalesce(F.col(target).cast("int"), F.lit(-1))
+    narrow = df.select(group.alias("_class"), draw(ids, seed).alias("_draw"), *ids, F.lit(1).alias("_one"))
+    numbered = running_sums(narrow, ["_class"], ["_draw", *ids], {"one": "_one"})
+    last = numbered.where(F.col("cum_one") == F.round(F.col("total_one") * ratio))
+    bounds = last.select("_class", "_draw", *ids).limit(MAX_CLASSES + 1).collect()
+    if len(bounds) > MAX_CLASSES:
+        raise ValueError(f"{target} has more than {MAX_CLASSES} classes")
+    train = F.lit(False)
+    place = F.struct(draw(ids, seed).alias("_draw"), *ids)
+    for b in bounds:
+        bound = F.struct(F.lit(b["_draw"]).alias("_draw"), *[F.lit(b[i]).cast(df.schema[i].dataType).alias(i) for i in ids])
+        train = train | ((group == b["_class"]) & (place <= bound))
+    return df.withColumn("part", F.when(train, "train").otherwise("test"))
 
 
 def split_out_of_time(df: DataFrame, day: str, cut: str) -> DataFrame:

@@ -62,4 +62,4 @@ def running_sums(df: DataFrame, by: list[str], order: list[Column | str], sums:
 def number_rows_by(df: DataFrame, by: str, order: list[Column | str], name: str) -> DataFrame:
     """row_number() per key that also splits a key holding a large share of all rows."""
     numbered = running_sums(df.withColumn("_one", F.lit(1)), [by], order, {"one": "_one"})
-    return numbered.withColumn(name, F.col("cum_one").cast("int")).drop("_one", "cum_one", "total_one")
+    return numbered.withColumn(name, F.col("cum_one")).drop("_one", "cum_one", "total_one")

@@ -70,8 +70,7 @@ def scorecard(
 
 def compile_rules(rules: DataFrame) -> tuple[dict[str, Column], int]:
     """Rule table to one points column per variable, and the base points. A value outside all rules gets 0."""
-    bins = collect_bins(rules)
-    points = {(r.variable, r.bin_id): r.points for r in rules.select("variable", "bin_id", "points").collect()}
+    bins, points = collect_bins(rules, "points")
     base = points.get((BASE, 0), 0)
     return {
         v: pick(bs, [points[v, b.bin_id] for b in bs], 0).cast("int")
@@ -90,7 +89,9 @@ def score(df: DataFrame, rules: DataFrame, base: int | None = None) -> DataFrame
 
 def score_by_join(df: DataFrame, rules: DataFrame, ids: list[str], base: int) -> DataFrame:
     """Total score through a join with the rule table instead of compiled expressions."""
-    bins = by_variable(collect_bins(rules))  # also checks that the table is small enough to broadcast
+    found, points = collect_bins(rules, "points")  # also checks that the table is small enough to broadcast
+    rules = rules_frame(df.sparkSession, [(b, points[b.variable, b.bin_id]) for b in found])
+    bins = by_variable(found)
     text = {v for v, bs in bins.items() if any(b.kind == "category" for b in bs)}
     cells = F.array(*[
         F.struct(
@@ -114,9 +115,9 @@ def score_by_join(df: DataFrame, rules: DataFrame, ids: list[str], base: int) ->
 
 def rules_sql(rules: DataFrame) -> dict[str, str]:
     """The compiled rules as SQL text, one expression per variable, for a reader outside Spark."""
-    points = {(r.variable, r.bin_id): r.points for r in rules.select("variable", "bin_id", "points").collect()}
+    found, points = collect_bins(rules, "points")
     out = {}
-    for v, bs in by_variable([b for b in collect_bins(rules) if b.variable != BASE]).items():
+    for v, bs in by_variable([b for b in found if b.variable != BASE]).items():
         tests = []
         for b in bs:
             if b.kind == "missing":

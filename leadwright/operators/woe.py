@@ -75,12 +75,15 @@ def bins_frame(spark: SparkSession, bins: list[Bin]) -> DataFrame:
     return spark.createDataFrame([b.row() for b in bins], BIN_FIELDS)
 
 
-def collect_bins(bins: DataFrame) -> list[Bin]:
-    rows = bins.select("variable", "bin_id", "bin", "kind", "lo", "hi", "categories").limit(MAX_BINS_TOTAL + 1).collect()
+def collect_bins(bins: DataFrame, value: str) -> tuple[list[Bin], dict[tuple[str, int], float]]:
+    """The bins and one value per bin, in a single job; the size of the table is checked."""
+    fields = ["variable", "bin_id", "bin", "kind", "lo", "hi", "categories", value]
+    rows = bins.select(*fields).limit(MAX_BINS_TOTAL + 1).collect()
     if len(rows) > MAX_BINS_TOTAL:
         raise ValueError(f"more than {MAX_BINS_TOTAL} bins")
-    return [Bin(r.variable, r.bin_id, r.bin, r.kind, r.lo, r.hi, tuple(r.categories) if r.categories else None)
-            for r in sorted(rows, key=lambda r: (r.variable, r.bin_id))]
+    rows.sort(key=lambda r: (r.variable, r.bin_id))
+    found = [Bin(r.variable, r.bin_id, r.bin, r.kind, r.lo, r.hi, tuple(r.categories) if r.categories else None) for r in rows]
+    return found, {(r.variable, r.bin_id): r[value] for r in rows}
 
 
 def by_variable(bins: list[Bin]) -> dict[str, list[Bin]]:
@@ -145,11 +148,9 @@ def monotonicity(bins: DataFrame) -> DataFrame:
 def apply_woe(df: DataFrame, bins: DataFrame, keep: list[str]) -> DataFrame:
     """Replace each binned variable by ``<variable>_woe``: one projection, no join and no shuffle.
     A value outside all bins gets 0."""
-    rows = bins.select("variable", "bin_id", "woe").limit(MAX_BINS_TOTAL + 1).collect()
-    woe = {(r.variable, r.bin_id): r.woe for r in rows}
+    found, woe = collect_bins(bins, "woe")
     columns = [
-        pick(bs, [woe[v, b.bin_id] for b in bs], 0.0).alias(f"{v}_woe")
-        for v, bs in by_variable(collect_bins(bins)).items()
+        pick(bs, [woe[v, b.bin_id] for b in bs], 0.0).alias(f"{v}_woe") for v, bs in by_variable(found).items()
     ]
     return df.select(*keep, *columns)
 

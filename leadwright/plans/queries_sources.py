@@ -287,8 +287,8 @@ def product_page_views(spark, sf):
 
 
 # ---------------------------------------------------------------- windows and scalar functions
-@query("call_sequence", "SELECT call_id, mobile, start_time, CAST(row_number() OVER (PARTITION BY mobile ORDER BY start_time, call_id) "
-       "AS INTEGER) AS callnum FROM call_record")
+@query("call_sequence", "SELECT call_id, mobile, start_time, row_number() OVER (PARTITION BY mobile ORDER BY start_time, call_id) "
+       "AS callnum FROM call_record")
 def call_sequence(spark, sf):
     calls = role(spark, sf, "call_record").select("call_id", "mobile", "start_time")
     return number_rows_by(calls, "mobile", ["start_time", "call_id"], "callnum")

@@ -23,25 +23,36 @@ class Trained:
     test_woe: DataFrame
 
 
+NOT_FEATURES = [*fx.ID_COLUMNS, *fx.NOT_BINNED, "alloc_time", "last_visit_time"]
+
+
 def train_scorecard(
     rows: DataFrame,
     target: str = fx.TARGET,
     ids: list[str] = ("task_id",),
     breaks: dict[str, list] = fx.BREAKS,
+    skip: list[str] = NOT_FEATURES,
     features: list[str] | None = None,
     min_iv: float = 0.0,
     C: float = fx.L1_C,
+    test_from: str | None = None,
 ) -> Trained:
-    """Train on the 70 % part. ``features`` (variable names) overrides the selection by non-zero coefficient."""
-    variables = [v for v in breaks if v in rows.columns]
-    others = [v for v in (features or []) if v not in variables]
-    split = md.split_stratified(rows.select(*ids, target, *variables, *others), list(ids), target)
-    split = materialise(split, "split")
+    """Bins of every column not skipped (manual where ``breaks`` names it), L1 fit over all of them, then the
+    final fit on ``features`` (variable names) or, by default, on those with a non-zero coefficient.
+
+    The test part is 30 % of each class, or with ``test_from`` the leads allocated from that day on.
+    """
+    if test_from is None:
+        split = md.split_stratified(rows, list(ids), target)
+    else:
+        split = md.split_out_of_time(rows, "alloc_date", test_from)
+    variables = [c for c in rows.columns if c not in skip and c != target and c not in ids]
+    split = materialise(split.select(*ids, target, *variables, "part"), "split")
     train, test = (split.where(F.col("part") == part).drop("part") for part in ("train", "test"))
     bins = materialise(wo.fit_bins(train, target, breaks, skip=list(ids)), "bins")
     if min_iv > 0:
         bins = bins.join(wo.information_value(bins, min_iv).select("variable"), "variable", "left_semi")
-    train_woe = wo.apply_woe(train, bins, [*ids, target])
+    train_woe = materialise(wo.apply_woe(train, bins, [*ids, target]), "train_woe")
     test_woe = wo.apply_woe(test, bins, [*ids, target])
     names = [c for c in train_woe.columns if c.endswith("_woe")]
     _, first = md.fit_l1(train_woe, names, target, C)

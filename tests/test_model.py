@@ -75,3 +75,14 @@ def test_training_run_closes_the_loop(spark, small):
     assert n_train + n_test == rows.count()
     scored = sc.score(rows, trained.rules)
     assert scored.where(F.col("total_score").isNull()).count() == 0
+
+
+def test_out_of_time_training(spark, small):
+    rows = rg.feature_stage(spark, small)
+    trained = train_scorecard(rows, features=fx.SELECTED, C=10.0, test_from="2024-01-20")
+    cut = F.lit("2024-01-20").cast("date")
+    assert trained.train_woe.count() == rows.where(F.col("alloc_date") < cut).count()
+    assert trained.test_woe.count() == rows.where(F.col("alloc_date") >= cut).count()
+    binned = {r.variable for r in trained.bins.select("variable").distinct().collect()}
+    assert {"is_add_hz_flag", "follow_tag", "visit_cnt_cf", *fx.BREAKS} - {"alloc_date"} <= binned
+    assert not binned & set(fx.NOT_BINNED)
