@@ -6,12 +6,17 @@ bin table, a few rows per variable, is ever handled as a whole.
 
 from __future__ import annotations
 
+import sys
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
+# The split search runs in Python workers; sent by value, it needs no installed package there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MISSING = "missing"
 # Count put in place of an empty positive or negative cell, so that every WOE is finite.
 EMPTY_CELL = 0.9

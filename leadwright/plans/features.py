@@ -106,13 +106,14 @@ def call_flags(leads: DataFrame, calls: DataFrame, span: Span, mode: str) -> Dat
         F.min(F.when(not_like_service(), F.col("start_time"))).alias("_through"),
         F.min(F.when(not_in_service() & after, F.col("start_time"))).alias("_first"),
     )
+    # Matched on the narrow call table, so that the leads keep their partitioning by task.
     firsts = mobile_first_calls(calls).select("task_id", F.col("start_time").alias("_first"), F.lit(1).alias("_seen"))
+    marked = per_task.join(firsts, ["task_id", "_first"], "left").select("task_id", "_through", "_seen")
     return (
-        leads.join(per_task, "task_id", "left")
-        .join(firsts, ["task_id", "_first"], "left")
+        leads.join(marked, "task_id", "left")
         .withColumn("through_flag", flag(F.col("_through") > F.col("alloc_time")))
         .withColumn("fst_through_flag", flag(F.col("_seen") == 1))
-        .drop("_through", "_first", "_seen")
+        .drop("_through", "_seen")
     )
 
 
@@ -135,8 +136,12 @@ def first_clue(clues: DataFrame) -> DataFrame:
 
 
 def lead_base(src: Sources, span: Span) -> DataFrame:
-    """One row per campaign task: allocation, call flags, conversion labels, first clue channel."""
-    leads = one_row_per_task(campaign_tasks(src["crm_task"], span))
+    """One row per campaign task: allocation, call flags, conversion labels, first clue channel.
+
+    The campaign's tasks are written first: calls and policies are both matched against them, and the full
+    task snapshot is then read once.
+    """
+    leads = materialise(one_row_per_task(campaign_tasks(src["crm_task"], span)), "tasks")
     flagged = call_flags(leads, src["call_record"], span, "lead")
     labels = conversion_labels(leads, counted_policies(src["policy_order"], span), "task_id", "alloc_date",
                                "policy_time", "policy_no", "origin", fx.LABEL_HORIZONS, lower=0)
@@ -147,10 +152,10 @@ def lead_base(src: Sources, span: Span) -> DataFrame:
     )
 
 
-def label_groups(src: Sources, span: Span) -> DataFrame:
+def label_groups(src: Sources, span: Span, tasks: DataFrame | None = None) -> DataFrame:
     """Label table at the original grain: one row per task and pair of label flags, policies before the
     allocation counted as early ones, amounts counted once per agent of the task."""
-    tasks = campaign_tasks(src["crm_task"], span).distinct()
+    tasks = campaign_tasks(src["crm_task"], span).distinct() if tasks is None else tasks
     attributes = ["task_id", *LEAD_COLUMNS]
     agents = tasks.groupBy(*attributes).agg(F.count(F.lit(1)).alias("_agents"))
     delay = days_between("policy_time", "alloc_date")
@@ -449,16 +454,17 @@ def latest_order_channels(orders: DataFrame) -> DataFrame:
 
 def feature_table_reference(src: Sources, span: Span, tiers: Tiers = DEFAULT_TIERS) -> DataFrame:
     """The original result, one row per user and task, without the joins that multiply rows."""
-    labels = label_groups(src, span)
+    leads = materialise(campaign_tasks(src["crm_task"], span).distinct(), "tasks")
+    labels = label_groups(src, span, leads)
     kept = ["target_user_mobile", "alloc_date", "first_chance_name", "agent_type", "t14_policy_flag"]
     tasks = labels.groupBy("user_id", "task_id").agg(*[F.max(c).alias(c) for c in kept])
-    leads = campaign_tasks(src["crm_task"], span)
     users = user_level_features(leads, src, span)
+    last_days = leads.groupBy("user_id").agg(F.max("alloc_date").alias("_max_day"))
     shares = src["share_action"].where(F.col("dt") == F.lit(span.snapshot).cast("date")).groupBy("user_id").agg(
         F.max("time").alias("_last_share"))
     apps = src["app_tag"].groupBy("user_id").agg(F.max("last_appstart_op_time").alias("_app_start"))
     rows = tasks
-    for part in (users, gift_counts_by_user(users, src["ins_order"]), latest_order_channels(src["ins_order"]), shares, apps):
+    for part in (users, gift_counts_by_user(last_days, src["ins_order"]), latest_order_channels(src["ins_order"]), shares, apps):
         rows = rows.join(part, "user_id", "left")
     rows = add_user_agent(add_tags(rows, src["user_tag"], tiers), src["user_ua"])
     rows = add_follow_tags(rows, src["wx_detail"], span, "_max_day")

@@ -111,3 +111,17 @@ def test_too_many_categories_are_refused(spark):
 def test_break_list_covers_the_named_variables():
     assert len(fx.BREAKS) == 27
     assert {b.variable for b in wo.bins_from_breaks(fx.BREAKS)} == set(fx.BREAKS)
+
+
+def test_split_search_runs_without_the_package(tmp_path):
+    """Python workers need not find this package: the function travels by value."""
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    (tmp_path / "f").write_bytes(cloudpickle.dumps(wo.best_splits))
+    code = ("import pickle, numpy as np; f = pickle.load(open('f', 'rb')); "
+            "print(f(np.array([50., 50.]), np.array([5., 40.]), 4, 0.05, 0.1))")
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True)
+    assert out.stdout.strip() == "[1]"
