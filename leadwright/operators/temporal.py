@@ -16,8 +16,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from leadwright.functions.columns import as_col, days_between
 
-# A key with more timeline rows than this is cut into slices.
+# A key with more timeline rows than this is cut into slices; a session may set its own limit.
 HOT_ROWS = 5_000_000
+HOT_ROWS_SETTING = "leadwright.hotRows"
 # Bounds of the cut table that is broadcast: 500 keys x 4095 cuts x 8 bytes = 16 MB at most.
 MAX_HOT_KEYS = 500
 MAX_SLICES = 4096
@@ -110,7 +111,7 @@ def point_in_time(
     sources: list[Source],
     strict: bool = True,
     earlier: dict[str, Callable[[Column], Column]] | None = None,
-    max_rows: int = HOT_ROWS,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """For every distinct (``key``, ``at``) of ``probes``: the measures over all events before ``at``.
 
@@ -146,13 +147,17 @@ def point_in_time(
     for source in sources:
         df, ts = source.size_of or (source.df, source.ts)
         sizes = sizes.union(df.select(as_col(key).alias("_k"), as_col(ts).alias("_ts")))
+    if max_rows is None:
+        max_rows = int(probes.sparkSession.conf.get(HOT_ROWS_SETTING, str(HOT_ROWS)))
     cuts = hot_key_cuts(sizes.where(F.col("_k").isNotNull()), "_k", "_ts", max_rows)
     if cuts is not None:
         partition = ["_k", "_slice"]
-        # Copies of one instant are folded on the map side, so that no slice is made of them.
-        events = events.groupBy("_k", "_ts", "_kind").agg(
-            *[_SAME_INSTANT[how](n).alias(n) for n, how in measures.items()]
-        )
+        # Equal cuts mean that one instant fills a whole slice: its copies are folded on the map side.
+        heavy = cuts.where(F.size(F.array_distinct("_cuts")) < F.size("_cuts")).limit(1).count() > 0
+        if heavy:
+            events = events.groupBy("_k", "_ts", "_kind").agg(
+                *[_SAME_INSTANT[how](n).alias(n) for n, how in measures.items()]
+            )
         events = _add_slices(events, cuts)
         asked = _add_slices(asked, cuts)
     rows = asked.unionByName(events, allowMissingColumns=True)
@@ -187,7 +192,7 @@ def asof_join(
     columns: list[str],
     tie: list[str] = (),
     strict: bool = True,
-    max_rows: int = HOT_ROWS,
+    max_rows: int | None = None,
 ) -> DataFrame:
     """Left join of each lead with its last history row before ``at``; ties go to the greatest
     ``tie`` columns, then to the greatest ``columns``."""
