@@ -32,10 +32,10 @@ def _normal(line: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(line, f"[{tools.SPACES}]+", " ")))
 
 
-def _keyed(docs: DataFrame, host: str) -> DataFrame:
-    """The input rows as one column ``row``, with host, text and a hash of the text."""
+def _keyed(docs: DataFrame, host: str, carry: list[str]) -> DataFrame:
+    """The columns to carry as one column ``row``, with host, text and a hash of the text."""
     return docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(F.col(host), F.lit("")).alias("host"),
+        F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), F.coalesce(F.col(host), F.lit("")).alias("host"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
     ).withColumn("text_hash", F.xxhash64("text"))
 
@@ -86,13 +86,13 @@ def frequent_lines(lines: DataFrame, min_docs: int = MIN_DOCS, max_share: float
 
 
 def verdicts(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE,
-             min_left: float = MIN_LEFT) -> DataFrame:
-    """Every input row as ``row`` with its counts, ``removed_words`` and ``kept``.
+             min_left: float = MIN_LEFT, carry: list[str] | None = None) -> DataFrame:
+    """Every input row as ``row`` (its columns ``carry``, or all) with its counts, ``removed_words`` and ``kept``.
 
     The line rows are written once and read for the counts and for the removal. Rows of a hot host are spread by
     text and line; the join back on (host, text) can be split on the document side.
     """
-    keyed = _keyed(docs, host)
+    keyed = _keyed(docs, host, docs.columns if carry is None else carry)
     lines = tools.materialise(line_rows(keyed), "quality-lines")
     removed = lines.join(frequent_lines(lines, min_docs, max_share), ["host", "line_hash"]).groupBy(
         "host", "text_hash").agg(F.sum("n").alias("removed_words"))

@@ -28,7 +28,7 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
-    return quality_rules.verdicts(tools.documents(spark, sf_dir)).select(
+    return quality_rules.verdicts(tools.documents(spark, sf_dir), carry=["doc_id"]).select(
         F.col("row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "removed_words")
 
