@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leadwright.llm import decontaminate, jaccard_join, line_dedup, packing, quality_rules, tools
+from leadwright.llm import (
+    decontaminate, jaccard_join, licenses, line_dedup, packing, quality_rules, tools, toxicity, url_lists, warc_zip,
+)
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,8 +40,54 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(tools.documents(spark, sf_dir))
 
 
+def op7_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts of every page's record, as read back from archives that hold all of them."""
+    return warc_zip.payload_facts(warc_zip.read_records(warc_zip.write_archives(tools.documents(spark, sf_dir, "pages"))))
+
+
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every licence in every document."""
+    return licenses.scan(tools.documents(spark, sf_dir))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document by a model learned from the labels that are not held out."""
+    docs = tools.documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.fit(docs, tools.documents(spark, sf_dir, "labels")))
+
+
+def dated_captures(pages: DataFrame) -> DataFrame:
+    """Pages carry no crawl time; one in January 2024 is derived from the page_id."""
+    seconds = F.lit(1_704_067_200) + (F.col("page_id") % 30) * 86_400 + (F.col("page_id") * 7_919) % 86_400
+    return pages.select(F.col("page_id").alias("id"), "url", F.timestamp_seconds(seconds).alias("fetch_time"))
+
+
+def dated_entries(pages: DataFrame, events: DataFrame) -> DataFrame:
+    """List entries: each host follows the events of one user; signup and purchase add, error and click remove.
+
+    A third of the hosts is listed with its parent domain, a third with a folder.
+    """
+    hosts = pages.select(url_lists.host_of(F.col("url")).alias("host")).filter("host <> ''").distinct().withColumn(
+        "n", F.conv(F.substring(F.md5("host"), 1, 7), 16, 10).cast("long"))
+    pattern = F.when(F.col("n") % 3 == 0, F.regexp_replace("host", r"^[^.]*\.", "")).when(
+        F.col("n") % 3 == 1, F.concat("host", F.lit("/en/"))).otherwise(F.col("host"))
+    users = hosts.select(pattern.alias("pattern"), (F.col("n") % 150).alias("user_id"))
+    found = events.filter(F.col("event_type").isin("signup", "purchase", "error", "click")).join(users, "user_id")
+    return found.select(
+        F.when(F.col("event_type").isin("signup", "error"), "block").otherwise("allow").alias("list"), "pattern",
+        F.when(F.col("event_type").isin("signup", "purchase"), "add").otherwise("remove").alias("action"), F.col("ts").cast("timestamp").alias("at"))
+
+
+def op10_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page with the verdict of the list entries that held when it was fetched."""
+    pages = tools.documents(spark, sf_dir, "pages")
+    found = url_lists.judge(dated_captures(pages), dated_entries(pages, tools.documents(spark, sf_dir, "events")))
+    return found.withColumnRenamed("id", "page_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op2_jaccard_join, op3_line_dedup, op5_quality_rules, op6_best_fit_packing)}
+    f.__name__: f for f in (op1_decontaminate, op2_jaccard_join, op3_line_dedup, op5_quality_rules, op6_best_fit_packing,
+    op7_warc_zip, op8_license_scan, op9_toxicity, op10_url_lists)}
 
 #: Registered beside the queries; the pipeline is in corpus_pipeline.py.
 ORACLES: dict[str, str] = {}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,7 +50,7 @@ def doc_texts(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarra
     """UTF-8 bytes and the bounds of each text; null reads as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pa.compute.fill_null(column.cast(pa.large_string()), "")
+    column = pc.fill_null(column.cast(pa.large_string()), "")
     bounds = np.frombuffer(column.buffers()[1], np.int64)[column.offset: column.offset + len(column) + 1]
     data = column.buffers()[2]
     return np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8), bounds
@@ -68,11 +69,15 @@ def lower_bytes(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def word_hashes(data: np.ndarray, bounds: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hash of every word in turn, and each text's bounds in that array."""
+def word_hashes(data: np.ndarray, bounds: np.ndarray, lower: bool = True, breaks: np.ndarray = _IS_SPACE,
+                prefixes: tuple[int, ...] = ()) -> tuple:
+    """64-bit hash of every word in turn, and each text's bounds in that array.
+
+    ``breaks`` tells which bytes part words. For each of ``prefixes`` the hashes of the first so many bytes follow.
+    """
     first, last = int(bounds[0]), int(bounds[-1])
     data, bounds = data[first:last], bounds - first
-    solid = ~_IS_SPACE[data]
+    solid = ~breaks[data]
     before = np.empty_like(solid)
     before[:1], before[1:] = False, solid[:-1]
     edge = bounds[:-1][bounds[:-1] < len(data)]
@@ -80,14 +85,16 @@ def word_hashes(data: np.ndarray, bounds: np.ndarray, lower: bool = True) -> tup
     starts = np.flatnonzero(solid & ~before)
     doc_words = np.searchsorted(starts, bounds)
     if not len(starts):
-        return np.zeros(0, np.uint64), doc_words
+        return (np.zeros(0, np.uint64), doc_words, *[np.zeros(0, np.uint64)] * len(prefixes))
     at = np.flatnonzero(solid)
     counts = np.diff(np.append(np.searchsorted(at, starts), len(at)))
     inside = at - np.repeat(starts, counts)
     powers = np.cumprod(np.full(int(counts.max()), _ODD))
     chars = (_LOWER[data[at]] if lower else data[at]).astype(np.uint64) + np.uint64(1)
-    sums = np.add.reduceat(chars * powers[inside], np.concatenate(([0], np.cumsum(counts)[:-1])))
-    return mix(sums + counts.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), doc_words
+    terms, heads = chars * powers[inside], np.concatenate(([0], np.cumsum(counts)[:-1]))
+    hashes = mix(np.add.reduceat(terms, heads) + counts.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    cut = [mix(np.add.reduceat(np.where(inside < k, terms, np.uint64(0)), heads) + np.uint64(k)) for k in prefixes]
+    return (hashes, doc_words, *cut)
 
 
 def shingles(hashes: np.ndarray, doc_words: np.ndarray, k: int = 5) -> list[np.ndarray]:
