@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from leadwright.llm import tools
 
 SIZE, END_ID = 2048, 0
-#: Entries of the word cache of a worker before it starts afresh; a matter of speed only.
-CACHE_WORDS = 600_000
+#: Bounds the word cache of a worker; a matter of speed only.
+CACHE_WORDS = 100_000
 _TAIL = b".,;:!?%&$#*"
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, place long"
 
@@ -42,31 +42,51 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letters by which byte-level vocabularies write bytes: printable ones stand for themselves, the rest follow."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
 class WordIds(dict):
     """Ids, as bytes, of each run without ASCII white space.
 
     This vocabulary drops white space and never joins ids across it, so the ids of a text are those of its runs, one
-    after the other. It also starts a new piece between a letter or digit and following punctuation, so both parts
-    of such a run are looked up on their own. Tests compare whole texts with the tokenizer.
+    after the other. It starts a new piece between a letter or digit and following punctuation, so both parts of such
+    a run are looked up on their own. Words of Latin letters go to the tokenizer's model without its normaliser and
+    splitter, which for them only lower the case and write bytes as letters. All else takes the whole tokenizer.
+    Tests compare whole texts with the tokenizer. Of the last looked up runs one to two times ``CACHE_WORDS`` are kept.
     """
 
     def __init__(self, path: str):
         super().__init__()
         from tokenizers import Tokenizer
 
-        self.encode = Tokenizer.from_file(path).encode
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model, self.letters, self.older = self.tokenizer.model, _byte_letters(), {}
 
     def __missing__(self, word: bytes) -> bytes:
-        core = word.rstrip(_TAIL)
-        if core and len(core) < len(word) and core[-1:].isalnum():
-            found = self[core] + self[word[len(core):]]
-        else:
-            found = np.asarray(self.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+        found = self.older.get(word)
+        if found is None:
+            core = word.rstrip(_TAIL)
+            if core and len(core) < len(word) and core[-1:].isalnum():
+                return self[core] + self[word[len(core):]]
+            found = np.array(self.ids(word), "<u4").tobytes()
         if len(self) >= CACHE_WORDS:
+            self.older = dict(self)
             self.clear()
         self[word] = found
         return found
 
+    def ids(self, word: bytes) -> list[int]:
+        if word.isalpha() and word.isascii():
+            return [t.id for t in self.model.tokenize(word.decode().lower())]
+        text = word.decode()
+        if text.isalpha() and max(text) < "\u0180" and "\u0130" not in text:
+            return [t.id for t in self.model.tokenize("".join(map(self.letters.__getitem__, text.lower().encode())))]
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
 
 _loaded: dict[str, WordIds] = {}
 
