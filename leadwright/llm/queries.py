@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadwright.llm import (
-    decontaminate, jaccard_join, licenses, line_dedup, packing, quality_rules, tools, toxicity, url_lists, warc_zip,
+    brown_lm, decontaminate, jaccard_join, licenses, line_dedup, packing, quality_rules, tools, toxicity, url_lists, warc_zip,
 )
 
 
@@ -28,6 +28,12 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("row.doc_id").alias("doc_id"), "text", "n_lines", "n_removed", "n_chunks_removed")
 
 
+def op4_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document by a model of those that are not held out."""
+    docs = tools.documents(spark, sf_dir)
+    return brown_lm.score(docs, brown_lm.fit(docs.filter(~brown_lm.held_out(F.col("doc_id")))))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of every document."""
     return quality_rules.verdicts(tools.documents(spark, sf_dir), carry=["doc_id"]).select(
@@ -86,7 +92,7 @@ def op10_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op2_jaccard_join, op3_line_dedup, op5_quality_rules, op6_best_fit_packing,
+    f.__name__: f for f in (op1_decontaminate, op2_jaccard_join, op3_line_dedup, op4_brown_lm, op5_quality_rules, op6_best_fit_packing,
     op7_warc_zip, op8_license_scan, op9_toxicity, op10_url_lists)}
 
 #: Registered beside the queries; the pipeline is in corpus_pipeline.py.
