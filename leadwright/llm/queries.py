@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadwright.llm import (
-    brown_lm, decontaminate, jaccard_join, licenses, line_dedup, packing, quality_rules, tools, toxicity, url_lists, warc_zip,
+    brown_lm, decontaminate, jaccard_join, licenses, line_dedup, oracles, packing, quality_rules, tools, toxicity, url_lists, warc_zip,
 )
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, and where."""
-    return decontaminate.matches(tools.documents(spark, sf_dir), tools.documents(spark, sf_dir, "benchmark"))
+    return decontaminate.matches(tools.documents(spark, sf_dir), tools.documents(spark, sf_dir, "benchmark")).drop("distance")
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,8 +64,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dated_captures(pages: DataFrame) -> DataFrame:
     """Pages carry no crawl time; one in January 2024 is derived from the page_id."""
-    seconds = F.lit(1_704_067_200) + (F.col("page_id") % 30) * 86_400 + (F.col("page_id") * 7_919) % 86_400
-    return pages.select(F.col("page_id").alias("id"), "url", F.timestamp_seconds(seconds).alias("fetch_time"))
+    return pages.select(F.col("page_id").alias("id"), "url", F.expr(
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(int(page_id % 30), 0, 0, int(page_id * 7919 % 86400))").alias("fetch_time"))
 
 
 def dated_entries(pages: DataFrame, events: DataFrame) -> DataFrame:
@@ -81,7 +81,7 @@ def dated_entries(pages: DataFrame, events: DataFrame) -> DataFrame:
     found = events.filter(F.col("event_type").isin("signup", "purchase", "error", "click")).join(users, "user_id")
     return found.select(
         F.when(F.col("event_type").isin("signup", "error"), "block").otherwise("allow").alias("list"), "pattern",
-        F.when(F.col("event_type").isin("signup", "purchase"), "add").otherwise("remove").alias("action"), F.col("ts").cast("timestamp").alias("at"))
+        F.when(F.col("event_type").isin("signup", "purchase"), "add").otherwise("remove").alias("action"), F.col("ts").alias("at"))
 
 
 def op10_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,5 +95,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_decontaminate, op2_jaccard_join, op3_line_dedup, op4_brown_lm, op5_quality_rules, op6_best_fit_packing,
     op7_warc_zip, op8_license_scan, op9_toxicity, op10_url_lists)}
 
-#: Registered beside the queries; the pipeline is in corpus_pipeline.py.
-ORACLES: dict[str, str] = {}
+#: By query; those of packing, line dedup, licences, toxicity and the language model are tested by brute force.
+ORACLES = oracles.ORACLES

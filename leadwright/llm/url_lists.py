@@ -49,7 +49,7 @@ def patterns_of(url: Column) -> Column:
 
 def intervals(entries: DataFrame) -> DataFrame:
     """list, pattern, valid_from, valid_to (null: still valid) of the times in which a pattern was on a list."""
-    clean = entries.select("list", F.lower("pattern").alias("pattern"), "action", F.col("at").cast("timestamp").alias("at")).dropna()
+    clean = entries.select("list", F.lower("pattern").alias("pattern"), "action", "at").dropna()
     # One entry a moment: "remove" sorts after "add".
     clean = clean.groupBy("list", "pattern", "at").agg(F.max("action").alias("action")).withColumn("day", F.to_date("at"))
     inside = Window.partitionBy("list", "pattern", "day").orderBy("at")
@@ -60,12 +60,13 @@ def intervals(entries: DataFrame) -> DataFrame:
 
 
 def _bucket(moment: Column, days: int) -> Column:
-    return F.floor(F.unix_seconds(moment) / (_DAY * days))
+    return F.floor(F.unix_seconds(moment.cast("timestamp")) / (_DAY * days))
 
 
 def judge(captures: DataFrame, entries: DataFrame, bucket_days: int = BUCKET_DAYS) -> DataFrame:
     """id, url, fetch_time of every capture with blocked, n_active, decided_by (list), pattern and valid_from."""
-    held = captures.select("id", "url", F.col("fetch_time").cast("timestamp").alias("fetch_time"))
+    held = captures.select("id", "url", "fetch_time")
+    entries = entries.withColumn("at", F.col("at").cast(dict(held.dtypes)["fetch_time"]))
     asked = held.filter("url IS NOT NULL AND fetch_time IS NOT NULL").select("url", "fetch_time").distinct()
     # Open intervals reach to the last fetch.
     last = asked.agg(F.max(_bucket(F.col("fetch_time"), bucket_days)).alias("last"))
