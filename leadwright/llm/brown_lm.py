@@ -223,7 +223,7 @@ def fit(docs: DataFrame, n_classes: int = CLASSES, rounds: int = ROUNDS) -> Mode
     share = (matrix.sum(axis=0) + 1) / (matrix.sum() + len(matrix))
     transitions = np.log10((matrix + TOWARDS_CLASS * share) / (matrix.sum(axis=1, keepdims=True) + TOWARDS_CLASS))
     mass = tokens + ADD * (types + 1)
-    class_mass = np.bincount(of_head, counts + ADD, n_classes + 2)
+    class_mass = np.bincount(of_head, counts + ADD, n_classes + 2).astype(np.float64)
     # All that is neither a core word nor the end is rare, an unseen word included.
     class_mass[n_classes] = mass - class_mass.sum() + class_mass[n_classes]
     if not types:

@@ -142,13 +142,10 @@ _LONGEST = max(map(len, KNOWN))
 
 def known_sentences(text: str) -> list[tuple[int, int, str]]:
     """(first line, last line, identifier) of the licence sentences of a text, in order; the longest reading wins."""
-    parts: list[tuple[int, str]] = []  # (line, normalised part of a sentence)
-    open_end: list[bool] = []  # whether the sentence may go on in the next part
-    for number, line in enumerate(text.split("\n")):
-        pieces = [p for p in _END.split(line) if p.strip()]
-        for piece, after in zip(pieces, [*pieces[1:], ""]):
-            parts.append((number, normalised(piece)))
-            open_end.append(piece.rstrip()[-1] not in ".!?" or after.lstrip()[:1].isdigit())  # as in "v. 2.0"
+    pieces = [(number, p) for number, line in enumerate(text.split("\n")) for p in _END.split(line) if p.strip()]
+    parts = [(number, normalised(p)) for number, p in pieces]
+    # A sentence may go on in the next part where no end stands, or a number follows as in "v. 2.0".
+    open_end = [p.rstrip()[-1] not in ".!?" or after[:1].isdigit() for (_, p), (_, after) in zip(pieces, [*parts[1:], (0, "")])]
     found, i = [], 0
     while i < len(parts):
         best, joined, j = None, "", i

@@ -1,8 +1,8 @@
 """Line dedup by content-defined chunks of lines.
 
-A rolling hash over the hashes of the last ``window`` lines ends a chunk wherever it is 0 modulo ``spread``, so
-that boundaries depend on the lines around them and not on their place in the text: an insertion moves only
-the chunks next to it. Chunks of two or more lines with at least ``min_chars`` characters are grouped over the
+A rolling hash over the hashes of the last ``window`` lines marks the places where it is 0 modulo ``spread``; a
+chunk ends at each mark that does not follow another one. So boundaries depend on the lines around them and not on
+their place in the text: an insertion moves only the chunks next to it. Chunks of two or more lines with at least ``min_chars`` characters are grouped over the
 corpus by their own bytes; grouping on the text is the byte comparison. Of a chunk found in several documents
 the one with the smallest doc_id keeps it, and there its first occurrence; all others lose it.
 
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from leadwright.llm import tools
 
-WINDOW, SPREAD, MIN_LINES, MIN_CHARS = 2, 3, 2, 40
+WINDOW, SPREAD, MIN_LINES, MIN_CHARS = 2, 2, 2, 40
 
 
 def _chunked(docs: DataFrame, window: int, spread: int, min_lines: int, min_chars: int) -> DataFrame:
@@ -28,9 +28,11 @@ def _chunked(docs: DataFrame, window: int, spread: int, min_lines: int, min_char
                        F.split(F.coalesce("text", F.lit("")), "\n", -1).alias("lines"))
     base = base.withColumn("hashes", F.transform("lines", lambda x: F.xxhash64(x)))
     rolled = lambda i: F.xxhash64(*[F.get("hashes", i - k) for k in range(window)])
-    ends = F.filter(F.sequence(F.lit(0), F.size("lines") - 1),
-                    lambda i: (i == F.size("lines") - 1) | ((i >= window - 1) & (F.pmod(rolled(F.greatest(i, F.lit(window - 1))), F.lit(spread)) == 0)))
-    base = base.withColumn("ends", ends)
+    base = base.withColumn("marks", F.transform(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: (i >= window - 1) & (
+        F.pmod(rolled(F.greatest(i, F.lit(window - 1))), F.lit(spread)) == 0)))
+    # A mark right after another one ends no chunk, so chunks have two lines or more, but for the last.
+    base = base.withColumn("ends", F.filter(F.sequence(F.lit(0), F.size("lines") - 1), lambda i: (i == F.size("lines") - 1) | (
+        F.get("marks", i) & ~F.coalesce(F.get("marks", i - 1), F.lit(False)))))
 
     def chunk(end: Column, j: Column) -> Column:
         start = F.when(j == 0, F.lit(0)).otherwise(F.get("ends", F.greatest(j - 1, F.lit(0))) + 1)

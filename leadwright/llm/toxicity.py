@@ -31,7 +31,7 @@ from leadwright.llm import tools
 
 BITS, PREFIXES = 18, (4, 5, 6, 7, 8)
 MAX_POSITIVE, MAX_UNLABELLED, SHARDS = 20_000, 40_000, 4
-MIN_TEXTS, LIFT, SIGMA = 3, 3.0, 5.0
+MIN_TEXTS, LIFT, SIGMA = 3, 3.0, 4.0
 STEPS, RATE, DECAY = 150, 0.3, 1e-3
 THRESHOLD = 0.7
 
@@ -107,16 +107,16 @@ def telling(positive: np.ndarray, unlabelled: np.ndarray, n: int, m: int) -> np.
 
 
 def calibrate(z: np.ndarray, toxic: np.ndarray, threshold: float = THRESHOLD) -> tuple[float, float]:
-    """Scale and shift so that the margin with the best F1 gets the score ``threshold``."""
+    """Scale and shift so that the margin with the best F-measure gets the score ``threshold``; precision weighs double."""
     if not len(z) or not toxic.any():
         return 1.0, 0.0
     order = np.argsort(-z, kind="stable")
     hits = np.cumsum(toxic[order])
-    f1 = 2 * hits / (np.arange(1, len(z) + 1) + toxic.sum())
-    best = int(np.argmax(f1))
+    measure = 1.25 * hits / (np.arange(1, len(z) + 1) + 0.25 * toxic.sum())
+    best = int(np.argmax(measure))
     below = z[order[best + 1]] if best + 1 < len(z) else z[order[best]] - 1
     edge = (z[order[best]] + below) / 2
-    scale = 1 / max(float(np.std(z)), 1e-6)
+    scale = 1 / max(float(np.std(z[order])), 1e-6)
     return scale, float(np.log(threshold / (1 - threshold)) - scale * edge)
 
 
@@ -152,8 +152,9 @@ def _trainer(chosen: np.ndarray, prior: float):
         told[chosen] = True
         rows = [r[told[r]] for r in _unpack(table.column("features"))]
         positive = table.column("positive").to_pylist()
-        first = [r for r, p in zip(rows, positive) if p]
-        other = [r for r, p in zip(rows, positive) if not p]
+        # Sorted, so that sums do not depend on the order in which rows arrive.
+        first = sorted((r for r, p in zip(rows, positive) if p), key=bytes)
+        other = sorted((r for r, p in zip(rows, positive) if not p), key=bytes)
         found = [train(first, other, prior)[np.append(chosen, -1)].astype("<f8").tobytes()] if first and other else []
         return pa.table({"weights": pa.array(found, pa.binary())})
 
@@ -196,7 +197,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, ma
     if not found:
         return None
     weights = np.zeros(2 ** BITS + 1)
-    weights[np.append(chosen, -1)] = np.mean([np.frombuffer(r["weights"], "<f8") for r in found], axis=0)
+    weights[np.append(chosen, -1)] = np.mean([np.frombuffer(w, "<f8") for w in sorted(r["weights"] for r in found)], axis=0)
 
     def known_margins(batches):
         for batch in batches:
