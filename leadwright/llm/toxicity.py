@@ -107,12 +107,12 @@ def telling(positive: np.ndarray, unlabelled: np.ndarray, n: int, m: int) -> np.
 
 
 def calibrate(z: np.ndarray, toxic: np.ndarray, threshold: float = THRESHOLD) -> tuple[float, float]:
-    """Scale and shift so that the margin with the best F-measure gets the score ``threshold``; precision weighs double."""
+    """Scale and shift so that the margin with the best F1 gets the score ``threshold``."""
     if not len(z) or not toxic.any():
         return 1.0, 0.0
     order = np.argsort(-z, kind="stable")
     hits = np.cumsum(toxic[order])
-    measure = 1.25 * hits / (np.arange(1, len(z) + 1) + 0.25 * toxic.sum())
+    measure = 2 * hits / (np.arange(1, len(z) + 1) + toxic.sum())
     best = int(np.argmax(measure))
     below = z[order[best + 1]] if best + 1 < len(z) else z[order[best]] - 1
     edge = (z[order[best]] + below) / 2
