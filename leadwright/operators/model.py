@@ -48,8 +48,11 @@ def split_out_of_time(df: DataFrame, day: str, cut: str) -> DataFrame:
     return df.withColumn("part", F.when(F.col(day) < F.lit(cut).cast("date"), "train").otherwise("test"))
 
 
-def fit_l1(df: DataFrame, features: list[str], target: str, C: float = fx.L1_C) -> tuple[LogisticRegressionModel, DataFrame]:
-    """L1 logistic fit minimising C * sum(loss) + |beta|_1, intercept free of penalty.
+def fit_l1(
+    df: DataFrame, features: list[str], target: str, C: float = fx.L1_C, max_iter: int = 1000
+) -> tuple[LogisticRegressionModel, DataFrame]:
+    """L1 logistic fit minimising C * sum(loss) + |beta|_1, intercept free of penalty. A fit that has not
+    converged after ``max_iter`` steps is an error.
 
     Spark ML minimises mean(loss) + regParam * |beta|_1, hence regParam = 1 / (C n).
     """
@@ -57,9 +60,11 @@ def fit_l1(df: DataFrame, features: list[str], target: str, C: float = fx.L1_C)
         df.select(*features, F.col(target).cast("double").alias("label"))
     ).select("features", "label")
     estimator = LogisticRegression(
-        elasticNetParam=1.0, regParam=1.0 / (C * df.count()), standardization=False, maxIter=300, tol=1e-9
+        elasticNetParam=1.0, regParam=1.0 / (C * df.count()), standardization=False, maxIter=max_iter, tol=1e-9
     )
     model = estimator.fit(rows)
+    if model.summary.totalIterations >= max_iter:
+        raise ArithmeticError(f"the fit has not converged after {max_iter} steps")
     pairs = [(INTERCEPT, float(model.intercept)), *zip(features, map(float, model.coefficients))]
     return model, df.sparkSession.createDataFrame(pairs, "feature string, coefficient double")
 

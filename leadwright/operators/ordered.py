@@ -7,6 +7,8 @@ only one total per slice (and group) is carried from slice to slice.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from leadwright.session import materialise
@@ -37,7 +39,7 @@ def with_position(df: DataFrame, order: list[Column | str], name: str = "positio
 
 def running_sums(df: DataFrame, by: list[str], order: list[Column | str], sums: dict[str, str]) -> DataFrame:
     """Add, for every ``name: column`` in ``sums``, ``cum_name`` (inclusive running sum inside each
-    ``by`` group, in ``order``) and ``total_name`` (sum of the whole group). ``by`` must not be NULL.
+    ``by`` group, in ``order``) and ``total_name`` (sum of the whole group). NULL is a group like any other.
     """
     rows = _sorted_slices(df, [*by, *order])
     totals = rows.groupBy("_slice", *by).agg(*[F.sum(c).alias(f"_t_{n}") for n, c in sums.items()])
@@ -51,9 +53,13 @@ def running_sums(df: DataFrame, by: list[str], order: list[Column | str], sums:
     )
     inside = Window.partitionBy("_slice", *by).orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
     local = rows.select("*", *[F.sum(c).over(inside).alias(f"_l_{n}") for n, c in sums.items()])
-    joined = local.join(carry if by else F.broadcast(carry), ["_slice", *by])
+    if by:
+        same = reduce(lambda a, b: a & b, [local[c].eqNullSafe(carry[c]) for c in by], local["_slice"] == carry["_slice"])
+        joined = local.join(carry, same)
+    else:
+        joined = local.join(F.broadcast(carry), "_slice")
     return joined.select(
-        *df.columns,
+        *[local[c] for c in df.columns],
         *[(F.col(f"_c_{n}") + F.col(f"_l_{n}")).alias(f"cum_{n}") for n in sums],
         *[f"total_{n}" for n in sums],
     )

@@ -114,7 +114,7 @@ def score_by_join(df: DataFrame, rules: DataFrame, ids: list[str], base: int) ->
 
 
 def rules_sql(rules: DataFrame) -> dict[str, str]:
-    """The compiled rules as SQL text, one expression per variable, for a reader outside Spark."""
+    """The compiled rules as Spark SQL text, one expression per variable; limits are written in full as doubles."""
     found, points = collect_bins(rules, "points")
     out = {}
     for v, bs in by_variable([b for b in found if b.variable != BASE]).items():
@@ -126,8 +126,8 @@ def rules_sql(rules: DataFrame) -> dict[str, str]:
                 quoted = ", ".join("'" + c.replace("'", "''") + "'" for c in b.categories)
                 test = f"{v} IN ({quoted})"
             else:
-                ends = [f"{v} >= {b.lo:g}"] if b.lo is not None else []
-                ends += [f"{v} < {b.hi:g}"] if b.hi is not None else []
+                ends = [f"{v} >= {float(b.lo)!r}D"] if b.lo is not None else []
+                ends += [f"{v} < {float(b.hi)!r}D"] if b.hi is not None else []
                 test = " AND ".join(ends) or f"{v} IS NOT NULL"
             tests.append(f"WHEN {test} THEN {points[v, b.bin_id]}")
         out[v] = f"CASE {' '.join(tests)} ELSE 0 END"

@@ -1,41 +1,35 @@
 """Point-in-time operators: what was known about a key strictly before a moment.
 
 ``point_in_time`` puts the moments asked for ("probes") and the events of any number of sources on
-one timeline per key, and reads running aggregates off it in one window pass. No pair of probe and
-event is ever formed, so the work is linear in the rows. Keys with very many rows are cut into time
-slices; a small table carries the aggregates of the earlier slices.
+one timeline per key and day, and reads running aggregates off it; a small table carries the aggregates
+of a key's earlier days. No pair of probe and event is ever formed, so the work is linear in the rows, and
+no key is handled as a whole: a key with very many rows is spread over its days, and copies at one instant
+are folded before they are shuffled. Only events of the keys asked for, up to the last moment asked for,
+are read on.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from leadwright.functions.columns import as_col, days_between
 
-# A key with more timeline rows than this is cut into slices; a session may set its own limit.
-HOT_ROWS = 5_000_000
-HOT_ROWS_SETTING = "leadwright.hotRows"
-# Bounds of the cut table that is broadcast: 500 keys x 4095 cuts x 8 bytes = 16 MB at most.
-MAX_HOT_KEYS = 500
-MAX_SLICES = 4096
-
 
 @dataclass(frozen=True)
 class Source:
     """Events with a time column and measures ``name -> (how, column)``; how is sum, min, max or last.
 
-    ``size_of`` is a cheaper frame to count keys in (key and time column only) when ``df`` is itself the
-    result of shuffles; it may hold more rows than ``df``.
+    The ``last`` measures of a source come from one row: the last in which any of them is not NULL. Of rows
+    at one instant that is the one with the greatest values, in the order of the measures.
     """
 
     df: DataFrame
     ts: str
     measures: dict[str, tuple[str, Column]]
-    size_of: tuple[DataFrame, str] | None = None
 
 
 _RUNNING = {
@@ -44,7 +38,7 @@ _RUNNING = {
     "max": lambda c: F.max(c),
     "last": lambda c: F.last(c, ignorenulls=True),
 }
-# Several events of one key at one instant; "last" takes the greatest, as the sort order does.
+# Several events of one key at one instant; "last" takes the greatest row.
 _SAME_INSTANT = {"sum": F.sum, "min": F.min, "max": F.max, "last": F.max}
 _WITH_CARRY = {
     "sum": lambda here, carry: F.when(here.isNull(), carry).otherwise(here + F.coalesce(carry, F.lit(0))),
@@ -54,54 +48,24 @@ _WITH_CARRY = {
 }
 
 
-def hot_key_cuts(rows: DataFrame, key: str, ts: str, max_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Time cuts for the keys with more than ``max_rows`` rows, or None if there is no such key.
-
-    At most MAX_HOT_KEYS keys are cut, the heaviest first; any further key holds less than
-    1/MAX_HOT_KEYS of all rows and stays whole. The cuts only steer the work, never the result.
-    """
-    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_rows)
-    hot = counts.orderBy(F.desc("_n"), key).limit(MAX_HOT_KEYS).collect()
-    if not hot:
-        return None
-    slices = min(MAX_SLICES, math.ceil(hot[0]["_n"] / max_rows))
-    shares = [i / slices for i in range(1, slices)]
-    key_field = rows.schema[key]
-    keys = rows.sparkSession.createDataFrame([(r[key],) for r in hot], T.StructType([key_field]))
-    cuts = (
-        rows.join(F.broadcast(keys), key)
-        .groupBy(key)
-        .agg(F.percentile_approx(ts, shares, 10 * slices).alias("_cuts"))
-    )
-    found = cuts.collect()  # fixed values from here on: every reader of the cuts sees the same slices
-    return rows.sparkSession.createDataFrame(found, cuts.schema)
-
-
-def _add_slices(rows: DataFrame, cuts: DataFrame) -> DataFrame:
-    """Slice number = cuts at or before the row's time, found in two steps of about sqrt(cuts) each."""
-    longest = cuts.agg(F.max(F.size("_cuts"))).first()[0]
-    step = max(1, math.isqrt(longest))
-    table = cuts.withColumn("_coarse", F.filter("_cuts", lambda cut, i: (i + 1) % step == 0))
-    passed = F.size(F.filter("_coarse", lambda cut: cut <= F.col("_ts"))) * step
-    rest = F.filter(F.slice("_cuts", passed + 1, F.lit(step - 1)), lambda cut: cut <= F.col("_ts"))
-    number = F.when(F.col("_cuts").isNull(), 0).otherwise(passed + (F.size(rest) if step > 1 else 0))
-    return rows.join(F.broadcast(table), "_k", "left").withColumn("_slice", number).drop("_cuts", "_coarse")
-
-
-def _carries(events: DataFrame, cuts: DataFrame, measures: dict[str, str]) -> DataFrame:
-    """Aggregates over all earlier slices, one row per slice of a hot key."""
-    def per_slice(name: str, how: str) -> Column:
-        if how == "last":
-            return F.max_by(name, F.when(F.col(name).isNotNull(), F.struct("_ts", name))).alias(name)
-        return _SAME_INSTANT[how](name).alias(name)
-
-    hot = events.join(F.broadcast(cuts.select("_k")), "_k", "left_semi")
-    found = hot.groupBy("_k", "_slice").agg(*[per_slice(n, how) for n, how in measures.items()])
-    grid = cuts.select("_k", F.explode(F.sequence(F.lit(0), F.size("_cuts"))).alias("_slice"))
-    earlier = Window.partitionBy("_k").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    return grid.join(found, ["_k", "_slice"], "left").select(
-        "_k", "_slice", *[_RUNNING[how](n).over(earlier).alias(f"_c_{n}") for n, how in measures.items()]
-    )
+def _events(sources: list[Source], key: str, at_type: str, keys: DataFrame, until: str | None, strict: bool) -> DataFrame:
+    """The events that can count, one row per key and instant; ``last`` measures as one row column per source."""
+    limit = F.lit(until).cast(at_type)
+    events = None
+    for i, source in enumerate(sources):
+        ts = as_col(source.ts)
+        if source.df.select(ts).dtypes[0][1] != at_type:
+            ts = ts.cast(at_type)
+        known = source.df.where((ts < limit) if strict else (ts <= limit))
+        lasts = {n: col for n, (how, col) in source.measures.items() if how == "last"}
+        some = reduce(lambda a, b: a | b, [c.isNotNull() for c in lasts.values()], F.lit(False))
+        row = [F.when(some, F.struct(*[c.alias(n) for n, c in lasts.items()])).alias(f"_last{i}")] if lasts else []
+        part = known.select(
+            as_col(key).alias("_k"), ts.alias("_ts"),
+            *[col.alias(n) for n, (how, col) in source.measures.items() if how != "last"], *row,
+        ).join(keys, "_k", "left_semi")
+        events = part if events is None else events.unionByName(part, allowMissingColumns=True)
+    return events
 
 
 def point_in_time(
@@ -111,20 +75,26 @@ def point_in_time(
     sources: list[Source],
     strict: bool = True,
     earlier: dict[str, Callable[[Column], Column]] | None = None,
-    max_rows: int | None = None,
 ) -> DataFrame:
     """For every distinct (``key``, ``at``) of ``probes``: the measures over all events before ``at``.
 
     ``strict`` excludes events at the very moment. ``earlier`` maps a suffix to a function of ``at``
-    giving a second moment; the measures at it are returned as ``<measure>_<suffix>``.
+    giving a second moment, not after ``at``; the measures at it are returned as ``<measure>_<suffix>``.
+    Times are compared in the type of ``at``. The last moment asked for is looked up at once, so that it
+    reaches the scans as a constant.
     """
     earlier = earlier or {}
-    measures = {name: how for s in sources for name, (how, _) in s.measures.items()}
+    kinds = {n: how for s in sources for n, (how, _) in s.measures.items() if how != "last"}
+    lasts = {f"_last{i}": [n for n, (how, _) in s.measures.items() if how == "last"] for i, s in enumerate(sources)}
+    lasts = {row: names for row, names in lasts.items() if names}
+    held = kinds | {row: "last" for row in lasts}
     moments = (
         probes.select(F.col(key).alias("_k"), F.col(at).alias("_at"))
         .where(F.col("_k").isNotNull() & F.col("_at").isNotNull())
         .distinct()
     )
+    until = probes.where(F.col(key).isNotNull()).agg(F.max(at).cast("string")).first()[0]
+    at_type = moments.dtypes[1][1]
     points = F.array(
         F.struct(F.lit("").alias("tag"), F.col("_at").alias("ts")),
         *[F.struct(F.lit(tag).alias("tag"), f(F.col("_at")).alias("ts")) for tag, f in earlier.items()],
@@ -133,54 +103,33 @@ def point_in_time(
     asked = moments.select("_k", "_at", F.explode(points).alias("_p")).select(
         "_k", "_at", F.col("_p.tag").alias("_tag"), F.col("_p.ts").alias("_ts"), F.lit(probe_kind).alias("_kind")
     )
-    events = None
-    for source in sources:
-        part = source.df.select(
-            as_col(key).alias("_k"), as_col(source.ts).alias("_ts"),
-            *[col.alias(name) for name, (_, col) in source.measures.items()],
-        ).where(F.col("_k").isNotNull() & F.col("_ts").isNotNull())
-        events = part if events is None else events.unionByName(part, allowMissingColumns=True)
-    events = events.withColumn("_kind", F.lit(event_kind))
-
-    partition = ["_k"]
-    sizes = probes.select(F.col(key).alias("_k"), F.col(at).alias("_ts"))
-    for source in sources:
-        df, ts = source.size_of or (source.df, source.ts)
-        sizes = sizes.union(df.select(as_col(key).alias("_k"), as_col(ts).alias("_ts")))
-    if max_rows is None:
-        max_rows = int(probes.sparkSession.conf.get(HOT_ROWS_SETTING, str(HOT_ROWS)))
-    cuts = hot_key_cuts(sizes.where(F.col("_k").isNotNull()), "_k", "_ts", max_rows)
-    if cuts is not None:
-        partition = ["_k", "_slice"]
-        # Equal cuts mean that one instant fills a whole slice: its copies are folded on the map side.
-        heavy = cuts.where(F.size(F.array_distinct("_cuts")) < F.size("_cuts")).limit(1).count() > 0
-        if heavy:
-            events = events.groupBy("_k", "_ts", "_kind").agg(
-                *[_SAME_INSTANT[how](n).alias(n) for n, how in measures.items()]
-            )
-        events = _add_slices(events, cuts)
-        asked = _add_slices(asked, cuts)
-    rows = asked.unionByName(events, allowMissingColumns=True)
-    tie_order = [n for n, how in measures.items() if how == "last"]
-    window = (
-        Window.partitionBy(*partition).orderBy("_ts", "_kind", *tie_order)
-        .rowsBetween(Window.unboundedPreceding, 0)
+    events = _events(sources, key, at_type, moments.select("_k").distinct(), until, strict)
+    folded = events.groupBy("_k", "_ts").agg(*[_SAME_INSTANT[how](n).alias(n) for n, how in held.items()])
+    rows = asked.unionByName(folded.withColumn("_kind", F.lit(event_kind)), allowMissingColumns=True)
+    rows = rows.withColumn("_day", F.to_date("_ts"))
+    inside = (
+        Window.partitionBy("_k", "_day").orderBy("_ts", "_kind").rowsBetween(Window.unboundedPreceding, 0)
     )
     running = rows.select(
-        *partition, "_at", "_tag", *[_RUNNING[how](n).over(window).alias(n) for n, how in measures.items()]
+        "_k", "_day", "_at", "_tag", *[_RUNNING[how](n).over(inside).alias(n) for n, how in held.items()]
     ).where(F.col("_tag").isNotNull())
-    if cuts is not None:
-        running = running.join(_carries(events, cuts, measures), partition, "left").select(
-            "_k", "_at", "_tag",
-            *[_WITH_CARRY[how](F.col(n), F.col(f"_c_{n}")).alias(n) for n, how in measures.items()],
-        )
+    # One row per key and day; the days of one key are few, however many rows they hold.
+    days = rows.groupBy("_k", "_day").agg(*[
+        (F.max_by(n, F.when(F.col(n).isNotNull(), F.col("_ts"))) if how == "last" else _SAME_INSTANT[how](n)).alias(n)
+        for n, how in held.items()])
+    before = Window.partitionBy("_k").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    carries = days.select("_k", "_day", *[_RUNNING[how](n).over(before).alias(f"_c_{n}") for n, how in held.items()])
+    known = running.join(carries, ["_k", "_day"]).select(
+        "_k", "_at", "_tag", *[_WITH_CARRY[how](F.col(n), F.col(f"_c_{n}")).alias(n) for n, how in held.items()])
+    known = known.select("_k", "_at", "_tag", *kinds, *[F.col(f"{row}.{n}").alias(n) for row, names in lasts.items() for n in names])
+    measures = [*kinds, *[n for names in lasts.values() for n in names]]
     if not earlier:
-        return running.select(F.col("_k").alias(key), F.col("_at").alias(at), *measures)
+        return known.select(F.col("_k").alias(key), F.col("_at").alias(at), *measures)
     picked = [
         F.first(F.when(F.col("_tag") == tag, F.col(n)), ignorenulls=True).alias(n if tag == "" else f"{n}_{tag}")
         for tag in ["", *earlier] for n in measures
     ]
-    return running.groupBy(F.col("_k").alias(key), F.col("_at").alias(at)).agg(*picked)
+    return known.groupBy(F.col("_k").alias(key), F.col("_at").alias(at)).agg(*picked)
 
 
 def asof_join(
@@ -192,13 +141,11 @@ def asof_join(
     columns: list[str],
     tie: list[str] = (),
     strict: bool = True,
-    max_rows: int | None = None,
 ) -> DataFrame:
     """Left join of each lead with its last history row before ``at``; ties go to the greatest
     ``tie`` columns, then to the greatest ``columns``."""
     row = F.struct(*tie, history_ts, *[c for c in columns if c != history_ts and c not in tie])
-    found = point_in_time(leads, key, at, [Source(history, history_ts, {"_last": ("last", row)})], strict,
-                          max_rows=max_rows)
+    found = point_in_time(leads, key, at, [Source(history, history_ts, {"_last": ("last", row)})], strict)
     return leads.join(found, [key, at], "left").select(*leads.columns, *[f"_last.{c}" for c in columns])
 
 

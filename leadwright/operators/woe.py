@@ -55,9 +55,14 @@ class Bin:
 
 
 def interval_label(lo: float | None, hi: float | None) -> str:
-    left = "-inf" if lo is None else f"{lo:g}"
-    right = "inf" if hi is None else f"{hi:g}"
-    return f"[{left},{right})"
+    return f"[{_number(lo, '-inf')},{_number(hi, 'inf')})"
+
+
+def _number(x: float | None, none: str) -> str:
+    """Short where six digits say it all, else in full, so that different limits have different labels."""
+    if x is None:
+        return none
+    return f"{x:g}" if float(f"{x:g}") == x else repr(float(x))
 
 
 def bins_from_breaks(breaks: dict[str, list]) -> list[Bin]:

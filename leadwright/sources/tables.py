@@ -33,7 +33,7 @@ def write_dated(df: DataFrame, path: str, dt: str = "dt") -> str:
 
 
 # CSV text keeps microseconds; the default format would cut them to milliseconds.
-CSV_OPTIONS = {"header": "true", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSSXXX"}
+CSV_OPTIONS = {"header": "true", "escape": '"', "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSSXXX"}
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -47,19 +47,18 @@ def write_csv(df: DataFrame, path: str) -> str:
 
 
 def export_rules(rules: DataFrame, path: str) -> str:
-    """Rule table as one CSV file; it has a few rows per variable, so one file is enough."""
-    flat = rules.select("variable", "bin", "kind", "lo", "hi", F.concat_ws("|", "categories").alias("categories"), "points")
+    """Rule table as one CSV file; it has a few rows per variable, so one file is enough. Categories are a JSON list."""
+    flat = rules.select("variable", "bin_id", "bin", "kind", "lo", "hi", F.to_json("categories").alias("categories"), "points")
     write_csv(flat.coalesce(1), path)
     return path
 
 
-RULE_CSV = "variable string, bin string, kind string, lo double, hi double, categories string, points int"
+RULE_CSV = "variable string, bin_id int, bin string, kind string, lo double, hi double, categories string, points int"
 
 
 def import_rules(spark: SparkSession, path: str) -> DataFrame:
     flat = read_csv(spark, path, RULE_CSV)
-    cats = F.when(F.col("kind") == "category", F.split("categories", r"\|"))
-    return flat.withColumn("categories", cats)
+    return flat.withColumn("categories", F.from_json("categories", "array<string>"))
 
 
 def export_ranked(ranked: DataFrame, path: str, run_date: str) -> str:

@@ -55,17 +55,6 @@ def test_one_row_per_lead(spark, small):
     assert table.count() == table.select("task_id").distinct().count()
 
 
-@pytest.mark.parametrize("max_rows", [3])
-def test_features_do_not_depend_on_the_hot_key_limit(spark, small, monkeypatch, max_rows):
-    """With a limit of a few rows every user is cut into time slices; the table must not change."""
-    want = rg.feature_stage(spark, small)
-    original = ft.point_in_time
-    monkeypatch.setattr(ft, "point_in_time", lambda *a, **k: original(*a, **{**k, "max_rows": max_rows}))
-    got = ft.feature_table(roles.load_roles(spark, small), rg.SPAN, rg.TIERS, rg.lead_stage(spark, small))
-    columns = want.columns
-    assert got.select(*columns).exceptAll(want).count() == 0 and want.exceptAll(got.select(*columns)).count() == 0
-
-
 def test_user_level_results_equal_the_written_out_joins(spark, small):
     """The original joins all of a user's leads with all of their as-of rows and takes maxima; here in full."""
     src = roles.load_roles(spark, small)

@@ -55,6 +55,11 @@ def test_row_numbers_per_key(spark):
         assert got[i] == seen[g]
 
 
+def test_null_keys_are_a_group(spark):
+    df = spark.createDataFrame([(None, 1, 1, 0), (None, 2, 2, 0), ("a", 1, 3, 0), (None, 3, 4, 0)], "g string, s int, id int, v int")
+    assert {(r.id, r.n) for r in od.number_rows_by(df, "g", ["s", "id"], "n").collect()} == {(1, 1), (2, 2), (3, 1), (4, 3)}
+
+
 def test_empty_input(spark):
     df = spark.createDataFrame([], "g string, s int, id int, v int")
     assert od.with_position(df, ["s"]).count() == 0

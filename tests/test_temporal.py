@@ -1,4 +1,4 @@
-"""Point-in-time operators against brute force, with and without hot keys."""
+"""Point-in-time operators against brute force, with a hot key and a hot instant."""
 
 import datetime as dt
 import random
@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import plan_text
 from leadwright.operators import temporal as tp
 
 T0 = dt.datetime(2024, 1, 1)
@@ -44,10 +45,9 @@ def brute(probes, events, strict):
     return out
 
 
-@pytest.mark.parametrize("max_rows", [10**9, 200, 7])
 @pytest.mark.parametrize("strict", [True, False])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_point_in_time_matches_brute_force(spark, seed, strict, max_rows):
+def test_point_in_time_matches_brute_force(spark, seed, strict):
     probes, events = data(seed)
     p, e = spark.createDataFrame(probes, SCHEMA_P), spark.createDataFrame(events, SCHEMA_E)
     measures = {
@@ -55,7 +55,7 @@ def test_point_in_time_matches_brute_force(spark, seed, strict, max_rows):
         "first_ts": ("min", F.col("ts")), "last_ts": ("max", F.col("ts")),
     }
     found = tp.point_in_time(
-        p, "k", "at", [tp.Source(e, "ts", measures)], strict, max_rows=max_rows,
+        p, "k", "at", [tp.Source(e, "ts", measures)], strict,
         earlier={"day": lambda at: at - F.expr("INTERVAL 24 HOURS")},
     ).collect()
     want = brute(probes, events, strict)
@@ -99,13 +99,33 @@ def test_ties_go_to_the_tie_columns(spark):
     assert tp.asof_join(leads, history, "k", "at", "ts", ["v"], tie=["valid_to"]).first().v == 1
 
 
-def test_cuts_bound_the_slices(spark):
-    _, events = data(3, 2000)
-    rows = spark.createDataFrame([(k, ts) for k, ts, _ in events if k is not None], "_k bigint, _ts timestamp_ntz")
-    cuts = tp.hot_key_cuts(rows, "_k", "_ts", 100).collect()
-    assert 0 in {r["_k"] for r in cuts}
-    assert all(len(r["_cuts"]) <= tp.MAX_SLICES for r in cuts)
-    assert tp.hot_key_cuts(rows, "_k", "_ts", 10**6) is None
+def test_last_measures_come_from_one_row(spark):
+    """Ties: both measures of a source from its greatest row, also where an earlier day or a NULL is in play."""
+    at = T0 + dt.timedelta(days=5)
+    probes = spark.createDataFrame([(1, at), (2, at)], SCHEMA_P)
+    events = spark.createDataFrame(
+        [(1, T0, 5, 1), (1, T0, 3, 9), (2, T0, 5, 1), (2, T0 + dt.timedelta(days=2), 2, None), (2, T0 + dt.timedelta(days=3), None, None)],
+        "k bigint, ts timestamp_ntz, a int, b int")
+    got = tp.point_in_time(probes, "k", "at", [tp.Source(events, "ts", {"a": ("last", F.col("a")), "b": ("last", F.col("b"))})])
+    assert {(r.k, r.a, r.b) for r in got.collect()} == {(1, 5, 1), (2, 2, None)}
+
+
+def test_only_events_of_asked_keys_and_times_are_read(spark, tmp_path):
+    events = spark.range(10_000).select(
+        (F.col("id") % 1000).alias("k"), F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, int(id % 500))").alias("ts"), F.col("id").alias("v"))
+    events.write.parquet(str(tmp_path / "events"))
+    probes = spark.createDataFrame([(7, T0 + dt.timedelta(hours=100))], SCHEMA_P)
+    got = tp.point_in_time(probes, "k", "at", [tp.Source(spark.read.parquet(str(tmp_path / "events")), "ts", {"n": ("sum", F.lit(1))})])
+    plan = plan_text(got)
+    assert "LeftSemi" in plan and "LessThan(ts,2024-01-05T04:00" in plan
+    assert [r.n for r in got.collect()] == [sum(1 for i in range(7, 10_000, 1000) if i % 500 < 100)]
+
+
+def test_times_of_another_type_are_cast(spark):
+    probes = spark.createDataFrame([(1, T0 + dt.timedelta(hours=1))], SCHEMA_P)
+    events = spark.createDataFrame([(1, "2024-01-01 00:30:00"), (1, "2024-01-01 01:30:00")], "k bigint, t string").select(
+        "k", F.col("t").cast("timestamp").alias("ts"))
+    assert tp.point_in_time(probes, "k", "at", [tp.Source(events, "ts", {"n": ("sum", F.lit(1))})]).first().n == 1
 
 
 def test_labels_have_a_lower_bound(spark):
