@@ -123,11 +123,17 @@ def calibrate(z: np.ndarray, toxic: np.ndarray, threshold: float = THRESHOLD) ->
 _SAMPLE = "shard int, positive boolean, toxic int, features binary"
 
 
-def _features_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = features(batch.column("text"))
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("shard", "positive", "toxic")), pa.array([r.tobytes() for r in rows], pa.binary())],
-                                         ["shard", "positive", "toxic", "features"])
+def _features_of(chosen: np.ndarray):
+    """The chosen features of each sampled text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told = np.zeros(2 ** BITS, bool)
+        told[chosen] = True
+        for batch in batches:
+            rows = [r[told[r]].tobytes() for r in features(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("shard", "positive", "toxic")), pa.array(rows, pa.binary())],
+                                             ["shard", "positive", "toxic", "features"])
+
+    return run
 
 
 def _unpack(column) -> list[np.ndarray]:
@@ -138,7 +144,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """In how many confirmed and other texts of this task each feature is; the row -1 counts the texts."""
     counts = np.zeros((2, 2 ** BITS + 1), np.int64)
     for batch in batches:
-        for row, positive in zip(_unpack(batch.column("features")), batch.column("positive").to_pylist()):
+        for row, positive in zip(features(batch.column("text")), batch.column("positive").to_pylist()):
             counts[0 if positive else 1][row] += 1
             counts[0 if positive else 1][-1] += 1
     at = np.flatnonzero(counts.any(axis=0))
@@ -148,9 +154,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _trainer(chosen: np.ndarray, prior: float):
     def run(table: pa.Table) -> pa.Table:
-        told = np.zeros(2 ** BITS, bool)
-        told[chosen] = True
-        rows = [r[told[r]] for r in _unpack(table.column("features"))]
+        rows = _unpack(table.column("features"))
         positive = table.column("positive").to_pylist()
         # Sorted, so that sums do not depend on the order in which rows arrive.
         first = sorted((r for r, p in zip(rows, positive) if p), key=bytes)
@@ -181,9 +185,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, ma
     free = texts.filter(draw < max_unlabelled / total).select(shard, F.lit(False).alias("positive"), F.lit(None).cast("int").alias("toxic"), "text")
     marked = texts.join(F.broadcast(picked) if max_positive + max_unlabelled <= 200_000 else picked, "doc_id").select(
         shard, (F.col("toxic") == 1).alias("positive"), "toxic", "text")
-    sample = tools.materialise(marked.unionByName(free).mapInArrow(_features_of, _SAMPLE), "toxicity-sample")
-    drawn = sample.filter("positive OR toxic IS NULL")
-    counted = drawn.select("positive", "features").mapInArrow(_counts, "feature long, positive long, unlabelled long").groupBy("feature").agg(
+    sample = tools.materialise(marked.unionByName(free), "toxicity-sample")
+    counted = sample.filter("positive OR toxic IS NULL").select("positive", "text").mapInArrow(_counts, "feature long, positive long, unlabelled long").groupBy("feature").agg(
         F.sum("positive").alias("positive"), F.sum("unlabelled").alias("unlabelled")).filter(
         (F.col("feature") < 0) | (F.col("positive") >= MIN_TEXTS)).toPandas().sort_values("feature")  # 2 ** BITS rows at most
     sizes = counted[counted["feature"] < 0].sum()
@@ -192,7 +195,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, ma
     listed = counted[counted["feature"] >= 0]
     told = telling(listed["positive"].to_numpy(float), listed["unlabelled"].to_numpy(float), int(sizes["positive"]), int(sizes["unlabelled"]))
     chosen = listed["feature"].to_numpy()[told]
-    parts = drawn.withColumn("shard", F.explode(F.when(F.col("positive"), F.sequence(F.lit(0), F.lit(shards - 1))).otherwise(F.array("shard"))))
+    told_of = tools.materialise(sample.mapInArrow(_features_of(chosen), _SAMPLE), "toxicity-features")
+    parts = told_of.filter("positive OR toxic IS NULL").withColumn("shard", F.explode(F.when(F.col("positive"), F.sequence(F.lit(0), F.lit(shards - 1))).otherwise(F.array("shard"))))
     found = parts.groupBy("shard").applyInArrow(_trainer(chosen, counts["toxic"] / counts["n"]), "weights binary").collect()
     if not found:
         return None
@@ -203,7 +207,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, ma
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array(margins(_unpack(batch.column("features")), weights)), batch.column("toxic")], ["z", "toxic"])
 
-    rows = sample.filter("toxic IS NOT NULL").mapInArrow(known_margins, "z double, toxic int").toPandas()
+    rows = told_of.filter("toxic IS NOT NULL").mapInArrow(known_margins, "z double, toxic int").toPandas()
     return Model(weights.astype(np.float32), *calibrate(rows["z"].to_numpy(), rows["toxic"].to_numpy() == 1))
 
 
