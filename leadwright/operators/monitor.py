@@ -39,7 +39,7 @@ def _shares(df: DataFrame, cells: Column, name: str) -> DataFrame:
 def psi(expected: DataFrame, actual: DataFrame, bins: list[Bin], ceiling: float = fx.PSI_CEILING) -> DataFrame:
     """Population stability index per binned variable, and whether it exceeds the ceiling."""
     cells = F.array(*[
-        F.struct(F.lit(v).alias("variable"), pick(bs, [b.label for b in bs], "(other)").alias("bin"))
+        F.struct(F.lit(v).alias("variable"), pick(bs, [b.bin_id for b in bs], -1).alias("bin"))  # -1: in no bin
         for v, bs in by_variable(bins).items()
     ])
     both = _shares(expected, cells, "_e").join(_shares(actual, cells, "_a"), ["variable", "bin"], "full_outer")

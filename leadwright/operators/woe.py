@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
+from leadwright.operators.ordered import running_sums
+
 # The split search runs in Python workers; sent by value, it needs no installed package there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -21,7 +23,6 @@ MISSING = "missing"
 # Count put in place of an empty positive or negative cell, so that every WOE is finite.
 EMPTY_CELL = 0.9
 MAX_BINS_TOTAL = 10_000
-MAX_CATEGORIES = 200
 
 BIN_FIELDS = (
     "variable string, bin_id int, bin string, kind string, lo double, hi double, categories array<string>"
@@ -188,11 +189,28 @@ def _fine_counts(df: DataFrame, variables: dict[str, str], target: str, n_fine:
     long = df.where(F.col(target).isNotNull()).select(F.col(target).alias("_y"), F.explode(cells).alias("_c"))
     counts = long.groupBy("_c.variable", "_c.cell").agg(
         F.count(F.lit(1)).alias("n"), F.sum("_y").cast("bigint").alias("pos"))
+    texts = [v for v, kind in variables.items() if kind == "category"]
+    if texts:
+        whole = ~F.col("variable").isin(texts) | F.col("cell").isNull()
+        none = F.lit(None).cast("array<string>").alias("members")
+        counts = counts.where(whole).select("*", none).unionByName(_category_cells(counts.where(~whole), n_fine))
+    else:
+        counts = counts.withColumn("members", F.lit(None).cast("array<string>"))
     limits = df.sparkSession.createDataFrame(
         [(v, k, edges.get(v, [])) for v, k in variables.items()], "variable string, kind string, edges array<double>")
     return counts.join(F.broadcast(limits), "variable")
 
 
+def _category_cells(counts: DataFrame, n_fine: int) -> DataFrame:
+    """Categories in the order of their rate, in cells: one each where they are few, else ``n_fine`` of like weight."""
+    rated = counts.withColumns({"rate": F.col("pos") / F.col("n"), "one": F.lit(1)})
+    placed = running_sums(rated, ["variable"], ["rate", "cell"], {"n": "n", "one": "one"})
+    by_weight = F.floor((F.col("cum_n") - F.col("n") / 2) * n_fine / F.col("total_n"))
+    place = F.when(F.col("total_one") <= n_fine, F.col("cum_one") - 1).otherwise(F.least(by_weight, F.lit(n_fine - 1)))
+    return placed.groupBy("variable", place.cast("int").cast("string").alias("fine")).agg(
+        F.sum("n").alias("n"), F.sum("pos").alias("pos"), F.collect_list("cell").alias("members")).withColumnRenamed("fine", "cell")
+
+
 def _iv(pos: np.ndarray, neg: np.ndarray) -> float:
     p = np.where(pos == 0, EMPTY_CELL, pos)
     q = np.where(neg == 0, EMPTY_CELL, neg)
@@ -234,7 +252,7 @@ def auto_bins(
     """Supervised bins of each variable as a WOE table.
 
     Spark counts the rows per fine cell; the splits are then sought per variable in its table of at most
-    ``n_fine`` (or MAX_CATEGORIES) cells.
+    ``n_fine`` cells.
     """
     kinds = {f.name: "category" if isinstance(f.dataType, (T.StringType, T.BooleanType)) else "interval"
              for f in df.schema if f.name in variables}
@@ -245,12 +263,7 @@ def auto_bins(
         out = []
         if len(missing):
             out.append((variable, 0, MISSING, "missing", None, None, None, int(missing["n"].sum()), int(missing["pos"].sum())))
-        if kind == "category":
-            if len(cells) > MAX_CATEGORIES:
-                raise ValueError(f"{variable} has more than {MAX_CATEGORIES} categories; leave it out or group it")
-            cells = cells.assign(rate=cells["pos"] / cells["n"]).sort_values(["rate", "cell"])
-        else:
-            cells = cells.assign(order=cells["cell"].astype(int)).sort_values("order")
+        cells = cells.assign(order=cells["cell"].astype(int)).sort_values("order")
         if len(cells):
             n, pos = cells["n"].to_numpy(float), cells["pos"].to_numpy(float)
             starts = [0, *best_splits(n, pos, max_bins, min_share, min_gain)]
@@ -259,7 +272,7 @@ def auto_bins(
                 part = cells.iloc[a:b]
                 lo = hi = cats = None
                 if kind == "category":
-                    cats = sorted(part["cell"])
+                    cats = sorted(c for members in part["members"] for c in members)
                     label = "|".join(cats)
                 else:
                     lo = float(edges[int(cells["cell"].iloc[a]) - 1]) if a else None

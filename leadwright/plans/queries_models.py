@@ -286,6 +286,79 @@ def rules_export(spark, sf):
     return tables.import_rules(spark, path).select("variable", "bin", "points")
 
 
+# Limits of more than six digits, two of them neighbours.
+ITEM_POINTS = {
+    "l_extendedprice": {(None, 12345.67): 5, (12345.67, 23456.78): -4, (23456.78, 23456.79): 90, (23456.79, 54321.05): 11, (54321.05, None): 30, "missing": 1},
+    "l_returnflag": {"R": 7, "A": -3},
+}
+ITEM_SCORES = """SELECT l_orderkey, l_linenumber, 100 + CASE WHEN l_extendedprice IS NULL THEN 1 WHEN l_extendedprice < 12345.67 THEN 5
+  WHEN l_extendedprice < 23456.78 THEN -4 WHEN l_extendedprice < 23456.79 THEN 90 WHEN l_extendedprice < 54321.05 THEN 11 ELSE 30 END
+  + CASE l_returnflag WHEN 'R' THEN 7 WHEN 'A' THEN -3 ELSE 0 END AS total_score FROM lineitem"""
+
+
+@query("rules_sql_scoring", ITEM_SCORES)
+def rules_sql_scoring(spark, sf):
+    """Scores from the rules written as SQL text."""
+    rules = sc.rules_frame(spark, sc.rules_from_points(ITEM_POINTS))
+    total = " + ".join(f"({text})" for text in sc.rules_sql(rules).values())
+    return roles.given(spark, sf, "lineitem").selectExpr("l_orderkey", "l_linenumber", f"100 + {total} AS total_score")
+
+
+@query("rules_reimport_scoring", ITEM_SCORES)
+def rules_reimport_scoring(spark, sf):
+    """Scores from a rule table that was exported and read back."""
+    rules = sc.rules_frame(spark, sc.rules_from_points(ITEM_POINTS))
+    path = tables.export_rules(rules, f"{shared_dir(spark)}/rules-{uuid.uuid4().hex}")
+    scored_rows = sc.score(roles.given(spark, sf, "lineitem"), tables.import_rules(spark, path), 100)
+    return scored_rows.select("l_orderkey", "l_linenumber", "total_score")
+
+
+# ---------------------------------------------------------------- evaluation on the test part
+def cells_sql(breaks: dict[str, list], source: str) -> str:
+    """Row, variable and bin number of every binned value."""
+    parts = []
+    for v, marks in breaks.items():
+        values = [m for m in marks if m != wo.MISSING]
+        cell = (f"1 + len(list_filter([{', '.join(map(str, values))}], lambda b: b <= {v}))" if v in NUMERIC
+                else f"list_position({values!r}, {v})")
+        parts.append(f"SELECT task_id, {TARGET} AS y, '{v}' AS variable, CASE WHEN {v} IS NULL THEN 0 ELSE {cell} END AS bin_id FROM {source}")
+    return " UNION ALL ".join(parts)
+
+
+_LOGIT = " + ".join(f"max(CASE WHEN variable = '{v}' THEN coalesce(woe, 0) END) * {FIXED_COEFS[v + '_woe']}::DOUBLE" for v in MODEL_VARIABLES)
+TEST_PART = {
+    "split": f"""SELECT features.*, CASE WHEN row_number() OVER (PARTITION BY {TARGET} ORDER BY md5('{fx.SPLIT_SEED}|' || task_id), task_id)
+      <= round(0.7 * count(*) OVER (PARTITION BY {TARGET})) THEN 'train' ELSE 'test' END AS part FROM features""",
+    "train_rows": "SELECT * FROM split WHERE part = 'train'",
+    "test_rows": "SELECT * FROM split WHERE part = 'test'",
+    "train_woe": woe_sql(bins_sql(MODEL_BREAKS, "train_rows")),
+    "test_cells": cells_sql(MODEL_BREAKS, "test_rows"),
+    "scored_rows": f"""SELECT y, round(1 / (1 + exp(-({FIXED_COEFS[md.INTERCEPT]}::DOUBLE + {_LOGIT}))), 12) AS score FROM test_cells
+      LEFT JOIN train_woe USING (variable, bin_id) GROUP BY task_id, y""",
+}
+
+
+def test_part_scores(spark, sf):
+    """Probability of the test part under fixed coefficients, with bins and WOE of the training part only."""
+    split = md.split_stratified(feature_stage(spark, sf), ["task_id"], TARGET)
+    bins = wo.woe_table(wo.bin_counts(split.where("part = 'train'"), wo.bins_from_breaks(MODEL_BREAKS), TARGET))
+    test = wo.apply_woe(split.where("part = 'test'"), bins, ["task_id", TARGET])
+    return test.select(F.col(TARGET).alias("y"), F.round(md.probability(FIXED_COEFS), 12).alias("score"))
+
+
+@query("test_performance", f"SELECT n, positives, auc, ks FROM ({rank_auc()}), (SELECT round(max(abs(tp::DOUBLE / p::DOUBLE - fp::DOUBLE / n::DOUBLE)), 9) AS ks "
+       f"FROM ({_CURVE}))", TEST_PART)
+def test_performance(spark, sf):
+    """AUC and KS of the probabilities on the test part."""
+    return ev.auc_ks(test_part_scores(spark, sf), "score", "y").select("n", "positives", F.round("auc", 9).alias("auc"), F.round("ks", 9).alias("ks"))
+
+
+@query("test_deciles", "SELECT * EXCLUDE (i) FROM shares", {**TEST_PART, **{n: q for n, q in DECILES.items() if n != "scored_rows"}})
+def test_deciles(spark, sf):
+    """Decile report of the probabilities on the test part."""
+    return ev.decile_table(test_part_scores(spark, sf), "score", "y")
+
+
 _HALVES = {
     "first_half": "SELECT * FROM features WHERE alloc_date < DATE '2024-01-16'",
     "second_half": "SELECT * FROM features WHERE alloc_date >= DATE '2024-01-16'",

@@ -39,20 +39,29 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for stage tables: the one named in ``spark.checkpoint.dir``, else (local mode only) a new one."""
+    """Folder for stage tables: the one named in ``spark.checkpoint.dir``; only where driver and executors are one
+    process (master ``local`` or ``local[...]``) and nothing is named, a new one."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="leadwright-")
     sc.setCheckpointDir(named)
     return sc.getCheckpointDir()
 
 
+def clear_stages(spark: SparkSession, name: str = "") -> None:
+    """Delete this session's stage tables whose name begins with ``name``; frames that read them are of no use then."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(shared_dir(spark), f"{name}*")
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for found in files.globStatus(folder):
+        files.delete(found.getPath(), True)
+
+
 def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as a stage table in the shared folder and read it back.
 

@@ -63,3 +63,13 @@ def test_filters_and_columns_reach_the_parquet_scan(spark, small):
     text = plan_text(roles.role(spark, small, "policy_order").select("policy_no"))
     assert "EqualTo(event_type,purchase)" in text
     assert "ReadSchema: struct<event_id:bigint,event_type:string>" in text
+
+
+def test_stage_tables_are_cleared_by_name(spark):
+    from leadwright.session import clear_stages, materialise
+
+    kept, gone = materialise(spark.range(3), "kept"), materialise(spark.range(3), "passing")
+    clear_stages(spark, "passing-")
+    assert kept.count() == 3
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|FAILED_READ_FILE|not exist"):
+        gone.collect()
