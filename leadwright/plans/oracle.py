@@ -197,6 +197,7 @@ CTE: dict[str, str] = {
     # ---- original user-level results, with the joins on the user written out
     **_visits_reference("cf", ["visit_case_cnt", "visit_caseid_num"]),
     **_visits_reference("hz", ["visit_event_cnt", "visit_payment_cnt"]),
+    "ref_bao_rows": _visits_reference("bao", [])["ref_bao_rows"],
     "ref_bao": f"""SELECT l.task_id, max(h.last_week_visit_cnt) AS last_week_visit_cnt_bao, max(h.visit_cnt) AS visit_cnt_bao,
         max({gap('l.alloc_date', 'h.first_visit_time')}) AS datediff_first_visit_bao, max({gap('l.alloc_date', 'h.last_visit_time')}) AS datediff_last_visit_bao
         FROM lead_tasks l JOIN (SELECT l.user_id, max(h.last_visit_time) AS newest FROM lead_tasks l JOIN visit_bao h

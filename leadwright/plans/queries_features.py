@@ -22,10 +22,14 @@ def stage_lead_base(spark, sf):
 
 
 _CLASSES = list(ft.fx.CITY_COLUMNS.values())
-_BASE_OUT = [*ft.fx.KEEP_NULL_TAGS, *_CLASSES, *ft.fx.TAG_TIMES.values(), *ft.FOLLOW_TAGS.values()]
-_BASE_JOIN = "leads0 l JOIN lead_tags g USING (task_id) JOIN follow f USING (task_id) JOIN lead_share USING (task_id) JOIN lead_app USING (task_id)"
+_RAW_TAGS = [*ft.fx.KEEP_NULL_TAGS, "mobile_operator", *ft.fx.ZERO_FILL_TAGS, *ft.fx.FLAG_FILL_TAGS]
+_LEAD_REST = [c for c in _LEAD_OUT if c != "task_id"]
+_BASE_OUT = [*_LEAD_REST, *_RAW_TAGS, *_CLASSES, *ft.fx.TAG_TIMES.values(), *ft.FOLLOW_TAGS.values()]
+_BASE_JOIN = ("base_leads l JOIN lead_tags g USING (task_id) JOIN follow f USING (task_id) JOIN lead_share USING (task_id) "
+              "JOIN lead_app USING (task_id) LEFT JOIN user_tag t ON t.user_id = l.user_id")
 # Filled only at the end, so NULLs still show here.
-_BASE_SQL = ", ".join([f"g.{c}" for c in [*ft.fx.KEEP_NULL_TAGS, *_CLASSES, *ft.fx.TAG_TIMES.values()]]
+_BASE_SQL = ", ".join([f"l.{c}" for c in _LEAD_REST] + [f"t.{c}" for c in _RAW_TAGS]
+                      + [f"g.{c}" for c in [*_CLASSES, *ft.fx.TAG_TIMES.values()]]
                       + [f"f.{c}" for c in ft.FOLLOW_TAGS.values()]
                       + ["share_cnt", f"{oc.gap('l.alloc_date', 'last_share')} AS datediff_lastshare",
                          "CASE WHEN app_start IS NOT NULL THEN 1 ELSE 0 END AS sdb_app_start_flag"])
@@ -34,7 +38,7 @@ _SHARE_OUT = ["share_cnt", "datediff_lastshare", "sdb_app_start_flag"]
 
 def _with_base(spark, sf, groups):
     src = roles.load_roles(spark, sf)
-    leads = lead_stage(spark, sf).select("task_id", *ft.LEAD_COLUMNS)
+    leads = lead_stage(spark, sf).withColumns({c: F.round(c, 4) for c in ("t7_origin", "t14_origin")}).select(*_LEAD_OUT)
     rows = ft.add_point_in_time(leads, src, SPAN, groups)
     if "shares" in groups:
         rows = ft.add_follow_tags(ft.add_tags(rows, src["user_tag"], TIERS), src["wx_detail"], SPAN)
@@ -106,14 +110,29 @@ def final_feature_table_reference(spark, sf):
     return ft.feature_table_reference(roles.load_roles(spark, sf), SPAN, TIERS)
 
 
-_AUDITED = {f"last_visit_{g}": f"last_visit_time_{g}" for g in ft.VISITS}
+_AUDITED = {**{f"last_visit_{g}": f"last_visit_time_{g}" for g in ft.VISITS}, "last_view": "last_view", "last_order": "last_order",
+            "last_gift": "last_gift", "last_share": "last_share", "last_app_start": "app_start"}
+_AUDIT_ORDERS = {"lead_order_times": """SELECT l.task_id, max(o.create_time) AS last_order,
+  max(o.create_time) FILTER (WHERE o.order_type = 1 AND o.policy_no <> '') AS last_gift
+  FROM leads0 l LEFT JOIN ins_order o ON o.user_id = l.user_id AND o.create_time < l.alloc_time GROUP BY l.task_id"""}
 
 
 @query("leakage_audit", " UNION ALL ".join(
-    f"SELECT '{n}' AS feature, count({c}) AS n_events, count(*) FILTER (WHERE {c} >= alloc_time) AS n_leaks "
-    "FROM leads0 JOIN lead_visits USING (task_id)" for n, c in _AUDITED.items()))
+    f"SELECT '{n}' AS feature, count({c}) AS n_events, count(*) FILTER (WHERE {c} >= alloc_time) AS n_leaks FROM leads0 JOIN lead_visits USING (task_id) "
+    "JOIN lead_views USING (task_id) JOIN lead_share USING (task_id) JOIN lead_app USING (task_id) JOIN lead_order_times USING (task_id)"
+    for n, c in _AUDITED.items()), _AUDIT_ORDERS)
 def leakage_audit(spark, sf):
-    return ft.leakage_audit(_with_base(spark, sf, list(ft.VISITS)), _AUDITED)
+    """The newest event behind every timed feature, against the allocation."""
+    src = roles.load_roles(spark, sf)
+    leads = ft.add_point_in_time(lead_stage(spark, sf).select("task_id", *ft.LEAD_COLUMNS), src, SPAN, list(ft.VISITS))
+    views = ft.page_view_rows(src["user_action"], SPAN)
+    logs = [(views, "operation_time", {"last_view": F.col("operation_time")}),
+            (src["ins_order"], "create_time", {"last_order": F.col("create_time"), "last_gift": F.when(ft.is_gift_order(), F.col("create_time"))}),
+            (src["share_action"], "time", {"last_share": F.col("time")}),
+            (src["app_tag"], "last_appstart_op_time", {"app_start": F.col("last_appstart_op_time")})]
+    known = tp.point_in_time(leads, "user_id", "alloc_time", [
+        tp.Source(df, ts, {n: ("max", c) for n, c in newest.items()}) for df, ts, newest in logs])
+    return ft.leakage_audit(leads.join(known, ["user_id", "alloc_time"], "left"), _AUDITED)
 
 
 @query("leakage_audit_reference", """SELECT 'last_visit_cf' AS feature, count(*) AS n_events,

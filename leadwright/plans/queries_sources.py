@@ -153,18 +153,22 @@ for _g in ft.VISITS:
           "FROM leads0 l JOIN lead_visits v USING (task_id)")(lambda spark, sf, g=_g: _asof(spark, sf, g))
 
 
-@query("asof_visit_cf_reference", "SELECT user_id, first_visit_time, last_visit_time, last_week_visit_cnt, visit_cnt, "
-       "visit_case_cnt, visit_caseid_num FROM ref_cf_rows")
-def asof_visit_cf_reference(spark, sf):
+def _asof_reference(spark, sf, g):
     """History rows that are some allocation's last row before it, ties included: a semi join on the found
     moments, so leads and history rows never multiply."""
     leads = ft.campaign_tasks(role(spark, sf, "crm_task"), SPAN)
-    history = role(spark, sf, "visit_cf")
+    role_name, extras = ft.VISITS[g]
+    history = role(spark, sf, role_name)
     newest = tp.point_in_time(leads, "user_id", "alloc_time", [
         tp.Source(history, "last_visit_time", {"last_visit_time": ("max", F.col("last_visit_time"))})])
     moments = newest.select("user_id", "last_visit_time").distinct()
     rows = history.join(moments, ["user_id", "last_visit_time"], "left_semi").distinct()
-    return rows.select("user_id", *ft.VISIT_FIELDS, "visit_case_cnt", "visit_caseid_num")
+    return rows.select("user_id", *ft.VISIT_FIELDS, *extras)
+
+
+for _g, (_, _extras) in ft.VISITS.items():
+    query(f"asof_visit_{_g}_reference", f"SELECT user_id, {', '.join([*ft.VISIT_FIELDS, *_extras])} FROM ref_{_g}_rows")(
+        lambda spark, sf, g=_g: _asof_reference(spark, sf, g))
 
 
 @query("events_before_alloc", "SELECT l.task_id, count(a.operation_time) AS n_events, max(a.operation_time) AS last_event "
@@ -190,12 +194,19 @@ def task_dial_count(spark, sf):
 
 
 # ---------------------------------------------------------------- folds
-@query("label_base", "SELECT task_id, user_id, alloc_date, t7_policy_flag, t14_policy_flag, t7_policy_cnt, t7_origin, "
-       "t14_policy_cnt, t14_origin, channel_type FROM ref_labels")
+_LABEL_OUT = ["task_id", *ft.LEAD_COLUMNS, "t7_policy_flag", "t14_policy_flag", "t7_policy_cnt", "t7_origin", "t14_policy_cnt",
+              "t14_origin", "channel_type", "channel", "subchannel"]
+
+
+@query("label_base", f"SELECT {', '.join(_LABEL_OUT)}, through_flag, fst_through_flag FROM ref_labels JOIN lead_flags USING (task_id)")
 def label_base(spark, sf):
+    """Labels at the original grain, with the call flags of the task."""
     rows = ft.label_groups({r: role(spark, sf, r) for r in ("crm_task", "policy_order", "clue")}, SPAN)
-    return rows.select("task_id", "user_id", "alloc_date", "t7_policy_flag", "t14_policy_flag", "t7_policy_cnt",
-                       F.round("t7_origin", 4).alias("t7_origin"), "t14_policy_cnt", F.round("t14_origin", 4).alias("t14_origin"), "channel_type")
+    leads = ft.one_row_per_task(ft.campaign_tasks(role(spark, sf, "crm_task"), SPAN))
+    flags = ft.call_flags(leads, role(spark, sf, "call_record"), SPAN, "lead").select("task_id", "through_flag", "fst_through_flag")
+    rounded = rows.withColumns({c: F.round(c, 4) for c in ("t7_origin", "t14_origin")}).select(*_LABEL_OUT)
+    return rounded.join(flags, "task_id").select(*_LABEL_OUT, "through_flag", "fst_through_flag")
+
 
 
 @query("first_connected_call", "SELECT task_id, min(start_time) AS first_connected_time FROM connected_calls "
