@@ -18,9 +18,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = line_dedup.dedup(docs).filter("n_removed = 0 OR text <> ''")
+    found = line_dedup.dedup(docs)
     new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
-    return found.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    left = F.struct(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns]).alias("doc")
+    # Written first: a filter on what is left would move down into the chunking and repeat its array work.
+    written = tools.materialise(found.select(left, "n_removed"), "line-dedup")
+    return written.filter("n_removed = 0 OR doc.text <> ''").select("doc.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

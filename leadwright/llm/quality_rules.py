@@ -85,23 +85,31 @@ def frequent_lines(lines: DataFrame, min_docs: int = MIN_DOCS, max_share: float
         F.col("docs") > max_share * F.col("host_docs")).select("host", "line_hash")
 
 
+def _judged(keyed: DataFrame, min_docs: int, max_share: float, min_left: float) -> DataFrame:
+    lines = tools.materialise(line_rows(keyed), "quality-lines")
+    removed = lines.join(frequent_lines(lines, min_docs, max_share), ["host", "line_hash"]).groupBy(
+        "host", "text_hash").agg(F.sum("n").alias("removed_words"))
+    found = _with_counts(keyed).join(removed, ["host", "text_hash"], "left").withColumn(
+        "removed_words", F.coalesce("removed_words", F.lit(0)))
+    depleted = F.col("n_words") - F.col("removed_words") < min_left * F.col("n_words")
+    return found.withColumn("kept", ~F.col("base_failed") & ~depleted)
+
+
 def verdicts(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE,
              min_left: float = MIN_LEFT, carry: list[str] | None = None) -> DataFrame:
     """Every input row as ``row`` (its columns ``carry``, or all) with its counts, ``removed_words`` and ``kept``.
 
     The line rows are written once and read for the counts and for the removal. Rows of a hot host are spread by
-    text and line; the join back on (host, text) can be split on the document side.
+    text and line; the join back on (host, text) can be split on the document side. Write the result before filtering
+    on it: a filter moves down into the counts and repeats their array work.
     """
     keyed = _keyed(docs, host, docs.columns if carry is None else carry)
-    lines = tools.materialise(line_rows(keyed), "quality-lines")
-    removed = lines.join(frequent_lines(lines, min_docs, max_share), ["host", "line_hash"]).groupBy(
-        "host", "text_hash").agg(F.sum("n").alias("removed_words"))
-    found = _with_counts(keyed).join(removed, ["host", "text_hash"], "left").withColumn(
-        "removed_words", F.coalesce("removed_words", F.lit(0)))
-    depleted = F.col("n_words") - F.col("removed_words") < min_left * F.col("n_words")
-    return found.withColumn("kept", ~F.col("base_failed") & ~depleted).drop("text_hash")
+    return _judged(keyed, min_docs, max_share, min_left).drop("text_hash")
 
 
-def kept_documents(docs: DataFrame, **options) -> DataFrame:
+def kept_documents(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE,
+                   min_left: float = MIN_LEFT) -> DataFrame:
     """The documents that the rules keep, unchanged and with the columns of the input."""
-    return verdicts(docs, **options).filter("kept").select("row.*")
+    judged = _judged(_keyed(docs, host, ["text"]), min_docs, max_share, min_left).select("host", "text_hash", "kept")
+    kept = tools.materialise(judged, "quality-verdicts").filter("kept").select("host", "text_hash").distinct()
+    return _keyed(docs, host, docs.columns).join(kept, ["host", "text_hash"], "left_semi").select("row.*")
