@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from leadwright.llm import brown_lm, tools
+from text_fixtures import awkward, make  # noqa: F401
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

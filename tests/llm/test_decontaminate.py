@@ -2,6 +2,7 @@ import collections
 import random
 
 from leadwright.llm import decontaminate, tools
+from text_fixtures import awkward, make  # noqa: F401
 
 
 def grams(words):

@@ -6,6 +6,7 @@ import re
 import pytest
 
 from leadwright.llm import components, jaccard_join, tools
+from text_fixtures import awkward, make  # noqa: F401
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

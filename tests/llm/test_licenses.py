@@ -1,6 +1,7 @@
 import textwrap
 
 from leadwright.llm import licenses, tools
+from text_fixtures import awkward, make  # noqa: F401
 
 
 def names(text):

@@ -3,6 +3,7 @@ import collections
 import xxhash
 
 from leadwright.llm import line_dedup, tools
+from text_fixtures import awkward, make  # noqa: F401
 
 MASK = 2 ** 64 - 1
 

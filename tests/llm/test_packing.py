@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from leadwright.llm import packing, tools
+from text_fixtures import awkward, make  # noqa: F401
 
 
 def expected(rows, tokenizer, size=packing.SIZE):

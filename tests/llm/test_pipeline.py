@@ -12,6 +12,7 @@ from test_jaccard_join import brute as components
 from test_line_dedup import brute as shortened
 from test_packing import check
 from test_quality_rules import brute as verdicts
+from text_fixtures import awkward, make  # noqa: F401
 
 
 def test_stages_against_brute_force(spark, small):

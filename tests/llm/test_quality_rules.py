@@ -5,6 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from leadwright.llm import quality_rules, tools
+from text_fixtures import awkward, make  # noqa: F401
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 

@@ -3,6 +3,7 @@ import zlib
 import numpy as np
 
 from leadwright.llm import tools, toxicity
+from text_fixtures import awkward, make  # noqa: F401
 
 
 def fold(doc):

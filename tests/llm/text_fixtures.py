@@ -1,11 +1,8 @@
-import os
-import sys
+"""Fixtures of these tests; a plain module, so that it does not shadow the ``conftest`` of the folder above."""
 
 import pytest
 from pyspark.sql import functions as F
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Columns of input tables that have the names of the operators' own columns.
 CLASHING = ("row", "host", "words", "lines", "chunks", "kept", "n_words", "n", "h", "p", "k", "key", "text_key", "drops", "rank", "length",
