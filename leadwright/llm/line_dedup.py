@@ -4,7 +4,11 @@ A rolling hash over the hashes of the last ``window`` lines marks the places whe
 chunk ends at each mark that does not follow another one. So boundaries depend on the lines around them and not on
 their place in the text: an insertion moves only the chunks next to it. Chunks of two or more lines with at least ``min_chars`` characters are grouped over the
 corpus by their own bytes; grouping on the text is the byte comparison. Of a chunk found in several documents
-the one with the smallest doc_id keeps it, and there its first occurrence; all others lose it.
+the one with the smallest doc_id keeps it, and there its first occurrence; all others lose it (``dedup``).
+
+Boundaries near the ends of a repeated passage depend on the text around it, so ``dedup`` misses most passages of a few
+lines. ``dedup_passages`` depends on no boundaries: it compares, at every line, the shortest windows with ``min_chars``
+that start and that end there, and removes every repeated passage whole.
 
 Defined cases: a null text stays null and an empty one empty; single lines are never removed; a row without
 doc_id keeps everything that does not repeat inside it and keeps no chunk from others; rows with the same
@@ -14,8 +18,13 @@ table gives an empty result; further columns are carried along and cannot clash.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from leadwright.llm import tools
 
@@ -86,3 +95,113 @@ def dedup(docs: DataFrame, window: int = WINDOW, spread: int = SPREAD, min_lines
         "row", F.when(F.col("row.text").isNotNull(), F.array_join(F.transform("left", lambda c: c["text"]), "\n")).alias("text"),
         lines("chunks").cast("long").alias("n_lines"), (lines("chunks") - lines("left")).cast("long").alias("n_removed"),
         (F.size("chunks") - F.size("left")).cast("long").alias("n_chunks_removed"))
+
+
+def windows(lines: list[str], min_chars: int = MIN_CHARS) -> list[tuple[int, int]]:
+    """(first, last) line of the shortest windows with ``min_chars`` that start and that end at each line.
+
+    Every passage of two or more lines with ``min_chars`` is covered by the windows that lie inside it. A line break
+    counts as a character, so no window has more lines than ``min_chars`` + 1.
+    """
+    out, n = set(), len(lines)
+    sizes = [len(x) for x in lines]
+    for first in range(n - 1):
+        last, size = first + 1, sizes[first] + 1 + sizes[first + 1]
+        while size < min_chars and last + 1 < n:
+            last += 1
+            size += 1 + sizes[last]
+        if size >= min_chars:
+            out.add((first, last))
+    for last in range(1, n):
+        start, size = last - 1, sizes[last] + 1 + sizes[last - 1]
+        while size < min_chars and start > 0:
+            start -= 1
+            size += 1 + sizes[start]
+        if size >= min_chars:
+            out.add((start, last))
+    return sorted(out)
+
+
+def _window_rows(min_chars: int, texts: bool):
+    """doc_id, key and (where ``texts``) text of the different windows of each document."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, keys, parts, size = [], [], [], 0
+            doc_ids = batch.column("doc_id")
+            for at, text in enumerate(batch.column("text")):
+                lines = (text.as_py() or "").split("\n")
+                for part in {"\n".join(lines[a:b + 1]) for a, b in windows(lines, min_chars)}:
+                    ids.append(at)
+                    keys.append(_key(part))
+                    if texts:
+                        parts.append(part)
+                        size += len(part)
+                if size > 4 << 20 or len(ids) > 50_000:
+                    yield _window_batch(doc_ids, ids, keys, parts if texts else None)
+                    ids, keys, parts, size = [], [], [], 0
+            yield _window_batch(doc_ids, ids, keys, parts if texts else None)
+
+    return run
+
+
+def _window_batch(doc_ids: pa.Array, ids: list[int], keys: list[bytes], parts: list[str] | None) -> pa.RecordBatch:
+    found = [doc_ids.take(pa.array(ids, pa.int64())), pa.array(keys, pa.binary())]
+    if parts is None:
+        return pa.RecordBatch.from_arrays(found, ["doc_id", "key"])
+    return pa.RecordBatch.from_arrays([*found, pa.array(parts, pa.string())], ["doc_id", "key", "text"])
+
+
+def _key(part: str) -> bytes:
+    return hashlib.blake2b(part.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+
+
+def lines_left(lines: list[str], drops: set[bytes], min_chars: int = MIN_CHARS) -> list[bool]:
+    """Which lines stay: those in no window of ``drops`` and in no window that stands further up in the text."""
+    stays, seen = [True] * len(lines), {}
+    for first, last in windows(lines, min_chars):
+        part = "\n".join(lines[first:last + 1])
+        if seen.setdefault(part, last) < first or (drops and _key(part) in drops):
+            stays[first:last + 1] = [False] * (last + 1 - first)
+    return stays
+
+
+def _shortened(min_chars: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, counts = [], []
+            for text, drops in zip(batch.column("text"), batch.column("drops")):
+                text = text.as_py()
+                lines = (text or "").split("\n")
+                stays = lines_left(lines, set(drops.as_py() or ()), min_chars)
+                runs = sum(not s and (i == 0 or stays[i - 1]) for i, s in enumerate(stays))
+                texts.append(None if text is None else "\n".join(x for x, s in zip(lines, stays) if s))
+                counts.append((len(lines), len(lines) - sum(stays), runs))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), pa.array(texts, pa.string()), *(pa.array([c[k] for c in counts], pa.int64()) for k in range(3))],
+                ["row", "text", "n_lines", "n_removed", "n_chunks_removed"])
+
+    return run
+
+
+def dedup_passages(docs: DataFrame, min_chars: int = MIN_CHARS, carry: list[str] | None = None) -> DataFrame:
+    """As ``dedup``, for every repeated passage of two or more lines with ``min_chars``, and whole to its ends.
+
+    ``row`` holds the columns ``carry``, or all; ``n_chunks_removed`` counts the runs of removed lines. Of each window that several
+    documents have, the smallest doc_id keeps it; so a copy of every removed line is left in a document with a smaller
+    doc_id, or further up in the same text.
+    """
+    id_type = docs.schema["doc_id"].dataType
+    given = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter("doc_id IS NOT NULL AND text IS NOT NULL")
+    shape = StructType([StructField("doc_id", id_type), StructField("key", BinaryType())])
+    texts = given.mapInArrow(_window_rows(min_chars, True), StructType([*shape, StructField("text", StringType())]))
+    # Grouped by their bytes first; a key with two different texts (never seen) is left alone.
+    by_text = texts.groupBy("text", "key").agg(F.count("*").alias("docs"), F.min("doc_id").alias("keeper"))
+    by_key = by_text.groupBy("key").agg(F.count("*").alias("texts"), F.sum("docs").alias("docs"), F.min("keeper").alias("keeper"))
+    repeated = tools.materialise(by_key.filter("docs > 1 AND texts = 1").select("key", "keeper"), "line-windows")
+    drops = given.mapInArrow(_window_rows(min_chars, False), shape).join(repeated, "key").filter(
+        F.col("doc_id") > F.col("keeper")).groupBy("doc_id").agg(F.collect_set("key").alias("drops"))
+    base = docs.select(F.struct(*[F.col(f"`{c}`") for c in (docs.columns if carry is None else carry)]).alias("row"), "doc_id",
+                       F.col("text").cast("string").alias("text"))
+    joined = base.join(drops, "doc_id", "left").select("row", "text", "drops")
+    counts = [StructField(c, LongType()) for c in ("n_lines", "n_removed", "n_chunks_removed")]
+    return joined.mapInArrow(_shortened(min_chars), StructType([joined.schema["row"], StructField("text", StringType()), *counts]))

@@ -24,7 +24,7 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the text that is left of it."""
-    return line_dedup.dedup(tools.documents(spark, sf_dir)).select(
+    return line_dedup.dedup_passages(tools.documents(spark, sf_dir), carry=["doc_id"]).select(
         F.col("row.doc_id").alias("doc_id"), "text", "n_lines", "n_removed", "n_chunks_removed")
 
 

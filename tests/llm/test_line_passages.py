@@ -1,0 +1,61 @@
+import collections
+import random
+
+from leadwright.llm import line_dedup, queries
+from text_fixtures import awkward, make  # noqa: F401
+
+
+def brute(rows, min_chars=40):
+    """Every window of two or more lines with enough characters, at every place, compared by its text."""
+    def all_windows(lines):
+        return [(a, b, "\n".join(lines[a:b + 1])) for a in range(len(lines)) for b in range(a + 1, len(lines))
+                if len("\n".join(lines[a:b + 1])) >= min_chars]
+
+    keeper = {}
+    for doc, text in rows:
+        for _, _, w in all_windows((text or "").split("\n")) if doc is not None else []:
+            keeper[w] = min(keeper.get(w, doc), doc)
+    out = []
+    for doc, text in rows:
+        lines = (text or "").split("\n")
+        gone, seen = set(), {}
+        for a, b, w in sorted(all_windows(lines)):
+            if seen.setdefault(w, b) < a or doc is not None and doc > keeper[w]:
+                gone |= set(range(a, b + 1))
+        out.append((doc, None if text is None else "\n".join(x for i, x in enumerate(lines) if i not in gone), len(gone)))
+    return collections.Counter(out)
+
+
+def found(docs):
+    return collections.Counter((r["row"]["doc_id"], r["text"], r["n_removed"]) for r in line_dedup.dedup_passages(docs).collect())
+
+
+def test_passages_of_two_to_ten_lines_go_whole(make):
+    rows, block = [], {}
+    for k in range(2, 11):
+        for n in range(20):
+            block[k, n] = [f"planted line {i} of passage {k} {n}" for i in range(k)]
+            for d in (0, 1):
+                own = [f"own line {i} of document {k} {n} {d} alone" for i in range(8)]
+                rows.append((len(rows), "\n".join(own[:n % 5 + d] + block[k, n] + own[n % 5 + d:])))
+    left = {r["row"]["doc_id"]: r["text"].split("\n") for r in line_dedup.dedup_passages(make(rows)).collect()}
+    for at, lines in enumerate(block.values()):
+        assert left[2 * at] == rows[2 * at][1].split("\n")
+        assert left[2 * at + 1] == [x for x in rows[2 * at + 1][1].split("\n") if x not in lines]
+
+
+def test_random_texts_against_all_windows(make, awkward):
+    rng = random.Random(3)
+    pool = ["", "}", "short", "a line of some length", "a rather long line that reaches the limit by itself", "x" * 19, "y" * 20]
+    rows = [(i if i % 9 else None, "\n".join(rng.choice(pool) for _ in range(rng.randrange(9)))) for i in range(150)]
+    assert found(make(rows)) == brute(rows)
+    assert found(make(awkward, clash=True)) == brute([(r[0], r[1]) for r in awkward])
+    assert found(make([])) == collections.Counter()
+
+
+def test_query_removes_no_less_than_chunks(spark, small):
+    more = {r["doc_id"]: r["n_removed"] for r in queries.op3_line_dedup(spark, small).collect()}
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    less = {r["row"]["doc_id"]: r["n_removed"] for r in line_dedup.dedup(docs).collect()}
+    print("lines removed", sum(less.values()), sum(more.values()))
+    assert sum(more.values()) > sum(less.values())
