@@ -9,7 +9,8 @@ zero, which only overfitting can bring about, the step goes the other way instea
 partitions). The features that tell confirmed from unlabelled texts are found by counts over the sample; numpy
 classifiers, each with all confirmed and a part of the unlabelled texts, are trained in ``shards`` tasks and their
 weights averaged. The prior is the share of toxic rows among the labelled ones, and the score's scale is set on the
-labelled rows of the sample, so that 0.7 lies where toxic and clean part best. ``score`` reads whole texts in a projection with the weights (2 ** 18
+labelled rows of the sample, each weighted by the inverse of the rate at which its kind was drawn, so that 0.7 lies where
+toxic and clean part best among all labelled rows, however many there are. ``score`` reads whole texts in a projection with the weights (2 ** 18
 numbers) in the closure. Inputs are texts only; labels of held-out documents are never read.
 
 Defined cases: null and empty texts get the score of a text without features; rows of labels with nulls are ignored and
@@ -106,17 +107,22 @@ def telling(positive: np.ndarray, unlabelled: np.ndarray, n: int, m: int) -> np.
     return np.flatnonzero((positive >= MIN_TEXTS) & (p >= LIFT * u) & (p - u > SIGMA * spread)).astype(np.int32)
 
 
-def calibrate(z: np.ndarray, toxic: np.ndarray, threshold: float = THRESHOLD) -> tuple[float, float]:
-    """Scale and shift so that the margin with the best F1 gets the score ``threshold``."""
+def calibrate(z: np.ndarray, toxic: np.ndarray, threshold: float = THRESHOLD, weight: np.ndarray | None = None) -> tuple[float, float]:
+    """Scale and shift so that the margin with the best F1 gets the score ``threshold``.
+
+    ``weight`` says how many labelled rows each row of the sample stands for (1 if not given).
+    """
     if not len(z) or not toxic.any():
         return 1.0, 0.0
     order = np.argsort(-z, kind="stable")
-    hits = np.cumsum(toxic[order])
-    measure = 2 * hits / (np.arange(1, len(z) + 1) + toxic.sum())
+    weight = (np.ones(len(z)) if weight is None else weight)[order]
+    hits = np.cumsum(weight * toxic[order])
+    measure = 2 * hits / (np.cumsum(weight) + hits[-1])
     best = int(np.argmax(measure))
     below = z[order[best + 1]] if best + 1 < len(z) else z[order[best]] - 1
     edge = (z[order[best]] + below) / 2
-    scale = 1 / max(float(np.std(z[order])), 1e-6)
+    spread = np.sqrt(np.average((z[order] - np.average(z[order], weights=weight)) ** 2, weights=weight))
+    scale = 1 / max(float(spread), 1e-6)
     return scale, float(np.log(threshold / (1 - threshold)) - scale * edge)
 
 
@@ -176,8 +182,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, ma
         return None
     draw = F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(2 ** 30)) / 2 ** 30
     # The labelled part is drawn before the join, so only the sample's texts are shuffled.
-    picked = known.filter(((F.col("toxic") == 1) & (draw < max_positive / counts["toxic"])) | (
-        (F.col("toxic") == 0) & (draw < max_unlabelled / counts["n"])))
+    rates = [min(1.0, max_unlabelled / counts["n"]), min(1.0, max_positive / counts["toxic"])]
+    picked = known.filter(((F.col("toxic") == 1) & (draw < rates[1])) | ((F.col("toxic") == 0) & (draw < rates[0])))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter(
         ~held_out(F.col("doc_id")))
     shard = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(shards)).cast("int").alias("shard")
@@ -208,7 +214,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, ma
             yield pa.RecordBatch.from_arrays([pa.array(margins(_unpack(batch.column("features")), weights)), batch.column("toxic")], ["z", "toxic"])
 
     rows = told_of.filter("toxic IS NOT NULL").mapInArrow(known_margins, "z double, toxic int").toPandas()
-    return Model(weights.astype(np.float32), *calibrate(rows["z"].to_numpy(), rows["toxic"].to_numpy() == 1))
+    toxic = rows["toxic"].to_numpy() == 1
+    return Model(weights.astype(np.float32), *calibrate(rows["z"].to_numpy(), toxic, weight=1 / np.where(toxic, rates[1], rates[0])))
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
