@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-STEMS = ("licen", "warrant", "permission", "redistribut", "copyright", "public domain", "liab", "mozilla")
+STEMS = ("licen", "warrant", "permission", "redistribut", "copyright", "public domain", "liab", "mozilla", "reserved")
 
 # Licence sentences as their licences word them, by identifier.
 SENTENCES = {
@@ -89,7 +89,7 @@ SENTENCES = {
     "cc0": ["Dedicated to the public domain under CC0 1.0", "To the extent possible under law, the author has waived all copyright and related "
             "or neighboring rights to this work"],
     "unlicense": ["This is free and unencumbered software released into the public domain"],
-    "reserved": ["All rights reserved under copyright law", "Copyright, all rights reserved"],
+    "reserved": ["All rights reserved under copyright law", "Copyright, all rights reserved", "All rights reserved"],
 }
 
 # Rules in the order in which they are tried, each a licence and the identifiers that stand for it.
@@ -100,7 +100,9 @@ RULES = [
     ("Apache-2.0", ["apache2-name", "apache2-comply", "apache2-copy"]),
     ("GPL-3.0-or-later", ["gpl3-later", "gpl-hope", "gpl-details", "gpl-received"]),
     ("GPL-2.0-or-later", ["gpl2-later", "gpl-hope", "gpl-details", "gpl-received"]),
+    ("BSD-3-Clause", ["reserved", "bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-warranty"]),
     ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse", "bsd-warranty"]),
+    ("BSD-2-Clause", ["reserved", "bsd-grant", "bsd-source", "bsd-binary", "bsd-warranty"]),
     ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-warranty"]),
     ("ISC", ["isc-grant", "mit-warranty"]),
     ("GPL-3.0-or-later", ["gpl3-later", "gpl-hope", "gpl-details"]),

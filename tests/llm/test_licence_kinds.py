@@ -1,0 +1,20 @@
+from leadwright.llm import licenses, tools
+from text_fixtures import make  # noqa: F401
+
+
+def test_all_five_kinds_of_the_given_documents(spark):
+    docs = tools.documents(spark, "/root/testdata/sf0.01")
+    known = {"Released under the MIT License.": "MIT", "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+             "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0-only", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+             "All rights reserved.": "All-rights-reserved"}
+    want = sorted((r["doc_id"], known[x]) for r in docs.collect() for x in (r["text"] or "").split("\n") if x in known)
+    got = sorted((r["doc_id"], r["license"]) for r in licenses.scan(docs).collect())
+    assert got == want and {x[1] for x in want} == set(known.values())
+
+
+def test_line_alone_wrapped_and_in_a_bsd_header(make):
+    bsd = ". ".join(licenses.SENTENCES[i][0] for i in ("bsd-grant", "bsd-source", "bsd-binary", "bsd-warranty"))
+    rows = [(1, "All rights reserved."), (2, "Own words.\nAll rights\nreserved.\n"), (3, "A table is reserved."),
+            (4, f"Copyright (c) 2001, Someone.\nAll rights reserved.\n\n{bsd}.")]
+    got = sorted((r["doc_id"], r["license"]) for r in licenses.scan(make(rows)).collect())
+    assert got == [(1, "All-rights-reserved"), (2, "All-rights-reserved"), (4, "BSD-2-Clause")]
