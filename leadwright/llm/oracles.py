@@ -95,10 +95,58 @@ SELECT page_id, p.url, p.fetch_time, coalesce(list = 'block', false) AS blocked,
 FROM p LEFT JOIN a ON p.url = a.url AND p.fetch_time = a.fetch_time
 """
 
+_SEARCH = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+c AS (SELECT count(*) FILTER (len(t) > 0) AS nn, sum(len(t))::BIGINT AS l FROM d),
+i AS (SELECT row_number() OVER () AS i, * FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+q AS (SELECT i, item_id, term, count(*) AS reps FROM (SELECT i, item_id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM i) GROUP BY ALL),
+tf AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, len(t) AS n, unnest(t) AS term FROM d)
+       WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, c GROUP BY term, nn),
+s AS (SELECT i, item_id, r, doc_id, sum(reps * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * nn) // l))))::BIGINT AS score
+      FROM tf JOIN w USING (term) JOIN q USING (term), c GROUP BY i, item_id, r, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score FROM s WHERE score > 0
+QUALIFY rank <= 10
+"""
+
+
+def _vector_codes(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Lloyd rounds with full scans, spelled out one after the other."""
+    near = """{a} AS (SELECT x.r, x.p, min_by(e, (d, e)) AS e, min(d) AS d FROM (
+      SELECT x.r, x.p, b.e, list_sum(list_transform(list_zip(x.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+      FROM x JOIN {b} b USING (p)) x GROUP BY x.r, x.p)"""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(near.format(a=f"a{i}", b=f"b{i}"))
+        if i < rounds:
+            steps.append(f"""s{i} AS (SELECT p, e, list(c ORDER BY j) AS v FROM (
+      SELECT p, e, j, (s - ((s % n) + n) % n) // n AS c FROM (
+        SELECT p, e, j, sum(v[j])::BIGINT AS s, count(*) AS n FROM a{i} JOIN x USING (r, p), (SELECT unnest(range(1, w + 1)) AS j FROM size) GROUP BY ALL))
+      GROUP BY p, e),
+b{i + 1} AS (SELECT p, e, coalesce(s{i}.v, b{i}.v) AS v FROM b{i} LEFT JOIN s{i} USING (p, e))""")
+    return f"""
+WITH k AS (SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda v: floor(4096 * v::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0),
+size AS (SELECT max(len(v)) // {parts} AS w FROM k),
+x AS (SELECT r, vec_id, label, p, v[p * w + 1:(p + 1) * w] AS v FROM k, size, (SELECT unnest(range({parts})) AS p)),
+b0 AS (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, v FROM x QUALIFY e < {entries}),
+{", ".join(steps)},
+sha AS (SELECT sha256(string_agg(c, ',' ORDER BY p, e, j)) AS codebooks_sha256
+        FROM (SELECT p, e, unnest(v)::VARCHAR AS c, generate_subscripts(v, 1) AS j FROM b{rounds})),
+o AS (SELECT vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error
+      FROM a{rounds} JOIN k USING (r) GROUP BY r, vec_id, label)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM o, sha
+"""
+
+
 ORACLES = {
     "op1_decontaminate": _DECONTAMINATE,
     "op2_jaccard_join": _JACCARD,
     "op5_quality_rules": _QUALITY,
     "op7_warc_zip": _WARC,
     "op10_url_lists": _URLS,
+    "op11_lexical_search": _SEARCH,
+    "op13_vector_codes": _vector_codes(),
 }
