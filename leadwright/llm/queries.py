@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadwright.llm import (
-    brown_lm, decontaminate, jaccard_join, lexical_search, licenses, line_dedup, oracles, packing, quality_rules, tools, toxicity,
-    url_lists, vector_codes, warc_zip,
+    brown_lm, decontaminate, jaccard_join, lexical_search, licenses, line_dedup, oracles, packing, pii_contexts, quality_rules, tools,
+    toxicity, url_lists, vector_codes, warc_zip,
 )
 
 
@@ -97,6 +97,11 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(tools.documents(spark, sf_dir), tools.documents(spark, sf_dir, "benchmark"))
 
 
+def op12_pii_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii_contexts.span_facts(tools.documents(spark, sf_dir))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Code and error of every whole vector."""
     return vector_codes.coded_vectors(tools.documents(spark, sf_dir, "embeddings"))
@@ -104,7 +109,7 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_decontaminate, op2_jaccard_join, op3_line_dedup, op4_brown_lm, op5_quality_rules, op6_best_fit_packing,
-    op7_warc_zip, op8_license_scan, op9_toxicity, op10_url_lists, op11_lexical_search, op13_vector_codes)}
+    op7_warc_zip, op8_license_scan, op9_toxicity, op10_url_lists, op11_lexical_search, op12_pii_contexts, op13_vector_codes)}
 
 #: By query; those of packing, line dedup, licences, toxicity and the language model are tested by brute force.
 ORACLES = oracles.ORACLES
