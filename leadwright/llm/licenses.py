@@ -7,7 +7,8 @@ listed, longer and more special ones first; a match consumes its sentences, and
 ``unknown`` with its identifiers.
 
 The work is a projection of each document: no shuffle, memory of one batch. Texts without any of the stems that every
-known sentence has (a test holds the table to it) are passed over by a plain search.
+known sentence has (a test holds the table to it) are passed over by a plain search; a stem of two words is found over
+line ends and margins too.
 
 Defined cases: null and empty texts have no licence; a licence that occurs twice gives two rows; rows with equal
 doc_id are searched each; a null doc_id stays null; an empty table gives an empty result; further columns are ignored.
@@ -131,6 +132,7 @@ RULES = [
 SCHEMA = "doc_id long, license string, sentences array<string>, first_line int, last_line int"
 _END = re.compile(r"(?<=[.!?;:])(?=\s+\S)")
 _NOISE = re.compile(r"[^a-z0-9]+")
+_STEM = re.compile("|".join(s.replace(" ", "[^a-z0-9]+") for s in STEMS))
 
 
 def normalised(sentence: str) -> str:
@@ -150,6 +152,9 @@ def known_sentences(text: str) -> list[tuple[int, int, str]]:
     open_end = [p.rstrip()[-1] not in ".!?" or after[:1].isdigit() for (_, p), (_, after) in zip(pieces, [*parts[1:], (0, "")])]
     found, i = [], 0
     while i < len(parts):
+        if not parts[i][1]:  # rules, bullets and the like begin no sentence
+            i += 1
+            continue
         best, joined, j = None, "", i
         while j < len(parts) and len(joined) <= _LONGEST:
             joined = f"{joined} {parts[j][1]}".strip()
@@ -177,12 +182,11 @@ def apply_rules(found: list[tuple[int, int, str]]) -> list[tuple[str, list[str],
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    stem = re.compile("|".join(STEMS), re.IGNORECASE)
     for batch in batches:
         rows: list[list] = [[] for _ in range(5)]
         for doc, text in zip(batch.column("doc_id"), batch.column("text")):
             text = text.as_py()
-            if text and stem.search(text):
+            if text and _STEM.search(text.lower()):
                 for match in apply_rules(known_sentences(text)):
                     for column, value in zip(rows, (doc.as_py(), *match)):
                         column.append(value)
