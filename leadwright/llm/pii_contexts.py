@@ -33,8 +33,10 @@ from leadwright.llm import tools
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS, MIN_SUPPORT, MIN_SCORE = 3, 5, 0.7
-#: Characters before and after a match in which its context words are looked for.
+#: Characters before and after a match in which its context words are looked for, at most up to the next match of the shape.
 BEFORE, AFTER = 64, 32
+#: Matches of one text that are added up or looked through together.
+BLOCK = 128
 
 # Possessive repeats and the look-behinds change no match: they keep the search linear on long runs.
 STRICT = {
@@ -52,24 +54,51 @@ LOOSE = {
 #: What a text must hold for a strict and for a loose match of a kind; looked for first, as it is cheaper.
 _NEEDS = {"email": ("@", r"@|[(\[]at[)\]]"), "ip": (r"[0-9]\.[0-9]", r"[0-9][.:]|::"), "card": (r"[0-9][\x20-]?[0-9]",) * 2, "phone": (r"\+[0-9]", "[0-9]{2}")}
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|[01]?[0-9]{1,2})"
-_PLACE = "array<struct<start:int,end:int,value:string>>"
+_PLACE = "array<struct<start:int,end:int,value:string,before:string,after:string>>"
 _SPANS = "array<struct<kind:int,start:int,end:int>>"
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _total(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0), lambda a, x: a + x)
+
+
 def _places(text: Column, pattern: str, needs: str) -> Column:
-    """start, end and value of all matches, in code points: lengths of what lies between the matches and of the matches, added up."""
-    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    gaps = F.transform(F.split(text, pattern, -1), F.length)
+    """All matches in order: start and end in code points, value, and what stands before and after it up to the next match.
+
+    The start is the sum of the lengths of the matches and gaps before; it is taken from sums of blocks, so that texts with very many matches
+    stay cheap.
+    """
+    def measured(s: Column) -> Column:
+        lens = F.zip_with(s["gaps"], s["hits"], lambda g, h: F.length(g) + F.coalesce(F.length(h), F.lit(0)))
+        return _let(F.struct(s["gaps"].alias("gaps"), s["hits"].alias("hits"), lens.alias("lens")), blocked)
 
-    def after(state: Column, pair: Column) -> Column:
-        start = state["at"] + pair["gaps"]
-        end = start + F.coalesce(F.length(pair["hits"]), F.lit(0))
-        place = F.struct(start.alias("start"), end.alias("end"), pair["hits"].alias("value"))
-        return F.struct(end.alias("at"), F.when(pair["hits"].isNull(), state["found"]).otherwise(F.concat(state["found"], F.array(place))).alias("found"))
+    def blocked(s: Column) -> Column:
+        sums = F.transform(F.sequence(F.lit(0), (F.size(s["lens"]) / BLOCK).cast("int")),
+                           lambda b: _total(F.slice(s["lens"], b * BLOCK + 1, F.lit(BLOCK))))
+        return _let(F.struct(s["gaps"].alias("gaps"), s["hits"].alias("hits"), s["lens"].alias("lens"), sums.alias("sums")), summed)
 
-    none = F.array().cast(_PLACE)
-    found = F.aggregate(F.arrays_zip(gaps.alias("gaps"), hits.alias("hits")), F.struct(F.lit(0).alias("at"), none.alias("found")), after)["found"]
-    return F.when(text.rlike(needs), found).otherwise(none)
+    def summed(s: Column) -> Column:
+        ahead = F.transform(s["sums"], lambda x, b: _total(F.slice(s["sums"], F.lit(1), b)))
+        return _let(F.struct(s["gaps"].alias("gaps"), s["hits"].alias("hits"), s["lens"].alias("lens"), ahead.alias("ahead")), located)
+
+    def located(s: Column) -> Column:
+        def place(hit: Column, i: Column) -> Column:
+            block = (i / BLOCK).cast("int")
+            start = F.get(s["ahead"], block) + _total(F.slice(s["lens"], block * BLOCK + 1, i - block * BLOCK)) + F.length(F.get(s["gaps"], i))
+            return _let(start.cast("int"), lambda at: F.struct(
+                at.alias("start"), (at + F.length(hit)).alias("end"), hit.alias("value"),
+                F.substring(F.get(s["gaps"], i), -BEFORE, BEFORE).alias("before"),
+                F.substring(F.get(s["gaps"], i + 1), 1, AFTER).alias("after")))
+
+        return F.transform(s["hits"], place)
+
+    found = _let(F.struct(F.split(text, pattern, -1).alias("gaps"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits")), measured)
+    return F.when(text.rlike(needs), found).otherwise(F.array().cast(_PLACE))
 
 
 def _digits(value: Column) -> Column:
@@ -100,36 +129,53 @@ def _of_kind(number: int) -> Callable[[Column], Column]:
     return lambda x: F.struct(F.lit(number).alias("kind"), x["start"].alias("start"), x["end"].alias("end"))
 
 
-def _contexts(text: Column, start: Column, end: Column) -> Column:
+def _contexts(x: Column) -> Column:
     """The contexts of a match: two words before it; one before and one after."""
     tokens = lambda s: F.regexp_extract_all(
         F.regexp_replace(F.lower(s), r"\p{N}+", "0"), F.lit(r"[\p{L}\p{M}0]+|[^\s\p{L}\p{M}0]+"), F.lit(0))
-    low = F.greatest(start - BEFORE, F.lit(0))
-    left = tokens(F.substring(text, low + 1, start - low))
-    right = tokens(F.substring(text, end + 1, F.lit(AFTER)))
-    last = lambda i: F.coalesce(F.get(left, F.size(left) - i), F.lit("^"))
-    return F.array(F.concat_ws(" ", F.lit("2:"), last(2), last(1)), F.concat_ws(" ", F.lit("1:"), last(1), F.lit("_"), F.coalesce(F.get(right, F.lit(0)), F.lit("^"))))
+
+    def named(s: Column) -> Column:
+        last = lambda i: F.coalesce(F.get(s["left"], F.size(s["left"]) - i), F.lit("^"))
+        return F.array(F.concat_ws(" ", F.lit("2:"), last(2), last(1)),
+                       F.concat_ws(" ", F.lit("1:"), last(1), F.lit("_"), F.coalesce(F.get(s["right"], F.lit(0)), F.lit("^"))))
+
+    return _let(F.struct(tokens(x["before"]).alias("left"), tokens(x["after"]).alias("right")), named)
+
+
+def _apart_from(spans: Column) -> Callable[[Column], Column]:
+    """Whether a match overlaps none of ``spans``, which are looked through by blocks."""
+    meets = lambda b, x: (b["start"] < x["end"]) & (x["start"] < b["end"])
+    return lambda x: ~F.exists(spans, lambda block: meets(block, x) & F.exists(block["spans"], lambda b: meets(b, x)))
+
+
+def _blocks(spans: Column) -> Column:
+    def block(s: Column) -> Callable[[Column], Column]:
+        return lambda b: _let(F.slice(s, b * BLOCK + 1, F.lit(BLOCK)), lambda part: F.struct(
+            F.array_min(F.transform(part, lambda x: x["start"])).alias("start"), F.array_max(F.transform(part, lambda x: x["end"])).alias("end"),
+            part.alias("spans")))
+
+    return _let(spans, lambda s: F.transform(F.sequence(F.lit(0), (F.size(s) / BLOCK).cast("int")), block(s)))
 
 
 def places(docs: DataFrame) -> DataFrame:
     """doc_id, h (hash of the text), base (spans of strict shapes) and seen: base and loose matches with their contexts."""
-    # The strict places get columns of their own: the loose ones are held against them.
+    # Each step has a column of its own, so that no lambda works a step out again.
     base = docs.select(F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     for i, kind in enumerate(KINDS):
         base = base.withColumn(f"strict{i}", F.filter(_places(F.col("text"), STRICT[kind], _NEEDS[kind][0]), _valid(kind)))
-    strict = lambda x: F.exists(F.concat(*[F.col(f"strict{i}") for i in range(len(KINDS))]),
-                                lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
-    for i, kind in enumerate(KINDS):
-        base = base.withColumn(f"loose{i}", F.filter(_places(F.col("text"), LOOSE[kind], _NEEDS[kind][1]), lambda x: ~strict(x)))
+    spans = F.concat(*[F.transform(f"strict{i}", _of_kind(i)) for i in range(len(KINDS))])
+    base = base.withColumn("base", spans)
 
-    def seen(i: int, name: str, seed: bool) -> Column:
-        return F.transform(f"{name}{i}", lambda x: F.struct(
+    def seen(i: int, found: Column, seed: bool) -> Column:
+        return F.transform(found, lambda x: F.struct(
             F.lit(i).alias("kind"), x["start"].alias("start"), x["end"].alias("end"), x["value"].alias("value"), F.lit(seed).alias("seed"),
-            _contexts(F.col("text"), x["start"], x["end"]).alias("contexts")))
+            _contexts(x).alias("contexts")))
 
-    spans = F.concat(*[F.transform(f"strict{i}", _of_kind(i)) for i in range(len(KINDS))])
-    every = F.concat(*[seen(i, name, name == "strict") for i in range(len(KINDS)) for name in ("strict", "loose")])
-    return base.select("doc_id", F.xxhash64("text").alias("h"), spans.alias("base"), every.alias("seen"))
+    def every(blocks: Column) -> Column:
+        loose = [F.filter(_places(F.col("text"), LOOSE[kind], _NEEDS[kind][1]), _apart_from(blocks)) for kind in KINDS]
+        return F.concat(*[seen(i, F.col(f"strict{i}"), True) for i in range(len(KINDS))], *[seen(i, loose[i], False) for i in range(len(KINDS))])
+
+    return base.select("doc_id", F.xxhash64("text").alias("h"), "base", _let(_blocks(F.col("base")), every).alias("seen"))
 
 
 def _scored(edges: DataFrame, trust: DataFrame, min_support: int, min_score: float) -> DataFrame:
