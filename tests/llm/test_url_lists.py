@@ -3,7 +3,9 @@ import datetime
 import random
 import re
 
-from leadwright.llm import url_lists
+from pyspark.sql import functions as F
+
+from leadwright.llm import queries, tools, url_lists
 
 DAY = datetime.datetime(2024, 3, 1)
 
@@ -63,3 +65,11 @@ def test_awkward_rows(spark):
     assert found(spark, captures, entries) == brute(captures, entries)
     assert found(spark, [], entries) == collections.Counter()
     assert found(spark, captures, []) == brute(captures, [])
+
+
+def test_every_event_becomes_an_entry(spark, small):
+    pages, events = tools.documents(spark, small, "pages"), tools.documents(spark, small, "events")
+    entries = queries.dated_entries(pages, events)
+    kinds = ("signup", "purchase", "error", "click")
+    assert entries.filter("pattern <> ''").count() == events.filter(F.col("event_type").isin(*kinds)).count()
+    assert queries.dated_entries(pages.limit(0), events).count() == queries.dated_entries(pages, events.limit(0)).count() == 0
