@@ -43,9 +43,17 @@ LONGS = 16
 #: A shingle in so many documents of one block is sent as a count; beyond it all frequencies rank alike.
 HOT = 64
 BLOCK_SHINGLES, NODE_ROWS = 2_000_000, 256
+#: Rounds in which one class of each mixed top is compared with the other components there.
+GUIDES = 2
+
+#: Bytes of text to a bucket of shingles, which one Python worker holds at a time.
+BUCKET_BYTES = 16 << 20
+#: Tops before its own that a leaf carries, to tell that a pair has met already.
+EARLIER = 8
 
 _PART = "block long, bucket long, docs binary, tokens binary, counts binary"
-_SET = "doc_id long, n_shingles long, set_key long, n int, shared binary, tops array<long>, bits array<long>, slack int"
+_SET = ("doc_id long, text_hash long, n_shingles long, set_low long, set_high long, n int, shared binary, tops array<long>, "
+        "bits array<long>, slack int")
 
 
 def _pack48(tokens: np.ndarray) -> bytes:
@@ -58,10 +66,18 @@ def _unpack48(data: bytes) -> np.ndarray:
     return wide.view("<u8").ravel()
 
 
+def _set_key(tokens: np.ndarray) -> tuple[int, int]:
+    """128 bits that equal sets share: sums of two mixtures of the hashes."""
+    with np.errstate(over="ignore"):
+        sums = [tokens.sum(dtype=np.uint64) + np.uint64(len(tokens)), tools.mix(tokens ^ np.uint64(0x9E3779B97F4A7C15)).sum(dtype=np.uint64)]
+    low, high = tools.mix(np.array(sums, np.uint64)).astype(np.int64).tolist()
+    return low, high
+
+
 def _blocks(buckets: int, k: int):
     """Rows of a block of documents: its shingles by bucket, and a head row with what the documents are."""
 
-    def rows(block, ids, sizes, keys, sets) -> pa.RecordBatch:
+    def rows(block, ids, texts, sizes, keys, sets) -> pa.RecordBatch:
         lens = np.array([len(s) for s in sets])
         tokens = tools.concat(sets, np.uint64)
         docs = np.repeat(np.arange(len(sets), dtype=np.uint32), lens)
@@ -70,7 +86,8 @@ def _blocks(buckets: int, k: int):
         first = np.flatnonzero(np.diff(tokens, prepend=tokens[:1] + np.uint64(1)) != 0) if len(tokens) else np.zeros(0, int)
         counts = np.diff(np.append(first, len(tokens)))
         hot = np.repeat(counts >= HOT, counts)
-        head = pa.table({"doc_id": pa.array(ids, pa.int64()), "n": pa.array(sizes, pa.int64()), "key": pa.array(keys, pa.int64())})
+        head = pa.table({"doc_id": pa.array(ids, pa.int64()), "text_hash": pa.array(texts, pa.int64()), "n": pa.array(sizes, pa.int64()),
+                         "low": pa.array([k[0] for k in keys], pa.int64()), "high": pa.array([k[1] for k in keys], pa.int64())})
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, head.schema) as w:
             w.write_table(head)
@@ -92,23 +109,20 @@ def _blocks(buckets: int, k: int):
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
             data, bounds = tools.doc_texts(batch.column("text"))
-            numbers = batch.column("doc_id").to_pylist()
-            ids, sizes, keys, sets, held = [], [], [], [], 0
+            numbers, hashed = batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist()
+            ids, texts, sizes, keys, sets, held = [], [], [], [], [], 0
             for a, b in tools.wide_texts(bounds):
                 hashes, at = tools.word_hashes(data, bounds[a:b + 1])
                 for i, s in enumerate(tools.shingles(hashes, at, k)):
-                    ids.append(numbers[a + i]), sizes.append(len(s))
-                    with np.errstate(over="ignore"):
-                        key = tools.mix(np.array([s.sum(dtype=np.uint64) + np.uint64(len(s))], np.uint64))[0]
-                    keys.append(int(key.astype(np.int64)))
+                    ids.append(numbers[a + i]), texts.append(hashed[a + i]), sizes.append(len(s)), keys.append(_set_key(s))
                     short = np.unique(s & np.uint64(2**48 - 1))
                     sets.append(short)
                     held += len(short)
                 if held >= BLOCK_SHINGLES:
-                    yield rows(block, ids, sizes, keys, sets)
-                    block, ids, sizes, keys, sets, held = block + 1, [], [], [], [], 0
+                    yield rows(block, ids, texts, sizes, keys, sets)
+                    block, ids, texts, sizes, keys, sets, held = block + 1, [], [], [], [], [], 0
             if ids:
-                yield rows(block, ids, sizes, keys, sets)
+                yield rows(block, ids, texts, sizes, keys, sets)
                 block += 1
 
     return run
@@ -168,7 +182,8 @@ def _sets(buckets: int):
             bits.append(np.packbits(bitmap, bitorder="little").view("<i8"))
             slacks.append(len(own) - int(bitmap.sum()))
             shared.append(_pack48(np.sort(own)))
-        return pa.table([head.column("doc_id"), head.column("n"), head.column("key"), head.column("n").cast(pa.int32()),
+        return pa.table([head.column("doc_id"), head.column("text_hash"), head.column("n"), head.column("low"), head.column("high"),
+                         head.column("n").cast(pa.int32()),
                          pa.array(shared, pa.binary()), pa.array(tops, pa.list_(pa.int64())), pa.array(bits, pa.list_(pa.int64())),
                          pa.array(slacks, pa.int32())], [f.split()[0] for f in _SET.split(", ")])
 
@@ -177,9 +192,10 @@ def _sets(buckets: int):
 
 def shingle_sets(docs: DataFrame, k: int = 5) -> DataFrame:
     """One row per document: set size and key; for those that can have partners also their shared shingles and bitmap."""
-    buckets = max(32, tools.partitions(docs.sparkSession))
-    parts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_blocks(buckets, k), _PART)
-    counted = parts.groupBy("bucket").applyInArrow(_shared(buckets), _PART)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(32, tools.partitions(docs.sparkSession), size // BUCKET_BYTES)
+    counted = texts.mapInArrow(_blocks(buckets, k), _PART).groupBy("bucket").applyInArrow(_shared(buckets), _PART)
     return counted.groupBy("block").applyInArrow(_sets(buckets), _SET)
 
 
@@ -210,12 +226,30 @@ def _bits_meet(n_a: Column, n_b: Column, slack_a: Column, slack_b: Column) -> Co
     return (NUM + DEN) * (common + F.least(slack_a, slack_b)) >= NUM * (n_a + n_b)
 
 
-def _second_descent(tops: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of classes in different components that the dual traversal leaves: a, b."""
+def _held(tops: DataFrame, labels: DataFrame) -> DataFrame:
+    """Leaves of the tops that still hold several components, with their component."""
     held = tops.join(labels, "key", "left").withColumn("comp", F.coalesce("comp", "key"))
     mixed = held.groupBy("top").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("top")
-    rows = held.join(mixed, "top").join(classes.select("key", "n", "slack", *[f"s{i}" for i in range(LONGS)]), "key")
-    rows = rows.withColumn("band", F.floor(F.log("n") / F.log(F.lit(DEN / NUM))).cast("int"))
+    return held.join(mixed, "top")
+
+
+def _guided(tops: DataFrame, classes: DataFrame, labels: DataFrame, seed: int) -> DataFrame:
+    """Under each mixed top one class, drawn by a hash, against those of other components: a, b that may be linked."""
+    held = tools.materialise(_held(tops, labels).join(classes.select("key", "n"), "key"), "tree-mixed")
+    draw = F.xxhash64("key", F.lit(seed))
+    guides = held.groupBy("top").agg(*[F.min_by(c, draw).alias(f"guide_{c}") for c in ("key", "comp", "n")])
+    pairs = held.join(guides, "top").filter((F.col("comp") != F.col("guide_comp")) & _sizes_meet(
+        F.col("n"), F.col("n"), F.col("guide_n"), F.col("guide_n")))
+    return pairs.select(F.least("key", "guide_key").alias("a"), F.greatest("key", "guide_key").alias("b")).distinct()
+
+
+def _second_descent(tops: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs of classes in different components that the dual traversal leaves: a, b."""
+    mixed = _held(tops, labels).select("top", "key", "comp")
+    # A leaf carries some of the tops before this one; a pair that shares one of them has met there.
+    before = classes.select("key", "n", "slack", *[f"s{i}" for i in range(LONGS)], "tops", F.posexplode("tops").alias("at", "top"))
+    before = before.withColumn("earlier", F.slice("tops", F.greatest(F.col("at") - EARLIER, F.lit(0)) + 1, F.least("at", F.lit(EARLIER)))).drop("tops", "at")
+    rows = before.join(mixed, ["top", "key"]).withColumn("band", F.floor(F.log("n") / F.log(F.lit(DEN / NUM))).cast("int"))
     # Large components fill nodes of their own, the others share nodes.
     own = rows.groupBy("top", "band", "comp").agg(F.count("*").alias("own"))
     both = rows.groupBy("top", "band").agg(F.count("*").alias("both"))
@@ -237,43 +271,75 @@ def _second_descent(tops: DataFrame, classes: DataFrame, labels: DataFrame) -> D
         c("a.top").alias("top"), c("a.band").alias("band_a"), c("a.node").alias("node_a"), c("b.band").alias("band_b"), c("b.node").alias("node_b"))
     left = rows.withColumnsRenamed({"band": "band_a", "node": "node_a"}).alias("a")
     right = rows.withColumnsRenamed({"band": "band_b", "node": "node_b"}).alias("b")
+    # Both orders of a pair meet where a node meets itself; one is enough.
+    once = (c("band_a") != c("band_b")) | (c("node_a") != c("node_b")) | (c("a.key") < c("b.key"))
     found = pairs.join(left, ["top", "band_a", "node_a"]).join(right, ["top", "band_b", "node_b"]).filter(
-        (c("a.comp") != c("b.comp")) & _sizes_meet(c("a.n"), c("a.n"), c("b.n"), c("b.n")) & _bits_meet(
-            c("a.n"), c("b.n"), c("a.slack"), c("b.slack")))
+        (c("a.comp") != c("b.comp")) & once & _sizes_meet(c("a.n"), c("a.n"), c("b.n"), c("b.n")) & _bits_meet(
+            c("a.n"), c("b.n"), c("a.slack"), c("b.slack")) & ~F.arrays_overlap("a.earlier", "b.earlier"))
     return found.select(F.least("a.key", "b.key").alias("a"), F.greatest("a.key", "b.key").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, k: int = 5) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id that links reach) and class_size (documents with the same set)."""
+def _grouped(docs: DataFrame, k: int) -> DataFrame:
+    """Every row with doc_id, text_hash, n_shingles, its component (``root``; null: none but itself), component_id and class_size."""
     sets = tools.materialise(shingle_sets(docs, k), "shingle-sets")
     able = sets.filter("shared IS NOT NULL")
-    classes = tools.materialise(able.dropDuplicates(["set_key"]).select(
-        F.col("set_key").alias("key"), "n", "shared", "tops", "slack", *[F.get("bits", F.lit(i)).alias(f"s{i}") for i in range(LONGS)]), "classes")
+    # Numbered as they are written: a class is known by its 128 bits or by its number, never by fewer bits.
+    classes = tools.materialise(able.dropDuplicates(["set_low", "set_high"]).select(
+        F.monotonically_increasing_id().alias("key"), "set_low", "set_high", "n", "shared", "tops", "slack",
+        *[F.get("bits", F.lit(i)).alias(f"s{i}") for i in range(LONGS)]), "classes")
     listed = classes.select("key", F.explode("tops").alias("top"))
     heads = listed.groupBy("top").agg(F.count("*").alias("m"), F.min("key").alias("head")).filter("m > 1").select("top", "head")
     tops = tools.materialise(listed.join(heads, "top"), "tree-tops")
     first = tops.filter("key <> head").select(F.col("head").alias("a"), F.col("key").alias("b")).distinct()
     links = tools.materialise(_verified(first, classes), "links")
     labels = component_labels(links)
+    for seed in range(GUIDES):
+        more = _verified(_guided(tops.select("key", "top"), classes, labels, seed), classes)
+        links = tools.materialise(labels.select(F.col("key").alias("a"), F.col("comp").alias("b")).unionByName(more), "links")
+        labels = component_labels(links)
     more = _verified(_second_descent(tops.select("key", "top"), classes, labels), classes)
     joined = more.join(labels.select(F.col("key").alias("a"), F.col("comp").alias("comp_a")), "a", "left").join(
         labels.select(F.col("key").alias("b"), F.col("comp").alias("comp_b")), "b", "left").select(
         F.coalesce("comp_a", "a").alias("a"), F.coalesce("comp_b", "b").alias("b"))
     higher = component_labels(tools.materialise(joined, "links-between")).select(F.col("key").alias("comp"), F.col("comp").alias("root"))
-    roots = classes.select("key").join(labels, "key", "left").withColumn("comp", F.coalesce("comp", "key")).join(
-        higher, "comp", "left").select("key", F.coalesce("root", "comp").alias("root"))
-    members = able.groupBy(F.col("set_key").alias("key")).agg(F.min("doc_id").alias("low"), F.count("*").alias("class_size"))
-    roots = tools.materialise(members.join(roots, "key"), "roots")
+    roots = classes.select("key", "set_low", "set_high").join(labels, "key", "left").withColumn("comp", F.coalesce("comp", "key")).join(
+        higher, "comp", "left").select("set_low", "set_high", F.coalesce("root", "comp").alias("root"))
+    members = able.groupBy("set_low", "set_high").agg(F.min("doc_id").alias("low"), F.count("*").alias("class_size"))
+    roots = tools.materialise(members.join(roots, ["set_low", "set_high"]), "roots")
     lowest = roots.groupBy("root").agg(F.min("low").alias("component_id"))
-    grouped = able.select("doc_id", "n_shingles", F.col("set_key").alias("key")).join(
-        roots.join(lowest, "root").select("key", "component_id", "class_size"), "key").select(
-        "doc_id", "n_shingles", "component_id", "class_size")
+    grouped = able.select("doc_id", "text_hash", "n_shingles", "set_low", "set_high").join(
+        roots.join(lowest, "root").select("set_low", "set_high", "root", "component_id", "class_size"), ["set_low", "set_high"]).select(
+        "doc_id", "text_hash", "n_shingles", "root", "component_id", "class_size")
     alone = sets.filter("shared IS NULL").select(
-        "doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("class_size"))
+        "doc_id", "text_hash", "n_shingles", F.lit(None).cast("long").alias("root"), F.col("doc_id").alias("component_id"),
+        F.lit(1).cast("long").alias("class_size"))
     return grouped.unionByName(alone)
 
 
-def one_per_group(docs: DataFrame, **options) -> DataFrame:
-    """The documents that are the smallest of their component (rows without a doc_id stay), with the input's columns."""
-    found = near_duplicates(docs, **options).filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*[docs[f"`{c}`"] for c in docs.columns])
+def near_duplicates(docs: DataFrame, k: int = 5) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id that links reach) and class_size (documents with the same set)."""
+    return _grouped(docs, k).select("doc_id", "n_shingles", "component_id", "class_size")
+
+
+def one_per_group(docs: DataFrame, k: int = 5) -> DataFrame:
+    """One document of each component, the one with the smallest doc_id (then text hash, a null id last), with the input's columns.
+
+    Documents are told apart by doc_id and text: a text that shares its id with a copy is judged for itself, and of rows
+    that agree in both one stays.
+    """
+    found = tools.materialise(_grouped(docs, k).select("doc_id", "text_hash", "root"), "groups")
+    worth = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")
+    best = found.filter("root IS NOT NULL").groupBy("root").agg(F.min(worth).alias("best"))
+    same = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & F.col("text_hash").eqNullSafe(F.col("best.text_hash"))
+    others = found.filter("root IS NOT NULL").join(best, "root").filter(~same).select("doc_id", "text_hash").distinct()
+    twice = tools.materialise(found.groupBy("doc_id", "text_hash").agg(F.count("*").alias("rows")).filter("rows > 1").select(
+        "doc_id", "text_hash"), "groups-repeated")
+    columns = [docs[f"`{c}`"] for c in docs.columns]
+    given = docs.select(F.struct(*columns).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"))
+    meets = lambda t: given["id"].eqNullSafe(t["doc_id"]) & (given["hash"] == t["text_hash"])
+    kept = given.join(others, meets(others), "left_anti")
+    if not twice.isEmpty():
+        met = kept.join(twice, given["id"].eqNullSafe(twice["doc_id"]) & (given["hash"] == twice["text_hash"]), "left_semi")
+        kept = kept.join(twice, given["id"].eqNullSafe(twice["doc_id"]) & (given["hash"] == twice["text_hash"]), "left_anti").unionByName(
+            met.dropDuplicates(["id", "hash"]))
+    return kept.select("row.*")
