@@ -78,12 +78,12 @@ _HOST = r"regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://
 _URLS = rf"""
 WITH p AS (SELECT page_id, url, {_HOST} AS host, lower(regexp_extract(url, '^[^/?#]*//[^/?#]*([^?#]*)', 1)) AS path,
                   TIMESTAMP '2024-01-01' + to_days((page_id % 30)::INT) + to_seconds((page_id * 7919 % 86400)::BIGINT) AS fetch_time FROM pages),
-h AS (SELECT host, ('0x' || md5(host)[1:7])::BIGINT AS n FROM (SELECT DISTINCT host FROM p WHERE host <> '')),
-u AS (SELECT CASE WHEN n % 3 = 0 THEN regexp_replace(host, '^[^.]*\.', '') WHEN n % 3 = 1 THEN host || '/en/' ELSE host END AS pattern,
-             n % 150 AS user_id FROM h),
-e AS (SELECT CASE WHEN event_type IN ('signup', 'error') THEN 'block' ELSE 'allow' END AS list, lower(pattern) AS pattern, ts AS at,
+u AS (SELECT page_id, max_by(host, url) AS host, regexp_extract(max_by(path, url), '^/[^/]+/') AS folder FROM p GROUP BY page_id),
+e AS (SELECT CASE WHEN event_type IN ('signup', 'error') THEN 'block' ELSE 'allow' END AS list,
+             lower(CASE user_id % 3 WHEN 0 THEN regexp_replace(host, '^[^.]*\.', '') WHEN 1 THEN host || folder ELSE host END) AS pattern, ts AS at,
              max(CASE WHEN event_type IN ('signup', 'purchase') THEN 'add' ELSE 'remove' END) AS action
-      FROM events JOIN u USING (user_id) WHERE event_type IN ('signup', 'purchase', 'error', 'click') GROUP BY ALL),
+      FROM events JOIN u ON page_id = user_id % (SELECT max(page_id) + 1 FROM pages)
+      WHERE event_type IN ('signup', 'purchase', 'error', 'click') GROUP BY ALL),
 k AS (SELECT DISTINCT list, pattern, split_part(pattern, '/', 1) AS phost, substr(pattern, length(split_part(pattern, '/', 1)) + 1) AS ppath FROM e),
 m AS (SELECT DISTINCT p.url, p.fetch_time, k.list, k.pattern FROM p JOIN k ON (p.host = phost OR ends_with(p.host, '.' || phost))
       AND (ppath = '' OR path = ppath OR (ends_with(ppath, '/') AND starts_with(path, ppath)))),

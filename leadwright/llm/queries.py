@@ -25,7 +25,7 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the text that is left of it."""
-    return line_dedup.dedup_passages(tools.documents(spark, sf_dir), carry=["doc_id"]).select(
+    return line_dedup.dedup(tools.documents(spark, sf_dir), carry=["doc_id"]).select(
         F.col("row.doc_id").alias("doc_id"), "text", "n_lines", "n_removed", "n_chunks_removed")
 
 
@@ -70,18 +70,20 @@ def dated_captures(pages: DataFrame) -> DataFrame:
 
 
 def dated_entries(pages: DataFrame, events: DataFrame) -> DataFrame:
-    """List entries: each host follows the events of one user; signup and purchase add, error and click remove.
+    """List entries, one for each signup, purchase, error and click of any user: the first two add, the others remove.
 
-    A third of the hosts is listed with its parent domain, a third with a folder.
+    A user follows the page whose page_id is the user's number, counted round: a third of the users lists that page's
+    parent domain, a third its host with the first folder of the path, a third its host.
     """
-    hosts = pages.select(url_lists.host_of(F.col("url")).alias("host")).filter("host <> ''").distinct().withColumn(
-        "n", F.conv(F.substring(F.md5("host"), 1, 7), 16, 10).cast("long"))
-    pattern = F.when(F.col("n") % 3 == 0, F.regexp_replace("host", r"^[^.]*\.", "")).when(
-        F.col("n") % 3 == 1, F.concat("host", F.lit("/en/"))).otherwise(F.col("host"))
-    users = hosts.select(pattern.alias("pattern"), (F.col("n") % 150).alias("user_id"))
-    found = events.filter(F.col("event_type").isin("signup", "purchase", "error", "click")).join(users, "user_id")
+    n_pages = (pages.agg(F.max("page_id")).first()[0] or 0) + 1
+    place = pages.groupBy("page_id").agg(F.max("url").alias("url"))
+    host, user = url_lists.host_of(F.col("url")), F.col("user_id") % 3
+    pattern = F.when(user == 0, F.regexp_replace(host, r"^[^.]*\.", "")).when(
+        user == 1, F.concat(host, F.regexp_extract(url_lists.path_of(F.col("url")), "^/[^/]+/", 0))).otherwise(host)
+    found = events.filter(F.col("event_type").isin("signup", "purchase", "error", "click")).join(
+        place, F.pmod("user_id", F.lit(n_pages)) == F.col("page_id"))
     return found.select(
-        F.when(F.col("event_type").isin("signup", "error"), "block").otherwise("allow").alias("list"), "pattern",
+        F.when(F.col("event_type").isin("signup", "error"), "block").otherwise("allow").alias("list"), pattern.alias("pattern"),
         F.when(F.col("event_type").isin("signup", "purchase"), "add").otherwise("remove").alias("action"), F.col("ts").alias("at"))
 
 

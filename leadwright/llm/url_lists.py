@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from leadwright.llm import tools
+
 BUCKET_DAYS = 30
 _DAY = 86_400
 
@@ -67,7 +69,9 @@ def judge(captures: DataFrame, entries: DataFrame, bucket_days: int = BUCKET_DAY
     """id, url, fetch_time of every capture with blocked, n_active, decided_by (list), pattern and valid_from."""
     held = captures.select("id", "url", "fetch_time")
     entries = entries.withColumn("at", F.col("at").cast(dict(held.dtypes)["fetch_time"]))
-    asked = held.filter("url IS NOT NULL AND fetch_time IS NOT NULL").select("url", "fetch_time").distinct()
+    # Dealt out again: each capture becomes a row per pattern, so few small partitions would be a few large ones.
+    asked = held.filter("url IS NOT NULL AND fetch_time IS NOT NULL").select("url", "fetch_time").distinct().repartition(
+        tools.partitions(held.sparkSession))
     # Open intervals reach to the last fetch.
     last = asked.agg(F.max(_bucket(F.col("fetch_time"), bucket_days)).alias("last"))
     spans = intervals(entries).crossJoin(F.broadcast(last)).withColumn("low", _bucket(F.col("valid_from"), bucket_days)).withColumn(
