@@ -13,11 +13,19 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from leadwright.operators.ordered import running_sums
 
 
-def score_curve(df: DataFrame, score: str, target: str, by: list[str] = (), ascending: bool = False) -> DataFrame:
-    """One row per distinct score with its rows ``n`` and positives ``pos``, and running and total counts."""
-    groups = df.where(F.col(score).isNotNull() & F.col(target).isNotNull()).groupBy(*by, score).agg(
+def score_counts(df: DataFrame, score: str, target: str, by: list[str] = ()) -> DataFrame:
+    """One row per distinct score with its rows ``n`` and positives ``pos``."""
+    return df.where(F.col(score).isNotNull() & F.col(target).isNotNull()).groupBy(*by, score).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col(target)).cast("bigint").alias("pos")
     )
+
+
+def score_curve(df: DataFrame, score: str, target: str, by: list[str] = (), ascending: bool = False) -> DataFrame:
+    """``score_counts`` with running and total counts."""
+    return counted_curve(score_counts(df, score, target, by), score, by, ascending)
+
+
+def counted_curve(groups: DataFrame, score: str, by: list[str] = (), ascending: bool = False) -> DataFrame:
     order = F.col(score).asc() if ascending else F.col(score).desc()
     return running_sums(groups, list(by), [order], {"n": "n", "pos": "pos"})
 
@@ -45,7 +53,12 @@ def roc_curve(df: DataFrame, score: str, target: str, by: list[str] = ()) -> Dat
 
 def auc_ks(df: DataFrame, score: str, target: str, by: list[str] = ()) -> DataFrame:
     """Area under the ROC curve and the greatest |TPR - FPR|, per ``by`` group."""
-    rates = _rates(score_curve(df, score, target, by))
+    return counted_auc_ks(score_counts(df, score, target, by), score, by)
+
+
+def counted_auc_ks(groups: DataFrame, score: str, by: list[str] = ()) -> DataFrame:
+    """The same from rows and positives per score."""
+    rates = _rates(counted_curve(groups, score, by))
     return rates.groupBy(*by).agg(
         F.sum("_area").alias("auc"), F.max(F.abs(F.col("tpr") - F.col("fpr"))).alias("ks"),
         F.first("total_n").alias("n"), F.first("total_pos").alias("positives"),
@@ -129,6 +142,43 @@ def decile_table_approx(df: DataFrame, score: str, target: str, n: int = 10, err
     return _decile_summary(groups, score, decile_edges(found), n)
 
 
+# ---------------------------------------------------------------- stored sketches
+#: Size of a quantile sketch, and the rank error that merged sketches of this size keep to (three standard bounds).
+SKETCH_SIZE, SKETCH_ERROR = 2048, 3 * 2.446 / 2048**0.9433
+
+
+def score_sketches(df: DataFrame, score: str, target: str, by: list[str] = ()) -> DataFrame:
+    """One mergeable quantile sketch per group (a day, say), with its number of rows: a table to keep, a few kilobytes a row."""
+    known = df.where(F.col(score).isNotNull() & F.col(target).isNotNull())
+    return known.groupBy(*by).agg(F.kll_sketch_agg_double(F.col(score).cast("double"), F.lit(SKETCH_SIZE)).alias("sketch"),
+                                  F.count(F.lit(1)).alias("n"))
+
+
+def sketch_edges(sketches: DataFrame, shares: list[float]) -> DataFrame:
+    """``edges`` (one per share) and ``n`` of all given sketches together. Lazy: sketches are merged, no row is read again."""
+    merged = sketches.agg(F.kll_merge_agg_double("sketch").alias("sketch"), F.sum("n").alias("n"))
+    edges = F.array(*[F.kll_sketch_get_quantile_double("sketch", F.lit(q)) for q in shares])
+    return merged.select("n", edges.alias("edges"))
+
+
+def edge_errors(df: DataFrame, score: str, target: str, sketches: DataFrame, shares: list[float]) -> DataFrame:
+    """Per share the sketched edge, the share of rows that truly lie at or below it (at least and at most, for ties), its
+    distance from the asked share, and the stated bound."""
+    known = df.where(F.col(score).isNotNull() & F.col(target).isNotNull()).select(F.col(score).cast("double").alias("_s"))
+    edges = sketch_edges(sketches, shares)
+    asked = edges.select("n", F.posexplode("edges").alias("_at", "edge")).select("n", "_at", "edge", F.array(*[F.lit(q) for q in shares])[F.col("_at")].alias("share"))
+    # One row of edges: every value is compared with them in place, and only counts leave the tasks.
+    placed = known.join(F.broadcast(edges.select("edges")))
+    sums = [f(F.when(test, 1).otherwise(0)).alias(f"{name}{i}") for i in range(len(shares)) for f, name, test in (
+        (F.sum, "below", F.col("_s") < F.col("edges")[i]), (F.sum, "upto", F.col("_s") <= F.col("edges")[i]))]
+    counted = placed.agg(*sums).select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_at"), F.col(f"below{i}").alias("below"), F.col(f"upto{i}").alias("upto")) for i in range(len(shares))])).alias("c")).select("c.*")
+    low, high = F.col("below") / F.col("n"), F.col("upto") / F.col("n")
+    error = F.greatest(low - F.col("share"), F.col("share") - high, F.lit(0.0))
+    return asked.join(counted, "_at").select("share", "edge", "n", low.alias("low"), high.alias("high"), error.alias("error"),
+                                             F.lit(SKETCH_ERROR).alias("bound"), (error <= SKETCH_ERROR).alias("within"))
+
+
 def top_deciles(deciles: DataFrame, k: int = 3) -> DataFrame:
     """The k best deciles of a report."""
     return deciles.orderBy(F.split("Decile", r"\.")[0].cast("int")).limit(k)

@@ -30,24 +30,34 @@ def retrain_trigger(
     return marked.withColumn("trigger", streak & unbroken)
 
 
-def _shares(df: DataFrame, cells: Column, name: str) -> DataFrame:
-    counts = df.select(F.explode(cells).alias("c")).groupBy("c.variable", "c.bin").agg(F.count(F.lit(1)).alias("_n"))
+def bin_cells(bins: list[Bin]) -> Column:
+    """Array of (variable, bin) of a row; -1: in no bin."""
+    return F.array(*[
+        F.struct(F.lit(v).alias("variable"), pick(bs, [b.bin_id for b in bs], -1).alias("bin"))
+        for v, bs in by_variable(bins).items()
+    ])
+
+
+def _shares(counts: DataFrame, name: str) -> DataFrame:
     whole = Window.partitionBy("variable")  # one row per bin
-    return counts.select("variable", "bin", (F.col("_n") / F.sum("_n").over(whole)).alias(name))
+    return counts.select("variable", "bin", (F.col("n") / F.sum("n").over(whole)).alias(name))
 
 
-def psi(expected: DataFrame, actual: DataFrame, bins: list[Bin], ceiling: float = fx.PSI_CEILING) -> DataFrame:
-    """Population stability index per binned variable, and whether it exceeds the ceiling."""
-    cells = F.array(*[
-        F.struct(F.lit(v).alias("variable"), pick(bs, [b.bin_id for b in bs], -1).alias("bin"))  # -1: in no bin
-        for v, bs in by_variable(bins).items()
-    ])
-    both = _shares(expected, cells, "_e").join(_shares(actual, cells, "_a"), ["variable", "bin"], "full_outer")
+def stability(expected: DataFrame, actual: DataFrame, ceiling: float = fx.PSI_CEILING) -> DataFrame:
+    """Population stability index per variable from rows per bin (variable, bin, n), and whether it exceeds the ceiling."""
+    both = _shares(expected, "_e").join(_shares(actual, "_a"), ["variable", "bin"], "full_outer")
     e, a = (F.greatest(F.coalesce(F.col(c), F.lit(0.0)), F.lit(EMPTY_SHARE)) for c in ("_e", "_a"))
     total = both.groupBy("variable").agg(F.sum((a - e) * F.log(a / e)).alias("psi"), F.count(F.lit(1)).alias("n_bins"))
     return total.withColumn("shifted", F.col("psi") > ceiling)
 
 
+def psi(expected: DataFrame, actual: DataFrame, bins: list[Bin], ceiling: float = fx.PSI_CEILING) -> DataFrame:
+    """Population stability index per binned variable, and whether it exceeds the ceiling."""
+    def counts(df: DataFrame) -> DataFrame:
+        return df.select(F.explode(bin_cells(bins)).alias("c")).groupBy("c.variable", "c.bin").agg(F.count(F.lit(1)).alias("n"))
+    return stability(counts(expected), counts(actual), ceiling)
+
+
 def new_categories(df: DataFrame, known: dict[str, list[str]], min_share: float = 0.0) -> DataFrame:
     """Categories that no bin covers, with their rows and share. Values are counted before anything is compared."""
     cells = F.array(*[F.struct(F.lit(v).alias("variable"), F.col(v).cast("string").alias("category")) for v in known])

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from functools import reduce
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from leadwright.functions import fixed_values as fx
@@ -87,29 +88,54 @@ def score(df: DataFrame, rules: DataFrame, base: int | None = None) -> DataFrame
     return scored.withColumn("total_score", total.cast("int"))
 
 
+def rule_cells(rules: DataFrame) -> tuple[dict[str, list[float]], DataFrame]:
+    """The limits of each variable's intervals, sorted, and the points by cell: variable, cell, text, points.
+
+    Cell ``i`` of a number lies between its limits ``i - 1`` and ``i``; -1 stands for NULL, -2 for a text, which is named. Two rules
+    that claim one cell or one text are taken in the order of their bin_id, as ``compile_rules`` tries them. The limits are the one thing collected: two numbers
+    per rule, from which each task searches by bisection.
+    """
+    spans = rules.where(F.col("kind").isin("interval", "cells"))
+    ends = F.array_compact(F.array("lo", "hi"))
+    found = spans.groupBy("variable").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set(ends)))).alias("limits"))
+    limits = {r["variable"]: list(r["limits"]) for r in found.collect()}
+    low = F.when(F.col("lo").isNull(), 0).otherwise(F.array_position("limits", F.col("lo")))
+    high = F.when(F.col("hi").isNull(), F.size("limits")).otherwise(F.array_position("limits", F.col("hi")) - 1)
+    of_numbers = spans.join(found, "variable").where(low <= high).select(
+        "variable", "bin_id", F.explode(F.sequence(low.cast("int"), high.cast("int"))).alias("cell"), F.lit("").alias("text"), "points")
+    of_texts = rules.where(F.col("kind") == "category").select("variable", "bin_id", F.lit(-2).alias("cell"), F.explode("categories").alias("text"), "points")
+    missing = rules.where(F.col("kind") == "missing").select("variable", "bin_id", F.lit(-1).alias("cell"), F.lit("").alias("text"), "points")
+    every = of_numbers.unionByName(of_texts).unionByName(missing)
+    return limits, every.groupBy("variable", "cell", "text").agg(F.min_by("points", "bin_id").alias("points"))
+
+
 def score_by_join(df: DataFrame, rules: DataFrame, ids: list[str], base: int) -> DataFrame:
-    """Total score through a join with the rule table instead of compiled expressions."""
-    found, points = collect_bins(rules, "points")  # also checks that the table is small enough to broadcast
-    rules = rules_frame(df.sparkSession, [(b, points[b.variable, b.bin_id]) for b in found])
-    bins = by_variable(found)
-    text = {v for v, bs in bins.items() if any(b.kind == "category" for b in bs)}
-    cells = F.array(*[
-        F.struct(
-            F.lit(v).alias("variable"),
-            (F.lit(None) if v in text else F.col(v)).cast("double").alias("num"),
-            (F.col(v) if v in text else F.lit(None)).cast("string").alias("txt"),
-        ) for v in bins
-    ])
-    long = df.select(*ids, F.explode(cells).alias("c")).select(*ids, "c.*")
-    r = F.broadcast(rules.select(F.col("variable").alias("rv"), "kind", "lo", "hi", "categories", "points"))
-    nothing = F.col("num").isNull() & F.col("txt").isNull()
-    hit = (
-        ((F.col("kind") == "missing") & nothing)
-        | ((F.col("kind") == "category") & F.array_contains("categories", F.col("txt")))
-        | ((F.col("kind") == "interval") & (F.col("lo").isNull() | (F.col("num") >= F.col("lo")))
-           & (F.col("hi").isNull() | (F.col("num") < F.col("hi"))) & F.col("num").isNotNull())
-    )
-    joined = long.join(r, (F.col("variable") == F.col("rv")) & hit, "left")
+    """Total score by looking every value up in the rule table, however many rules it has.
+
+    A number finds its cell by bisection in the sorted limits of its variable; variable, cell and text are then joined for
+    equality, and Spark chooses between broadcast and shuffle by the size of the table.
+    """
+    limits, points = rule_cells(rules)
+    kinds = {r["variable"]: r["text"] for r in rules.where(F.col("kind") != "base").groupBy("variable").agg(
+        F.max(F.col("kind") == "category").alias("text")).collect()}  # one row per variable
+    numbers = [v for v, text in kinds.items() if not text]
+    cells = df.select(*ids, *[F.coalesce(F.col(v).cast("double"), F.lit(math.nan)).alias(f"_v_{v}") for v in numbers],
+                      *[F.col(v).isNull().alias(f"_n_{v}") for v in kinds], *[F.col(v).cast("string").alias(f"_t_{v}") for v in kinds if v not in numbers])
+    if numbers:
+        # One limit more than the rules have keeps the splits valid where a variable has none; NaN counts as the greatest number.
+        splits = [[-math.inf, *(limits.get(v) or [0.0]), math.inf] for v in numbers]
+        cells = Bucketizer(splitsArray=splits, inputCols=[f"_v_{v}" for v in numbers], outputCols=[f"_c_{v}" for v in numbers],
+                           handleInvalid="keep").transform(cells)
+    def cell(v: str) -> Column:
+        if v not in numbers:
+            return F.when(F.col(f"_n_{v}"), -1).otherwise(-2)
+        last = len(limits.get(v, []))
+        return F.when(F.col(f"_n_{v}"), -1).otherwise(F.least(F.col(f"_c_{v}").cast("int"), F.lit(last)))
+
+    asked = F.array(*[F.struct(F.lit(v).alias("variable"), cell(v).cast("int").alias("cell"),
+                               (F.lit("") if v in numbers else F.coalesce(F.col(f"_t_{v}"), F.lit(""))).alias("text")) for v in kinds])
+    long = cells.select(*ids, F.explode(asked).alias("_a")).select(*ids, "_a.*")
+    joined = long.join(points, ["variable", "cell", "text"], "left")
     return joined.groupBy(*ids).agg((F.lit(base) + F.coalesce(F.sum("points"), F.lit(0))).cast("int").alias("total_score"))
 
 

@@ -3,9 +3,9 @@
 ``point_in_time`` puts the moments asked for ("probes") and the events of any number of sources on
 one timeline per key and day, and reads running aggregates off it; a small table carries the aggregates
 of a key's earlier days. No pair of probe and event is ever formed, so the work is linear in the rows, and
-no key is handled as a whole: a key with very many rows is spread over its days, and copies at one instant
-are folded before they are shuffled. Only events of the keys asked for, up to the last moment asked for,
-are read on.
+no key is handled as a whole: a key with very many rows is spread over its days, a day with very many over its
+minutes or seconds, and copies at one instant are folded before they are shuffled. Only events of the keys
+asked for, up to the last moment asked for, are read on. Nothing runs before the result is asked for.
 """
 
 from __future__ import annotations
@@ -48,9 +48,13 @@ _WITH_CARRY = {
 }
 
 
-def _events(sources: list[Source], key: str, at_type: str, keys: DataFrame, until: str | None, strict: bool) -> DataFrame:
-    """The events that can count, one row per key and instant; ``last`` measures as one row column per source."""
-    limit = F.lit(until).cast(at_type)
+#: Instants of one key and day from which on the day is cut into minutes, and times 1,000 into seconds. Fewer than one in so
+#: many rows can be such a day, which bounds the table of them that is broadcast.
+HOT_ROWS = 2_000_000
+
+
+def _events(sources: list[Source], key: str, at_type: str, keys: DataFrame, limit: Column, strict: bool) -> DataFrame:
+    """The events that can count; ``last`` measures as one row column per source."""
     events = None
     for i, source in enumerate(sources):
         ts = as_col(source.ts)
@@ -68,6 +72,18 @@ def _events(sources: list[Source], key: str, at_type: str, keys: DataFrame, unti
     return events
 
 
+def _sliced(rows: DataFrame, folded: DataFrame, measures: list[str], hot_rows: int) -> DataFrame:
+    """``rows`` with ``_slice``: 0, but for keys and days with very many instants the minute or second of the day."""
+    # The hash names every column, so that the folded events are shuffled once for the counts and for the timeline.
+    counts = folded.groupBy("_k", F.to_date("_ts").alias("_day")).agg(
+        F.count(F.lit(1)).alias("_n"), F.max(F.xxhash64(*measures)).alias("_any"))
+    hot = counts.where((F.col("_n") > hot_rows) & F.col("_any").isNotNull()).select(
+        "_k", "_day", F.when(F.col("_n") > hot_rows * 1000, 1).otherwise(60).alias("_width"))
+    second = F.hour("_ts") * 3600 + F.minute("_ts") * 60 + F.second("_ts")
+    met = rows.withColumn("_day", F.to_date("_ts")).join(F.broadcast(hot), ["_k", "_day"], "left")
+    return met.withColumn("_slice", F.coalesce(F.floor(second / F.col("_width")).cast("int"), F.lit(0))).drop("_width")
+
+
 def point_in_time(
     probes: DataFrame,
     key: str,
@@ -75,13 +91,15 @@ def point_in_time(
     sources: list[Source],
     strict: bool = True,
     earlier: dict[str, Callable[[Column], Column]] | None = None,
+    until: str | None = None,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """For every distinct (``key``, ``at``) of ``probes``: the measures over all events before ``at``.
 
     ``strict`` excludes events at the very moment. ``earlier`` maps a suffix to a function of ``at``
     giving a second moment, not after ``at``; the measures at it are returned as ``<measure>_<suffix>``.
-    Times are compared in the type of ``at``. The last moment asked for is looked up at once, so that it
-    reaches the scans as a constant.
+    Times are compared in the type of ``at``. ``until`` is a moment that no probe lies after, where the caller knows
+    one: it reaches the scans as a constant. Without it the last moment asked for is found as part of the plan.
     """
     earlier = earlier or {}
     kinds = {n: how for s in sources for n, (how, _) in s.measures.items() if how != "last"}
@@ -93,8 +111,8 @@ def point_in_time(
         .where(F.col("_k").isNotNull() & F.col("_at").isNotNull())
         .distinct()
     )
-    until = probes.where(F.col(key).isNotNull()).agg(F.max(at).cast("string")).first()[0]
     at_type = moments.dtypes[1][1]
+    limit = F.lit(until).cast(at_type) if until else probes.where(F.col(key).isNotNull()).agg(F.max(at)).scalar()
     points = F.array(
         F.struct(F.lit("").alias("tag"), F.col("_at").alias("ts")),
         *[F.struct(F.lit(tag).alias("tag"), f(F.col("_at")).alias("ts")) for tag, f in earlier.items()],
@@ -103,23 +121,24 @@ def point_in_time(
     asked = moments.select("_k", "_at", F.explode(points).alias("_p")).select(
         "_k", "_at", F.col("_p.tag").alias("_tag"), F.col("_p.ts").alias("_ts"), F.lit(probe_kind).alias("_kind")
     )
-    events = _events(sources, key, at_type, moments.select("_k").distinct(), until, strict)
+    events = _events(sources, key, at_type, moments.select("_k").distinct(), limit, strict)
     folded = events.groupBy("_k", "_ts").agg(*[_SAME_INSTANT[how](n).alias(n) for n, how in held.items()])
     rows = asked.unionByName(folded.withColumn("_kind", F.lit(event_kind)), allowMissingColumns=True)
-    rows = rows.withColumn("_day", F.to_date("_ts"))
-    inside = (
-        Window.partitionBy("_k", "_day").orderBy("_ts", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    )
+    place = ["_k", "_day", "_slice"]
+    # Shuffled once, for the running values and for the totals: both name every column.
+    rows = _sliced(rows, folded, list(held), hot_rows).repartition(*place)
+    inside = Window.partitionBy(*place).orderBy("_ts", "_kind").rowsBetween(Window.unboundedPreceding, 0)
     running = rows.select(
-        "_k", "_day", "_at", "_tag", *[_RUNNING[how](n).over(inside).alias(n) for n, how in held.items()]
+        *place, "_at", "_tag", *[_RUNNING[how](n).over(inside).alias(n) for n, how in held.items()]
     ).where(F.col("_tag").isNotNull())
-    # One row per key and day; the days of one key are few, however many rows they hold.
-    days = rows.groupBy("_k", "_day").agg(*[
-        (F.max_by(n, F.when(F.col(n).isNotNull(), F.col("_ts"))) if how == "last" else _SAME_INSTANT[how](n)).alias(n)
-        for n, how in held.items()])
-    before = Window.partitionBy("_k").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    carries = days.select("_k", "_day", *[_RUNNING[how](n).over(before).alias(f"_c_{n}") for n, how in held.items()])
-    known = running.join(carries, ["_k", "_day"]).select(
+    # One row per key and slice of a day; the slices of one key are few, however many rows they hold.
+    totals = rows.groupBy(*place).agg(
+        F.max(F.xxhash64("_at", "_tag", "_kind")).alias("_any"),
+        *[(F.max_by(n, F.when(F.col(n).isNotNull(), F.col("_ts"))) if how == "last" else _SAME_INSTANT[how](n)).alias(n)
+          for n, how in held.items()]).where(F.col("_any").isNotNull())
+    before = Window.partitionBy("_k").orderBy("_day", "_slice").rowsBetween(Window.unboundedPreceding, -1)
+    carries = totals.select(*place, *[_RUNNING[how](n).over(before).alias(f"_c_{n}") for n, how in held.items()])
+    known = running.join(carries, place).select(
         "_k", "_at", "_tag", *[_WITH_CARRY[how](F.col(n), F.col(f"_c_{n}")).alias(n) for n, how in held.items()])
     known = known.select("_k", "_at", "_tag", *kinds, *[F.col(f"{row}.{n}").alias(n) for row, names in lasts.items() for n in names])
     measures = [*kinds, *[n for names in lasts.values() for n in names]]

@@ -8,10 +8,12 @@ maxima survive there, they are computed per user first; the rows never meet in a
 
 from __future__ import annotations
 
+import datetime
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from leadwright.functions import fixed_values as fx
 from leadwright.functions.columns import (
@@ -19,7 +21,9 @@ from leadwright.functions.columns import (
 )
 from leadwright.operators.joins import left_join_many
 from leadwright.operators.temporal import Source, conversion_labels, first_by, latest_by, point_in_time
+from leadwright.plans.runs import Stage
 from leadwright.session import materialise
+from leadwright.sources.snapshots import Catalogue, Rule, between, fixed, rolling
 
 Sources = dict[str, DataFrame]
 
@@ -294,6 +298,11 @@ def timeline_sources(src: Sources, span: Span, groups: list[str]) -> list[Source
     return out
 
 
+def day_after(day: str) -> str:
+    """Start of the next day: no lead of a span lies after it."""
+    return f"{datetime.date.fromisoformat(day) + datetime.timedelta(days=1)} 00:00:00"
+
+
 def week_before(at: Column) -> Column:
     """Start of the day seven days before the day of ``at``."""
     return F.date_sub(to_day(at), 7).cast("timestamp_ntz")
@@ -306,7 +315,7 @@ def add_point_in_time(leads: DataFrame, src: Sources, span: Span, groups: list[s
     """Everything known about the lead's user strictly before its allocation time: one timeline, one
     window pass, whatever the number of sources."""
     earlier = {"week": week_before} if "views" in groups else None
-    known = point_in_time(leads, "user_id", "alloc_time", timeline_sources(src, span, groups), earlier=earlier)
+    known = point_in_time(leads, "user_id", "alloc_time", timeline_sources(src, span, groups), earlier=earlier, until=day_after(span.end))
     out = leads.join(known, ["user_id", "alloc_time"], "left")
     for g in [g for g in groups if g in VISITS]:
         out = out.withColumns({
@@ -389,13 +398,48 @@ def feature_table(src: Sources, span: Span, tiers: Tiers = DEFAULT_TIERS, leads:
     base = materialise(lead_base(src, span), "lead_base") if leads is None else leads
     base = base.drop("channel_type", "channel", "subchannel")
     rows = add_point_in_time(base, src, span, FINAL_GROUPS)
-    rows = add_follow_tags(add_user_agent(add_tags(rows, src["user_tag"], tiers), src["user_ua"]), src["wx_detail"], span)
+    return final_columns(add_follow_tags(add_user_agent(add_tags(rows, src["user_tag"], tiers), src["user_ua"]), src["wx_detail"], span))
+
+
+def final_columns(rows: DataFrame) -> DataFrame:
     rows = rows.withColumns(channel_maps()).withColumn(
         "last_visit_time", F.greatest(*[F.col(f"last_visit_time_{g}") for g in VISITS])
     )
     return finish(rows, fx.TIER_UNKNOWN).select(*FINAL_COLUMNS, "alloc_time", "last_visit_time")
 
 
+# ---------------------------------------------------------------- the build from a store of stamped tables
+def source_rules(span: Span, late: int = 1) -> dict[str, Rule]:
+    """By which copy each role is read: yesterday's for the call centre's tables, the snapshot's for the tables of users and
+    orders, the asked days for increments. Histories have no copies."""
+    rules = {r: rolling(1, late) for r in ("crm_task", "call_record", "policy_order", "clue")}
+    rules |= {r: fixed(span.snapshot) for r in ("ins_order", "share_action", "app_tag", "user_ua", "user_tag")}
+    return rules | {"wx_detail": between(span.subscriptions_from, span.snapshot), "user_action": between(span.views_from, span.snapshot)}
+
+
+def feature_table_of(spark: SparkSession, catalogue: Catalogue, span: Span, run_date: str, tiers: Tiers = DEFAULT_TIERS) -> DataFrame:
+    """The feature table of one run: every copy is resolved from the run date before the first plan is made."""
+    return feature_table(catalogue.open(spark, run_date), span, tiers)
+
+
+def feature_stages(span: Span, tiers: Tiers = DEFAULT_TIERS) -> list[Stage]:
+    """The build as a restartable run: leads, what the logs knew of them, user tables, the final columns."""
+    def timeline(src: Sources, _) -> DataFrame:
+        base = src["lead_base"].drop("channel_type", "channel", "subchannel")
+        return add_point_in_time(base, src, span, FINAL_GROUPS)
+
+    def users(src: Sources, _) -> DataFrame:
+        rows = add_user_agent(add_tags(src["timeline"], src["user_tag"], tiers), src["user_ua"])
+        return add_follow_tags(rows, src["wx_detail"], span)
+
+    return [
+        Stage("lead_base", ("crm_task", "call_record", "policy_order", "clue"), lambda src, _: lead_base(src, span)),
+        Stage("timeline", ("lead_base", *[VISITS[g][0] for g in VISITS], "user_action", "ins_order", "share_action", "app_tag"), timeline),
+        Stage("users", ("timeline", "user_tag", "user_ua", "wx_detail"), users),
+        Stage("features", ("users",), lambda src, _: final_columns(src["users"])),
+    ]
+
+
 # ---------------------------------------------------------------- original user-level results
 def _folded_history(history: DataFrame, suffix: str) -> DataFrame:
     """Rows tied at one visit time as one row of independent maxima (earliest first visit)."""
@@ -412,7 +456,7 @@ def user_level_features(leads: DataFrame, src: Sources, span: Span) -> DataFrame
         row = F.struct(*VISIT_FIELDS, *VISITS[g][1])
         sources.append(Source(_folded_history(src[VISITS[g][0]], g), "last_visit_time", {f"_{g}": ("last", row)}))
     sources += timeline_sources(src, span, ["views"])
-    known = point_in_time(leads, "user_id", "alloc_time", sources, earlier={"week": week_before})
+    known = point_in_time(leads, "user_id", "alloc_time", sources, earlier={"week": week_before}, until=day_after(span.end))
     per_day = known.withColumn("_day", to_day("alloc_time")).withColumn(
         "_week_views", F.coalesce("_views", F.lit(0)) - F.coalesce("_views_week", F.lit(0))
     )
@@ -492,6 +536,44 @@ def leakage_audit(rows: DataFrame, event_times: dict[str, str], at: str = "alloc
     )
 
 
+EVENT_TIMES = {
+    "visit_cf": "last_visit_time", "visit_hz": "last_visit_time", "visit_bao": "last_visit_time", "user_action": "operation_time",
+    "ins_order": "create_time", "share_action": "time", "app_tag": "last_appstart_op_time", "wx_detail": "dt",
+}
+
+
+def without_later_events(src: Sources, cuts: DataFrame, times: dict[str, str] = EVENT_TIMES) -> Sources:
+    """The sources without the events of a user at or after that user's ``cut``; users without one keep all."""
+    out = dict(src)
+    for role, ts in times.items():
+        own = src[role]
+        cut = F.col("_cut") if dict(own.dtypes)[ts] != "date" else F.col("_cut").cast("date")
+        met = own.join(cuts.select(F.col("user_id").alias("_user"), F.col("cut").alias("_cut")), F.col("user_id") == F.col("_user"), "left")
+        out[role] = met.where(F.col("_cut").isNull() | F.col(ts).isNull() | (F.col(ts) < cut)).select(*own.columns)
+    return out
+
+
+def changed_columns(before: DataFrame, after: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """Per column the rows, and those whose value differs between two builds of the same rows."""
+    joined = before.alias("a").join(after.alias("b"), keys)
+    counts = joined.agg(F.count(F.lit(1)).alias("rows"), *[
+        F.sum(F.when(F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")), 0).otherwise(1)).alias(f"_{c}") for c in columns])
+    return counts.select("rows", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), F.col(f"_{c}").alias("changed")) for c in columns])).alias("c")).select("c.feature", "rows", "c.changed")
+
+
+def leakage_by_perturbation(src: Sources, build: Callable[[Sources], DataFrame], first_leads: DataFrame, columns: list[str]) -> DataFrame:
+    """Rebuild the features without any event at or after each user's first allocation, and compare the first leads' rows.
+
+    ``first_leads`` has user_id, task_id and cut, one row per user. A feature that changes has used what was not known yet, also where no column shows the
+    time of what it was made from.
+    """
+    wanted = first_leads.select("user_id", "task_id")
+    whole, cut = (build(s).join(wanted, ["user_id", "task_id"], "left_semi").select("user_id", "task_id", *columns)
+                  for s in (src, without_later_events(src, first_leads)))
+    return changed_columns(materialise(whole, "audit"), materialise(cut, "audit"), ["user_id", "task_id"], columns)
+
+
 def mature(leads: DataFrame, as_of: str, days: int = fx.MATURATION_DAYS, day: str = "alloc_date") -> DataFrame:
     """Leads old enough for their label to be final."""
     return leads.where(F.col(day) <= F.date_sub(F.lit(as_of).cast("date"), days))

@@ -275,6 +275,28 @@ CTE["scored"] = f"""SELECT *, CAST({' + '.join(v + '_score' for v in SCORED_VARI
 CTE["ranked"] = """SELECT row_number() OVER (ORDER BY total_score DESC, last_visit_time DESC NULLS LAST, user_id NULLS LAST, task_id)
     AS lead_rank, total_score, user_id, task_id, t14_policy_flag, last_visit_time FROM scored"""
 
+def variant(goal: str, replaced: dict[str, str], suffix: str) -> dict[str, str]:
+    """``goal`` and all it is made of once more, under names with ``suffix``, on other versions of some relations."""
+    out: dict[str, str] = {}
+
+    def visit(name: str) -> bool:
+        """Whether the relation changes, and so stands under the new name."""
+        if name + suffix in out:
+            return True
+        if name in replaced:
+            out[name + suffix] = replaced[name]
+            return True
+        text = CTE[name]
+        changed = [w for w in dict.fromkeys(_WORD.findall(text)) if w in CTE and w != name and visit(w)]
+        if not changed:
+            return False
+        out[name + suffix] = re.sub(r"\b(" + "|".join(changed) + r")\b(?!\.)", rf"\1{suffix}", text)
+        return True
+
+    visit(goal)
+    return out
+
+
 _WORD = re.compile(r"\b[a-z_][a-z_0-9]*\b")
 
 

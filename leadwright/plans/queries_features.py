@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import functions as F
 
 from leadwright.operators import temporal as tp
+from leadwright.operators.history import valid_and_last
 from leadwright.plans import features as ft
 from leadwright.plans import oracle as oc
 from leadwright.plans.registry import SPAN, TIERS, feature_stage, lead_stage, query, role
+from leadwright.plans.runs import run_stages
+from leadwright.session import materialise, shared_dir
 from leadwright.sources import roles
+from leadwright.sources.snapshots import Catalogue, copies_read
 
 _LEAD_OUT = ["task_id", *ft.LEAD_COLUMNS, "through_flag", "fst_through_flag", "t7_policy_flag", "t14_policy_flag",
              "t7_policy_cnt", "t14_policy_cnt", "t7_origin", "t14_origin", "channel_type", "channel", "subchannel"]
@@ -164,3 +171,91 @@ def training_window(spark, sf):
 def features_scan(spark, sf):
     """The feature table read from its stage table, as training and scoring read it."""
     return feature_stage(spark, sf).select(*ft.FINAL_COLUMNS)
+
+
+# ---------------------------------------------------------------- from a store of stamped tables
+_RUN_DATE = oc.AS_OF
+_TAKEN = {r: "2024-01-30" for r in roles.copied_roles()} | {"clue": "2024-01-29"}  # the newest copy of clue is a day late
+_FROM_COPIES = {r: roles.duck_copy(r, stamp) for r, stamp in _TAKEN.items()} | {
+    r: f"SELECT * FROM ({roles.duck_role(r)}) i WHERE dt BETWEEN DATE '{oc.SINCE}' AND DATE '{oc.SNAPSHOT}'" for r in roles.INCREMENT_ROLES}
+
+
+def store_of(spark, sf):
+    """The given tables as a store of stamped copies, written once a session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STORES:
+        _STORES[key] = roles.write_store(spark, sf, f"{shared_dir(spark)}/store-{uuid.uuid4().hex}")
+    return Catalogue(_STORES[key], ft.source_rules(SPAN))
+
+
+_STORES: dict[tuple[str, str], dict[str, str]] = {}
+
+
+@query("final_feature_table_stamped", f"SELECT {', '.join(ft.FINAL_COLUMNS)}, alloc_time, last_visit_time FROM features", _FROM_COPIES)
+def final_feature_table_stamped(spark, sf):
+    """The feature build of one run date from a store in which every table has several copies."""
+    return ft.feature_table_of(spark, store_of(spark, sf), SPAN, _RUN_DATE, TIERS)
+
+
+@query("snapshot_copies", " UNION ALL ".join(
+    [f"SELECT '{r}' AS role, DATE '{stamp}' AS stamp, count(*) AS rows FROM {r} HAVING count(*) > 0" for r, stamp in _TAKEN.items()]
+    + [f"SELECT '{r}' AS role, dt AS stamp, count(*) AS rows FROM {r} GROUP BY dt" for r in roles.INCREMENT_ROLES]), _FROM_COPIES)
+def snapshot_copies(spark, sf):
+    """Which copy of each role the run reads, and how many rows it holds."""
+    catalogue = store_of(spark, sf)
+    return copies_read(catalogue.open(spark, _RUN_DATE), catalogue.resolve(spark, _RUN_DATE))
+
+
+@query("pipeline_features", f"SELECT {', '.join(ft.FINAL_COLUMNS)}, alloc_time, last_visit_time FROM features", _FROM_COPIES)
+def pipeline_features(spark, sf):
+    """The build as a restartable run of stages; stages that a broken run has finished are not built again."""
+    catalogue = store_of(spark, sf)
+    folder = f"{shared_dir(spark)}/run-{_RUN_DATE}-{os.path.basename(sf.rstrip('/'))}"
+    done = run_stages(spark, folder, ft.feature_stages(SPAN, TIERS), catalogue.open(spark, _RUN_DATE), {"run_date": _RUN_DATE})
+    return done["features"]
+
+
+# ---------------------------------------------------------------- histories with validity intervals
+_VERSION = ["last_visit_time", "visit_cnt", "visit_case_cnt"]
+# One version in seven is still open.
+_OPEN = {"versions": "SELECT *, CASE WHEN visit_cnt % 7 = 0 THEN NULL ELSE dw_end_date END AS open_end FROM visit_cf"}
+_VALID = ("SELECT * FROM versions h WHERE h.user_id = l.user_id AND h.dw_start_date <= l.alloc_date AND coalesce(h.open_end, DATE '9999-12-31') >= "
+          "l.alloc_date ORDER BY dw_start_date DESC, last_visit_time DESC, visit_cnt DESC, visit_case_cnt DESC LIMIT 1")
+_LAST = ("SELECT * FROM versions h WHERE h.user_id = l.user_id AND h.last_visit_time < l.alloc_time "
+         "ORDER BY last_visit_time DESC, visit_cnt DESC, visit_case_cnt DESC LIMIT 1")
+
+
+@query("visit_versions", f"""SELECT l.task_id, l.user_id, l.alloc_time, {', '.join(f'v.{c} AS valid_{c}' for c in _VERSION)},
+       {', '.join(f'e.{c} AS last_{c}' for c in _VERSION)} FROM leads0 l LEFT JOIN LATERAL ({_VALID}) v ON true LEFT JOIN LATERAL ({_LAST}) e ON true""", _OPEN)
+def visit_versions(spark, sf):
+    """Per lead the version of the visit history valid on the allocation day, and the last visit before the allocation."""
+    leads = lead_stage(spark, sf).select("task_id", "user_id", "alloc_time")
+    history = role(spark, sf, "visit_cf").withColumn("open_end", F.expr("CASE WHEN visit_cnt % 7 = 0 THEN NULL ELSE dw_end_date END"))
+    return valid_and_last(leads, history, "user_id", "alloc_time", "last_visit_time", "dw_start_date", "open_end", _VERSION)
+
+
+# ---------------------------------------------------------------- audit by perturbation
+_AUDIT_COLUMNS = [c for c in ft.FINAL_COLUMNS if c not in ("user_id", "task_id", "t14_policy_flag")]
+_FIRST = {"first_leads": """SELECT user_id, task_id, alloc_time AS cut FROM leads0 WHERE user_id IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY alloc_time, task_id) = 1"""}
+_CUT_ROLES = {r: f"SELECT r.* FROM {r} r LEFT JOIN first_leads c ON c.user_id = r.user_id WHERE c.cut IS NULL OR r.{ts} IS NULL OR r.{ts} < "
+              + ("CAST(c.cut AS DATE)" if r == "wx_detail" else "c.cut") for r, ts in ft.EVENT_TIMES.items()}
+
+
+def _changed_sql(build: str, table: str) -> str:
+    cells = ", ".join(f"{{'feature': '{c}', 'changed': count(*) FILTER (WHERE a.{c} IS DISTINCT FROM b.{c})}}" for c in _AUDIT_COLUMNS)
+    return (f"SELECT '{build}' AS build, c.feature AS feature, rows, c.changed AS changed FROM (SELECT rows, unnest(cells) AS c FROM ("
+            f"SELECT count(*) AS rows, [{cells}] AS cells FROM {table} a JOIN {table}_cut b USING (user_id, task_id) JOIN first_leads USING (user_id, task_id)))")
+
+
+@query("leakage_perturbation", f"{_changed_sql('lead', 'features')} UNION ALL {_changed_sql('user_level', 'features_reference')}",
+       {**_FIRST, **oc.variant("features", _CUT_ROLES, "_cut"), **oc.variant("features_reference", _CUT_ROLES, "_cut")})
+def leakage_perturbation(spark, sf):
+    """Per feature the first leads whose value changes when everything from their allocation on is taken away, for both builds."""
+    src = roles.load_roles(spark, sf)
+    leads = lead_stage(spark, sf).where(F.col("user_id").isNotNull())
+    first = materialise(tp.first_by(leads, "user_id", ["alloc_time", "task_id"], ["task_id", "alloc_time"]).withColumnRenamed("alloc_time", "cut"), "first-leads")
+    builds = {"lead": lambda s: ft.feature_table(s, SPAN, TIERS, lead_stage(spark, sf)), "user_level": lambda s: ft.feature_table_reference(s, SPAN, TIERS)}
+    found = [ft.leakage_by_perturbation(src, build, first, _AUDIT_COLUMNS).select(F.lit(name).alias("build"), "feature", "rows", "changed")
+             for name, build in builds.items()]
+    return found[0].unionByName(found[1])

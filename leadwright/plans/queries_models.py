@@ -12,12 +12,13 @@ from leadwright.operators import model as md
 from leadwright.operators import monitor as mn
 from leadwright.operators import scorecard as sc
 from leadwright.operators import woe as wo
+from leadwright.operators.monitor_state import MonitorState
 from leadwright.plans import features as ft
 from leadwright.plans import oracle as oc
 from leadwright.plans.registry import SPAN, TIERS, feature_stage, query
 from leadwright.plans.scoring import daily_scoring as run_daily
 from leadwright.plans.training import train_scorecard
-from leadwright.session import shared_dir
+from leadwright.session import materialise, shared_dir
 from leadwright.sources import roles, tables
 
 TARGET = fx.TARGET
@@ -140,13 +141,76 @@ def woe_monotonicity(spark, sf):
 AUTO_VARIABLES = ["id_age", "hz_eff_order_num", "sdb_app_start_flag", "visit_cnt_cf", "device_type", "channel_group"]
 
 
-@query("woe_auto_bins")
+def _auto_step(k: int) -> dict[str, str]:
+    """One greedy step: every further cut is tried, the best one joins the cuts if it gains enough."""
+    return {
+        f"tried{k}": f"""SELECT t.variable, t.cand, t.cuts, t.iv, sum(n) AS n, sum(pos) AS pos FROM (
+          SELECT s.variable, s.iv, f.cell AS cand, list_append(s.cuts, f.cell) AS cuts FROM state{k - 1} s JOIN fine f USING (variable)
+          WHERE f.cell > 0 AND NOT list_contains(s.cuts, f.cell)) t JOIN fine f USING (variable)
+          GROUP BY t.variable, t.cand, t.cuts, t.iv, len(list_filter(t.cuts, lambda c: c <= f.cell))""",
+        f"valued{k}": f"""SELECT variable, cand, cuts, iv, round(sum((p - q) * ln(p / q)), 9) AS gained FROM (
+          SELECT *, pa / sum(pa) OVER w AS p, na / sum(na) OVER w AS q, min(n) OVER w AS least, sum(n) OVER w AS everything FROM (
+            SELECT *, CASE WHEN pos = 0 THEN 0.9::DOUBLE ELSE pos::DOUBLE END AS pa, CASE WHEN n = pos THEN 0.9::DOUBLE ELSE (n - pos)::DOUBLE END AS na
+            FROM tried{k}) WINDOW w AS (PARTITION BY variable, cand)) WHERE least >= 0.05::DOUBLE * everything GROUP BY variable, cand, cuts, iv""",
+        f"state{k}": f"""SELECT s.variable, coalesce(v.cuts, s.cuts) AS cuts, coalesce(v.gained, s.iv) AS iv FROM state{k - 1} s LEFT JOIN (
+          SELECT * FROM valued{k} WHERE gained > iv AND NOT (iv > 0 AND gained / iv - 1 < 0.1::DOUBLE)
+          QUALIFY row_number() OVER (PARTITION BY variable ORDER BY gained DESC, cand) = 1) v USING (variable)""",
+    }
+
+
+_AUTO_TEXT = ("device_type", "channel_group")
+AUTO = {
+    "auto_rows": " UNION ALL ".join(
+        f"SELECT '{v}' AS variable, {'NULL::DOUBLE' if v in _AUTO_TEXT else v + '::DOUBLE'} AS num, {v if v in _AUTO_TEXT else 'NULL'}::VARCHAR AS txt, "
+        f"{TARGET} AS y FROM features" for v in AUTO_VARIABLES),
+    "fine": """SELECT *, CASE WHEN txt IS NULL THEN dense_rank() OVER (PARTITION BY variable ORDER BY num)
+      ELSE row_number() OVER (PARTITION BY variable ORDER BY pos::DOUBLE / n::DOUBLE, txt) END - 1 AS cell FROM (
+        SELECT variable, num, txt, count(*) AS n, sum(y)::BIGINT AS pos FROM auto_rows WHERE num IS NOT NULL OR txt IS NOT NULL GROUP BY ALL)""",
+    "state0": "SELECT DISTINCT variable, [0::BIGINT] AS cuts, 0.0::DOUBLE AS iv FROM fine",
+    **{name: sql for k in range(1, 8) for name, sql in _auto_step(k).items()},
+    "auto_cells": "SELECT f.*, len(list_filter(cuts, lambda c: c <= cell)) AS bin_id FROM fine f JOIN state7 USING (variable)",
+    "auto_counts": """SELECT variable, bin_id::INTEGER AS bin_id, CASE WHEN max(txt) IS NOT NULL THEN string_agg(txt, '|' ORDER BY txt)
+        ELSE '[' || CASE WHEN bin_id = 1 THEN '-inf' ELSE printf('%g', min(num)) END || ',' || coalesce(printf('%g', (SELECT min(num) FROM auto_cells b
+          WHERE b.variable = a.variable AND b.bin_id = a.bin_id + 1)), 'inf') || ')' END AS bin, sum(n)::BIGINT AS n, sum(pos)::BIGINT AS pos,
+      (sum(n) - sum(pos))::BIGINT AS neg FROM auto_cells a GROUP BY variable, bin_id
+      UNION ALL SELECT variable, 0, 'missing', count(*), sum(y)::BIGINT, (count(*) - sum(y))::BIGINT FROM auto_rows WHERE num IS NULL AND txt IS NULL GROUP BY variable""",
+}
+
+
+@query("woe_auto_bins", f"SELECT variable, bin_id, bin, n, pos, round(woe, 6) AS woe FROM ({woe_sql('SELECT * FROM auto_counts')})", AUTO)
 def woe_auto_bins(spark, sf):
-    """Automatic bins; checked by invariants in the tests."""
+    """Automatic bins: greedy splits of the fine cells by gain in information value."""
     bins = wo.auto_bins(feature_stage(spark, sf), TARGET, AUTO_VARIABLES)
     return bins.select("variable", "bin_id", "bin", "n", "pos", F.round("woe", 6).alias("woe"))
 
 
+# Least squares under an order, by its min-max formula: the greatest of the least means over all runs of bins around each bin.
+MONOTONE = {
+    "numeric_bins": f"SELECT * FROM ({bins_sql(NUMERIC)})",
+    "runs": """SELECT a.variable, a.bin_id AS a, b.bin_id AS b, sum(m.pos)::DOUBLE / sum(m.n)::DOUBLE AS mean FROM numeric_bins a JOIN numeric_bins b
+      ON a.variable = b.variable AND a.bin_id <= b.bin_id AND a.bin <> 'missing' AND b.bin <> 'missing'
+      JOIN numeric_bins m ON m.variable = a.variable AND m.bin_id BETWEEN a.bin_id AND b.bin_id AND m.bin <> 'missing' GROUP BY ALL""",
+    "fits": """SELECT variable, bin_id, max(up) AS up, min(down) AS down FROM (
+        SELECT n.variable, n.bin_id, a, min(mean) AS up, max(mean) AS down FROM numeric_bins n JOIN runs r
+        ON r.variable = n.variable AND n.bin_id BETWEEN a AND b GROUP BY ALL) GROUP BY ALL""",
+    "ways": """SELECT variable, round(sum(n * (pos::DOUBLE / n::DOUBLE - up) ** 2), 9) <= round(sum(n * (pos::DOUBLE / n::DOUBLE - down) ** 2), 9) AS rising
+      FROM fits JOIN numeric_bins USING (variable, bin_id) GROUP BY variable""",
+    "pooled": """SELECT variable, bin_id, fit, dense_rank() OVER (PARTITION BY variable ORDER BY CASE WHEN rising THEN fit ELSE -fit END)::INTEGER AS pool
+      FROM (SELECT *, CASE WHEN rising THEN up ELSE down END AS fit FROM fits JOIN ways USING (variable))""",
+    "pooled_counts": """SELECT variable, pool AS bin_id, '[' || split_part(arg_min(bin, bin_id)[2:], ',', 1) || ',' || split_part(arg_max(bin, bin_id), ',', 2) AS bin,
+      sum(n)::BIGINT AS n, sum(pos)::BIGINT AS pos, sum(neg)::BIGINT AS neg FROM pooled JOIN numeric_bins USING (variable, bin_id) GROUP BY variable, pool
+      UNION ALL SELECT variable, bin_id, bin, n, pos, neg FROM numeric_bins WHERE bin = 'missing'""",
+}
+
+
+@query("woe_monotone_bins", f"SELECT variable, bin_id, bin, n, pos, round(woe, 6) AS woe, true AS monotone FROM ({woe_sql('SELECT * FROM pooled_counts')})", MONOTONE)
+def woe_monotone_bins(spark, sf):
+    """The manual bins pooled until every variable's WOE is monotone, and whether it is."""
+    bins = wo.monotone_bins(manual(spark, sf, NUMERIC))
+    return bins.join(wo.monotonicity(bins).select("variable", "monotone"), "variable").select(
+        "variable", "bin_id", "bin", "n", "pos", F.round("woe", 6).alias("woe"), "monotone")
+
+
 # ---------------------------------------------------------------- model
 _TRAINED: dict = {}
 
@@ -248,6 +312,19 @@ def decile_table_approx(spark, sf):
     return ev.decile_table_approx(scored_items(spark, sf), "score", "y")
 
 
+DAY_SHARES = [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]
+
+
+@query("decile_sketch_errors", f"""SELECT share, n, round({ev.SKETCH_ERROR!r}::DOUBLE, 9) AS bound, true AS within
+       FROM (SELECT unnest({DAY_SHARES}::DOUBLE[]) AS share), (SELECT count(*) AS n FROM scored_rows)""", SCORED_ITEMS)
+def decile_sketch_errors(spark, sf):
+    """One stored sketch per ship day, merged: whether the true rank of every decile edge keeps to the stated bound."""
+    days = roles.given(spark, sf, "lineitem").select("l_shipdate", F.col("l_extendedprice").alias("score"), F.lit(1).alias("y"))
+    kept = materialise(ev.score_sketches(days, "score", "y", ["l_shipdate"]), "sketches")
+    found = ev.edge_errors(days, "score", "y", kept, DAY_SHARES)
+    return found.select("share", "n", F.round("bound", 9).alias("bound"), "within")
+
+
 @query("top_deciles", "SELECT * EXCLUDE (i) FROM shares ORDER BY i DESC LIMIT 3", DECILES)
 def top_deciles(spark, sf):
     return ev.top_deciles(ev.decile_table(scored_items(spark, sf), "score", "y"))
@@ -441,6 +518,32 @@ def ranked_export(spark, sf):
     return spark.read.parquet(path).where(F.col("run_date") == F.lit(oc.AS_OF).cast("date"))
 
 
+# The delivery of the day before holds the leads allocated until then, with points a little lower for some.
+_BEFORE = {"ranked_before": """SELECT row_number() OVER (ORDER BY points DESC, last_visit_time DESC NULLS LAST, user_id NULLS LAST, task_id) AS lead_rank,
+  points AS total_score, user_id, task_id FROM (SELECT *, CAST(total_score - (total_visit_cnt_short_score > 0)::INTEGER AS INTEGER) AS points
+  FROM scored WHERE alloc_date <= DATE '2024-01-29' OR alloc_date > DATE '2024-01-30')"""}
+
+
+@query("delivery_changes", """SELECT coalesce(a.user_id, b.user_id) AS user_id, coalesce(a.task_id, b.task_id) AS task_id,
+       CASE WHEN b.task_id IS NULL THEN 'new' WHEN a.task_id IS NULL THEN 'dropped' ELSE 'moved' END AS change,
+       b.total_score AS before, a.total_score AS after, DATE '2024-01-31' AS run_date
+       FROM (SELECT * FROM ranked JOIN (SELECT task_id FROM features WHERE alloc_date <= DATE '2024-01-30') USING (task_id)) a
+       FULL JOIN ranked_before b ON a.task_id = b.task_id AND a.user_id IS NOT DISTINCT FROM b.user_id
+       WHERE a.total_score IS DISTINCT FROM b.total_score""", _BEFORE)
+def delivery_changes(spark, sf):
+    """New, moved and dropped leads of a delivery against the one before it; the second delivery is made twice."""
+    rows = scored(spark, sf)
+    path, changes = (f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}" for name in ("deliveries", "changes"))
+    lower = F.col("total_score") - (F.col("total_visit_cnt_short_score") > 0).cast("int")
+    first = rows.where((F.col("alloc_date") <= "2024-01-29") | (F.col("alloc_date") > "2024-01-30")).withColumn("total_score", lower)
+    second = rows.where(F.col("alloc_date") <= "2024-01-30")
+    for day, part in (("2024-01-30", first), ("2024-01-31", second), ("2024-01-31", second)):
+        found = sc.rank_leads(part.select(*RANK_COLUMNS[1:]), recency="last_visit_time", ids=["user_id", "task_id"])
+        tables.export_ranked(found.select(*RANK_COLUMNS), path, day)
+        tables.deliver_changes(path, changes, spark, day, ["user_id", "task_id"], "total_score")
+    return spark.read.parquet(changes).where(F.col("run_date") == F.lit("2024-01-31").cast("date"))
+
+
 @query("daily_scoring", "SELECT * FROM ranked")
 def daily_scoring(spark, sf):
     return run_daily(roles.load_roles(spark, sf), SPAN, TIERS).select(*RANK_COLUMNS)
@@ -466,6 +569,28 @@ def weekly_performance(spark, sf):
     return weekly(spark, sf).select("week", "n", "positives", "auc", "ks")
 
 
+SCORE_BREAKS = [280, 310, 340, 370, 400]
+
+
+def monitor_state(spark, sf, bins, training=None):
+    """A monitoring state after three daily updates, the second of them made twice."""
+    state = MonitorState(f"{shared_dir(spark)}/monitor-{uuid.uuid4().hex}", bins)
+    rows = scored(spark, sf)
+    if training is not None:
+        state.freeze(rows.where(training))
+    day = F.col("alloc_date")
+    for part in (day <= "2024-01-10", day.between("2024-01-11", "2024-01-20"), day.between("2024-01-11", "2024-01-20"), day > "2024-01-20"):
+        state.update(rows.where(part), "alloc_date", "total_score", TARGET)
+    return state
+
+
+@query("weekly_performance_state", "SELECT week, n, positives, auc, ks FROM week_auc JOIN week_ks USING (week)", WEEKLY)
+def weekly_performance_state(spark, sf):
+    """Weekly AUC and KS read from the kept histograms."""
+    found = monitor_state(spark, sf, wo.bins_from_breaks({"total_score": SCORE_BREAKS})).weekly_performance(spark)
+    return found.select("week", "n", "positives", F.round("auc", 9).alias("auc"), F.round("ks", 9).alias("ks"))
+
+
 @query("retrain_trigger", """SELECT week, auc, ks, below, below AND coalesce(lag(below) OVER (ORDER BY week)
        AND lag(week) OVER (ORDER BY week) = week - 7, false) AS trigger FROM (
        SELECT week, auc, ks, coalesce(ks < 0.30 OR auc < 0.65, false) AS below FROM week_auc JOIN week_ks USING (week))""", WEEKLY)
@@ -484,9 +609,6 @@ def psi_sql(parts: dict[str, tuple[str, str]]) -> str:
             "USING (variable, cell)) GROUP BY variable")
 
 
-SCORE_BREAKS = [280, 310, 340, 370, 400]
-
-
 @query("psi_score", psi_sql({"total_score": (f"len(list_filter({SCORE_BREAKS}, lambda b: b <= total_score))", "scored")}))
 def psi_score(spark, sf):
     rows = scored(spark, sf)
@@ -508,6 +630,17 @@ def psi_features(spark, sf):
     return out.withColumn("psi", F.round("psi", 6))
 
 
+@query("psi_state", psi_sql({
+    "total_score": (f"CAST(len(list_filter({SCORE_BREAKS}, lambda b: b <= total_score)) AS VARCHAR)", "scored"),
+    **{v: (f"coalesce({v}, 'missing')", "scored") for v in TOP3[:2]},
+    "id_age": ("CASE WHEN id_age IS NULL THEN 'missing' ELSE CAST(len(list_filter([18, 24, 31, 41, 50], lambda b: b <= id_age)) AS VARCHAR) END", "scored")}))
+def psi_state(spark, sf):
+    """PSI of score and features, read from the kept histograms against the frozen first half of the month."""
+    bins = wo.bins_from_breaks({"total_score": SCORE_BREAKS, **{v: fx.BREAKS[v] for v in TOP3}})
+    state = monitor_state(spark, sf, bins, F.col("alloc_date") < F.lit("2024-01-16").cast("date"))
+    return state.stability(spark, F.col("dt") >= F.lit("2024-01-16").cast("date")).withColumn("psi", F.round("psi", 6))
+
+
 KNOWN = {"channel_group": ["sdbao", "sdhz", "cf", "feed", "others"], "device_type": ["AUTOMOBILE", "BUILDING", "FURNITURE"],
          "wx_city_class": fx.CITY_CLASSES}
 

@@ -21,6 +21,7 @@ class Trained:
     rules: DataFrame
     train_woe: DataFrame
     test_woe: DataFrame
+    members: DataFrame | None = None
 
 
 NOT_FEATURES = [*fx.ID_COLUMNS, *fx.NOT_BINNED, "alloc_time", "last_visit_time"]
@@ -49,13 +50,15 @@ def train_scorecard(
     variables = [c for c in rows.columns if c not in skip and c != target and c not in ids]
     split = materialise(split.select(*ids, target, *variables, "part"), "split")
     train, test = (split.where(F.col("part") == part).drop("part") for part in ("train", "test"))
-    bins = materialise(wo.fit_bins(train, target, breaks, skip=list(ids)), "bins")
+    texts = [c for c, kind in train.dtypes if kind in ("string", "boolean") and c in variables and c not in breaks]
+    members = wo.categories_by_rate(train, target, texts) if texts else None
+    bins = materialise(wo.fit_bins(train, target, breaks, skip=list(ids), members=members), "bins")
     if min_iv > 0:
         bins = bins.join(wo.information_value(bins, min_iv).select("variable"), "variable", "left_semi")
-    train_woe = materialise(wo.apply_woe(train, bins, [*ids, target]), "train_woe")
-    test_woe = wo.apply_woe(test, bins, [*ids, target])
+    train_woe = materialise(wo.apply_woe(train, bins, [*ids, target], members), "train_woe")
+    test_woe = wo.apply_woe(test, bins, [*ids, target], members)
     names = [c for c in train_woe.columns if c.endswith("_woe")]
     _, first = md.fit_l1(train_woe, names, target, C)
     chosen = [f"{v}_woe" for v in features] if features else md.select_nonzero(first)
     _, final = md.fit_l1(train_woe, chosen, target, C) if chosen else (None, first)
-    return Trained(bins, first, final, sc.scorecard(bins, final), train_woe, test_woe)
+    return Trained(bins, first, final, sc.scorecard(bins, final), train_woe, test_woe, members)

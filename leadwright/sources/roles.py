@@ -13,6 +13,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from leadwright.sources.snapshots import write_copy
+from leadwright.sources.tables import write_dated
+
 
 @dataclass(frozen=True)
 class Dialect:
@@ -210,3 +213,42 @@ def snapshots(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def duck_snapshots(name: str) -> str:
     return _GIVEN.sub(r"\1", stamped_sql(name, DUCK))
+
+
+# ---------------------------------------------------------------- a store of stamped tables
+# What lies in the store: full copies of several days (one of them late), daily increments, and histories without stamps.
+COPY_DAYS = ["2024-01-28", "2024-01-29", "2024-01-30", "2024-01-31"]
+LATE_DAYS = {"clue": COPY_DAYS[:2]}
+INCREMENT_ROLES = ["wx_detail", "user_action"]
+UNSTAMPED_ROLES = ["visit_cf", "visit_hz", "visit_bao"]
+#: Users of the two tables without a day of their own join on this day.
+_JOINED = "date_add(date '2023-12-25', cast(user_id % 40 as int))"
+_DUCK_JOINED = "(date '2023-12-25' + cast(user_id % 40 as int))"
+_DAYLESS = ("user_ua", "user_tag")
+
+
+def copied_roles() -> list[str]:
+    return [r for r in ROLES if r not in INCREMENT_ROLES and r not in UNSTAMPED_ROLES]
+
+
+def write_store(spark: SparkSession, sf_dir: str, folder: str) -> dict[str, str]:
+    """Write every role as a table of the store; the path of each."""
+    paths = {}
+    for name, rows in load_roles(spark, sf_dir).items():
+        path = paths[name] = f"{folder}/{name}"
+        if name in UNSTAMPED_ROLES:
+            rows.write.mode("overwrite").parquet(path)
+        elif name in INCREMENT_ROLES:
+            write_dated(rows, path)
+        else:
+            for stamp in LATE_DAYS.get(name, COPY_DAYS):
+                known = F.expr(_JOINED) if name in _DAYLESS else F.col("dt")
+                write_copy(rows.where(known <= F.lit(stamp).cast("date")), path, stamp)
+    return paths
+
+
+def duck_copy(name: str, stamp: str) -> str:
+    """What the copy of one day holds, as DuckDB SQL."""
+    if name in _DAYLESS:
+        return f"SELECT *, DATE '{stamp}' AS dt FROM ({duck_role(name)}) c WHERE {_DUCK_JOINED} <= DATE '{stamp}'"
+    return f"SELECT * REPLACE (DATE '{stamp}' AS dt) FROM ({duck_role(name)}) c WHERE dt <= DATE '{stamp}'"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 
@@ -67,3 +69,33 @@ def export_ranked(ranked: DataFrame, path: str, run_date: str) -> str:
     (dated.write.mode("overwrite").partitionBy("run_date")
      .option("partitionOverwriteMode", "dynamic").parquet(path))
     return path
+
+
+def delivery_changes(before: DataFrame, after: DataFrame, keys: list[str], value: str, by: float = 0) -> DataFrame:
+    """What changed between two deliveries, by lead key: ``new``, ``dropped`` or ``moved`` leads with ``value`` before and after.
+
+    A lead has moved when its value differs by more than ``by``; leads that stay as they were are left out. Keys are compared with
+    NULL as a value like any other; a key must be unique in each delivery.
+    """
+    old = before.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col(value).alias("before"), F.lit(1).alias("_old"))
+    new = after.select(*keys, F.col(value).alias("after"), F.lit(1).alias("_new"))
+    same = reduce(lambda a, b: a & b, [new[k].eqNullSafe(old[f"_{k}"]) for k in keys])
+    change = F.when(F.col("_old").isNull(), "new").when(F.col("_new").isNull(), "dropped").when(
+        F.abs(F.col("after") - F.col("before")) > by, "moved")
+    return new.join(old, same, "full_outer").select(
+        *[F.when(F.col("_new").isNull(), F.col(f"_{k}")).otherwise(F.col(k)).alias(k) for k in keys], change.alias("change"), "before", "after",
+    ).where(F.col("change").isNotNull())
+
+
+def deliver_changes(path: str, changes_path: str, spark: SparkSession, run_date: str, keys: list[str], value: str) -> str | None:
+    """Write the changes of a run against the delivery before it, and return that run's date (None: there is none, all leads are new).
+
+    The changes carry the run date as their key and replace only their own, so a repeated delivery is harmless.
+    """
+    deliveries = spark.read.parquet(path)
+    earlier = deliveries.where(F.col("run_date") < day(run_date)).agg(F.max("run_date")).first()[0]
+    own = deliveries.where(F.col("run_date") == day(run_date)).drop("run_date")
+    last = deliveries.where(F.col("run_date") == F.lit(earlier)).drop("run_date") if earlier else own.limit(0)
+    changes = delivery_changes(last, own, keys, value).withColumn("run_date", day(run_date))
+    changes.write.mode("overwrite").partitionBy("run_date").option("partitionOverwriteMode", "dynamic").parquet(changes_path)
+    return str(earlier) if earlier else None

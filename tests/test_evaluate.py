@@ -84,3 +84,29 @@ def test_groups_are_independent(spark):
 def test_one_class_gives_no_figures(spark):
     row = ev.auc_ks(spark.createDataFrame([(0.1, 0), (0.2, 0)], "score double, y int"), "score", "y").first()
     assert row.auc is None and row.ks is None
+
+
+def test_merged_sketches_keep_to_their_bound(spark):
+    """One sketch a day, merged for any window; the error of every edge is measured against the rows."""
+    rnd = np.random.default_rng(4)
+    pdf = pd.DataFrame({"day": rnd.integers(0, 20, 60_000), "score": rnd.choice([0.5, *rnd.random(5_000)], 60_000), "y": 1})
+    df = spark.createDataFrame(pdf).repartition(7)
+    shares = [i / 10 for i in range(1, 10)]
+    kept = ev.score_sketches(df, "score", "y", ["day"]).cache()
+    assert kept.count() == 20
+    for window in (F.lit(True), F.col("day") < 7):
+        rows = ev.edge_errors(df.where(window), "score", "y", kept.where(window), shares).collect()
+        scores = pdf.score[pdf.day < 7] if len(rows) and rows[0]["n"] < 60_000 else pdf.score
+        assert len(rows) == 9 and all(r["within"] and r["n"] == len(scores) for r in rows)
+        for r in rows:
+            assert r["low"] == pytest.approx((scores < r["edge"]).mean()) and r["high"] == pytest.approx((scores <= r["edge"]).mean())
+            assert r["error"] == pytest.approx(max(0, r["low"] - r["share"], r["share"] - r["high"]))
+
+
+def test_sketches_leave_out_nulls_and_stay_lazy(spark):
+    df = spark.createDataFrame([(0.1, 0), (None, 1), (0.3, None), (0.2, 1)], "score double, y int")
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    edges = ev.sketch_edges(ev.score_sketches(df, "score", "y"), [0.0, 1.0])
+    assert set(tracker.getJobIdsForGroup(None)) == before
+    assert (edges.first()["n"], edges.first()["edges"]) == (2, [0.1, 0.2])

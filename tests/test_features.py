@@ -71,3 +71,20 @@ def test_user_level_results_equal_the_written_out_joins(spark, small):
     table = ft.feature_table_reference(src, rg.SPAN, rg.TIERS).where(F.col("user_id").isNotNull())
     got = {r.user_id: (r.visit_payment_cnt, r.visit_event_cnt, r.visit_cnt_hz, r.datediff_first_visit_hz) for r in table.collect()}
     assert want and all(got[u] == v for u, v in want.items())
+
+
+def test_perturbation_finds_leaks_that_no_time_shows(spark, small):
+    """The lead build does not move; a build that counts a user's visits at any time is named."""
+    src = roles.load_roles(spark, small)
+    leads = ft.lead_base(src, rg.SPAN)
+    first = leads.where("user_id IS NOT NULL").groupBy("user_id").agg(F.min(F.struct("alloc_time", "task_id")).alias("x")).select(
+        "user_id", "x.task_id", F.col("x.alloc_time").alias("cut"))
+
+    def leaky(s):
+        visits = s["visit_cf"].groupBy("user_id").agg(F.count(F.lit(1)).alias("visits"))
+        views = s["user_action"].join(leads.select("user_id", "alloc_time"), "user_id").where("operation_time < alloc_time").groupBy("user_id").agg(
+            F.count(F.lit(1)).alias("views"))
+        return leads.select("user_id", "task_id", "agent_type").join(visits, "user_id", "left").join(views, "user_id", "left")
+
+    found = {r["feature"]: (r["rows"], r["changed"]) for r in ft.leakage_by_perturbation(src, leaky, first, ["agent_type", "visits", "views"]).collect()}
+    assert found["agent_type"] == (first.count(), 0) and found["visits"][1] > 0 and found["views"][1] > 0

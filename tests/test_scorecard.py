@@ -114,3 +114,35 @@ def test_reasons_are_the_largest_parts(spark):
     reasons = sc.score_reasons(scored, list(fx.DEPLOYED_POINTS), ["id"], 2)
     assert [(r.reason, r.variable, r.points) for r in reasons.orderBy("reason").collect()] == [(1, "channel_group", 156), (2, "id_age", -97)]
     assert "Exchange" not in plan_text(sc.score_reasons(scored, list(fx.DEPLOYED_POINTS), ["id"], 2))
+
+
+def test_lookup_join_with_thousands_of_rules(spark):
+    """5,000 rules a variable: the same points as trying the rules one by one, by joins for equality alone."""
+    import bisect
+    import random
+
+    rng = random.Random(1)
+    limits = sorted(rng.sample(range(100_000), 4_999))
+    points = {"x": {(a, b): rng.randrange(-50, 50) for a, b in zip([None, *limits], [*limits, None])}, "g": {f"c{i}": i % 17 for i in range(5_000)}}
+    points["x"]["missing"], points["g"]["missing"] = 7, 9
+    rules = sc.rules_frame(spark, sc.rules_from_points(points))
+    values = [(i, rng.choice([None, float("nan"), *rng.sample(range(100_000), 5), rng.choice(limits)]), rng.choice([None, "other", f"c{rng.randrange(5_000)}"]))
+              for i in range(2_000)]
+    df = spark.createDataFrame([(i, None if x is None else float(x), g) for i, x, g in values], "id long, x double, g string")
+    out = sc.score_by_join(df, rules, ["id"], 100)
+    of_x = list(points["x"].values())
+    def want(x, g):
+        cell = -1 if x is None else 4_999 if x != x else bisect.bisect_right(limits, x)
+        return 100 + (7 if x is None else of_x[cell]) + (9 if g is None else points["g"].get(g, 0))
+    assert {r["id"]: r["total_score"] for r in out.collect()} == {i: want(x, g) for i, x, g in values}
+    plan = plan_text(out)
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    joins = [line for line in plan.split("\n") if "Join [variable" in line]
+    assert joins and all("array_contains" not in line and ">=" not in line for line in joins)
+
+
+def test_lookup_join_takes_the_first_of_two_rules_and_leaves_gaps(spark):
+    rules = sc.rules_frame(spark, sc.rules_from_points({"x": {(0, 10): 5, (5, 20): 3, (30, None): 2}, "g": {"a": 1}}))
+    df = spark.createDataFrame([(i, float(x), "a" if i % 2 else "b") for i, x in enumerate([-1, 0, 5, 10, 19, 20, 25, 30, 1e9])], "id long, x double, g string")
+    got = {r["id"]: r["total_score"] for r in sc.score_by_join(df, rules, ["id"], 0).collect()}
+    assert got == {r["id"]: r["total_score"] for r in sc.score(df, rules, 0).collect()}

@@ -73,3 +73,25 @@ def test_stage_tables_are_cleared_by_name(spark):
     assert kept.count() == 3
     with pytest.raises(Exception, match="FILE_NOT_EXIST|FAILED_READ_FILE|not exist"):
         gone.collect()
+
+
+def test_changes_between_deliveries(spark, tmp_path):
+    schema = "user long, task long, score int"
+    old = spark.createDataFrame([(1, 1, 10), (1, 2, 20), (None, 3, 30), (4, 4, 40), (5, 5, 50)], schema)
+    new = spark.createDataFrame([(1, 1, 10), (1, 2, 25), (None, 3, 31), (5, 5, 51), (6, 6, 60)], schema)
+    found = lambda by: {(r["user"], r["task"], r["change"], r["before"], r["after"]) for r in tables.delivery_changes(
+        old, new, ["user", "task"], "score", by).collect()}
+    both = {(4, 4, "dropped", 40, None), (6, 6, "new", None, 60), (1, 2, "moved", 20, 25)}
+    assert found(0) == both | {(None, 3, "moved", 30, 31), (5, 5, "moved", 50, 51)}
+    assert found(1) == both
+
+
+def test_repeated_delivery_changes_nothing(spark, tmp_path):
+    path, changes = str(tmp_path / "ranked"), str(tmp_path / "changes")
+    for day, n in (("2024-01-01", 3), ("2024-01-02", 5), ("2024-01-02", 5), ("2024-01-01", 3)):
+        tables.export_ranked(spark.range(n).withColumn("score", F.col("id") * n), path, day)
+        before = tables.deliver_changes(path, changes, spark, day, ["id"], "score")
+        assert before == (None if day == "2024-01-01" else "2024-01-01")
+    got = {(str(r["run_date"]), r["id"], r["change"]) for r in spark.read.parquet(changes).collect()}
+    first = {("2024-01-01", i, "new") for i in range(3)}
+    assert got == first | {("2024-01-02", 1, "moved"), ("2024-01-02", 2, "moved"), ("2024-01-02", 3, "new"), ("2024-01-02", 4, "new")}

@@ -115,10 +115,48 @@ def test_only_events_of_asked_keys_and_times_are_read(spark, tmp_path):
         (F.col("id") % 1000).alias("k"), F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, int(id % 500))").alias("ts"), F.col("id").alias("v"))
     events.write.parquet(str(tmp_path / "events"))
     probes = spark.createDataFrame([(7, T0 + dt.timedelta(hours=100))], SCHEMA_P)
-    got = tp.point_in_time(probes, "k", "at", [tp.Source(spark.read.parquet(str(tmp_path / "events")), "ts", {"n": ("sum", F.lit(1))})])
+    got = tp.point_in_time(probes, "k", "at", [tp.Source(spark.read.parquet(str(tmp_path / "events")), "ts", {"n": ("sum", F.lit(1))})],
+                           until="2024-01-05 04:00:00")
     plan = plan_text(got)
     assert "LeftSemi" in plan and "LessThan(ts,2024-01-05T04:00" in plan
-    assert [r.n for r in got.collect()] == [sum(1 for i in range(7, 10_000, 1000) if i % 500 < 100)]
+    want = [sum(1 for i in range(7, 10_000, 1000) if i % 500 < 100)]
+    assert [r.n for r in got.collect()] == want
+    # Without a bound the last moment is looked up when the result is asked for, and not before.
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    open_end = tp.point_in_time(probes, "k", "at", [
+        tp.Source(spark.read.schema("k bigint, ts timestamp_ntz, v bigint").parquet(str(tmp_path / "events")), "ts", {"n": ("sum", F.lit(1))})])
+    assert set(tracker.getJobIdsForGroup(None)) == before
+    assert [r.n for r in open_end.collect()] == want and "Subquery" in plan_text(open_end)
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+@pytest.mark.parametrize("hot_rows", [0, 2, 10])
+def test_hot_days_are_cut(spark, seed, hot_rows):
+    """Days with more instants than the limit are cut into minutes; the results stay."""
+    probes, events = data(seed)
+    spread = [(k, at + dt.timedelta(seconds=37 * i), v) for i, (k, at, v) in enumerate(events)]
+    p, e = spark.createDataFrame(probes, SCHEMA_P), spark.createDataFrame(spread, SCHEMA_E)
+    found = tp.point_in_time(p, "k", "at", [tp.Source(e, "ts", {"last": ("last", F.struct("v")), "total": ("sum", F.col("v")), "n": ("sum", F.lit(1)),
+                                                                "last_ts": ("max", F.col("ts"))})], hot_rows=hot_rows).collect()
+    want = brute(probes, spread, True)
+    got = {(r["k"], r["at"]): (r["total"], r["last_ts"], r["last"]["v"] if r["last"] else None) for r in found}
+    assert got == {key: (total, last_ts, last) for key, (last, total, _, last_ts, _) in want.items()}
+
+
+def test_one_user_and_one_day_of_many_instants_is_spread(spark):
+    """A bot with all events on one day: its rows stand in many window partitions, and the plan shuffles the events once."""
+    events = spark.range(200_000).select(F.lit(1).cast("bigint").alias("k"), F.expr(
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id * 0.4)").alias("ts"), F.col("id").alias("v"))
+    probes = spark.createDataFrame([(1, T0 + dt.timedelta(hours=h)) for h in range(1, 24)], SCHEMA_P)
+    got = tp.point_in_time(probes, "k", "at", [tp.Source(events, "ts", {"n": ("sum", F.lit(1))})], until="2024-01-02 00:00:00", hot_rows=10_000)
+    assert {r["at"].hour: r["n"] for r in got.collect()} == {h: min(h * 9000, 200_000) for h in range(1, 24)}
+    plan = plan_text(got)
+    assert "_slice" in plan and "ReusedExchange" in plan
+    rows = events.withColumn("_ts", F.col("ts")).withColumn("_k", F.col("k"))
+    sliced = tp._sliced(rows, rows.groupBy("_k", "_ts").agg(F.sum("v").alias("v")), ["v"], 10_000)
+    sizes = sliced.groupBy("_k", "_day", "_slice").count().agg(F.max("count"), F.count(F.lit(1))).first()
+    assert sizes[0] <= 150 and sizes[1] == 1334
 
 
 def test_times_of_another_type_are_cast(spark):

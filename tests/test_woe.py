@@ -130,3 +130,72 @@ def test_split_search_runs_without_the_package(tmp_path):
             "print(f(np.array([50., 50.]), np.array([5., 40.]), 4, 0.05, 0.1))")
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True)
     assert out.stdout.strip() == "[1]"
+
+
+def test_wide_variable_is_binned_by_cells(spark, monkeypatch):
+    """More categories than a bin may name: bins are runs of cells, and applying them joins the table of categories."""
+    monkeypatch.setattr(wo, "MAX_LISTED", 100)
+    df = spark.range(20_000).select(
+        F.when(F.col("id") % 97 > 0, F.concat(F.lit("c"), F.col("id") % 5000)).alias("c"),
+        F.when((F.col("id") % 5000 < 2500) & (F.col("id") % 3 > 0), 1).otherwise(0).alias("y"))
+    members = wo.categories_by_rate(df, "y", ["c"])
+    assert members.count() == 5000 and members.select("cell").distinct().count() == 50
+    bins = wo.auto_bins(df, "y", ["c"], members=members)
+    rows = sorted(bins.collect(), key=lambda b: b.bin_id)
+    assert wo.in_cells(bins) == ["c"] and all(b.categories is None for b in rows) and sum(b.n for b in rows) == 20_000
+    coded = wo.with_cells(df, members, ["c"])
+    for b in rows[1:]:
+        part = coded.where((F.col("c") >= b.lo) & (F.col("c") < b.hi)).agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("pos")).first()
+        assert (part.n, part.pos) == (b.n, b.pos)
+    with pytest.raises(ValueError, match="cells"):
+        wo.apply_woe(df, bins, ["y"])
+    other = df.unionByName(spark.createDataFrame([("never seen", 0)], "c string, y int"))
+    woe = {round(r.woe, 9): r.n for r in rows}
+    got = {round(r["c_woe"], 9): r["count"] for r in wo.apply_woe(other, bins, ["y"], members).groupBy("c_woe").count().collect()}
+    assert got == woe | {0.0: 1 + woe.get(0.0, 0)}
+
+
+def test_many_names_never_meet_in_one_row(spark, monkeypatch):
+    monkeypatch.setattr(wo, "MAX_LISTED", 100)
+    df = spark.range(50_000).select(F.col("id").cast("string").alias("c"), (F.col("id") % 2).cast("int").alias("y"))
+    bins = wo.auto_bins(df, "y", ["c"])
+    assert max(len(str(r)) for r in bins.collect()) < 500  # no list of names, whatever the number of categories
+    assert sum(r.n for r in bins.collect()) == 50_000
+
+
+def isotonic(n, pos, sign):
+    """Least squares under the order, by trying every way to cut the bins into runs."""
+    best = None
+    for cuts in range(2 ** (len(n) - 1)):
+        runs, first = [], 0
+        for i in range(len(n)):
+            if i == len(n) - 1 or cuts >> i & 1:
+                runs.append((first, i, sum(pos[first:i + 1]) / sum(n[first:i + 1])))
+                first = i + 1
+        if all(sign * (b[2] - a[2]) > 0 for a, b in zip(runs, runs[1:])):
+            error = sum(n[i] * (pos[i] / n[i] - mean) ** 2 for a, b, mean in runs for i in range(a, b + 1))
+            if best is None or error < best[0] - 1e-12:
+                best = (error, runs)
+    return best
+
+
+def test_monotone_bins_are_the_least_squares_fit(spark):
+    rng = np.random.default_rng(6)
+    rows, want = [], {}
+    for v in range(30):
+        k = int(rng.integers(1, 8))
+        n = rng.integers(1, 9, k).tolist()
+        pos = [int(rng.integers(0, x + 1)) for x in n]
+        rows += [(f"v{v}", i + 1, f"[{i},{i + 1})", "interval", float(i), float(i + 1), None, n[i], pos[i]) for i in range(k)]
+        rows.append((f"v{v}", 0, "missing", "missing", None, None, None, 3, 1))
+        up, down = isotonic(n, pos, 1), isotonic(n, pos, -1)
+        want[f"v{v}"] = [(a, b + 1) for a, b, _ in (up if round(up[0], 9) <= round(down[0], 9) else down)[1]]
+    bins = wo.woe_table(spark.createDataFrame(rows, wo.BIN_FIELDS + ", n long, pos long").withColumn("neg", F.col("n") - F.col("pos")))
+    found = wo.monotone_bins(bins)
+    got = {}
+    for r in sorted(found.collect(), key=lambda r: r.bin_id):
+        if r.kind == "interval":
+            got.setdefault(r.variable, []).append((int(r.lo), int(r.hi)))
+    assert got == want
+    assert found.agg(F.sum("n")).first()[0] == bins.agg(F.sum("n")).first()[0]
+    assert wo.monotonicity(found).where("NOT monotone").count() == 0
