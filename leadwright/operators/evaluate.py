@@ -11,6 +11,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from leadwright.operators.ordered import running_sums
+from leadwright.session import materialise
 
 
 def score_counts(df: DataFrame, score: str, target: str, by: list[str] = ()) -> DataFrame:
@@ -165,7 +166,8 @@ def edge_errors(df: DataFrame, score: str, target: str, sketches: DataFrame, sha
     """Per share the sketched edge, the share of rows that truly lie at or below it (at least and at most, for ties), its
     distance from the asked share, and the stated bound."""
     known = df.where(F.col(score).isNotNull() & F.col(target).isNotNull()).select(F.col(score).cast("double").alias("_s"))
-    edges = sketch_edges(sketches, shares)
+    # Merging draws at random, so the edges are worked out once and kept.
+    edges = materialise(sketch_edges(sketches, shares), "edges")
     asked = edges.select("n", F.posexplode("edges").alias("_at", "edge")).select("n", "_at", "edge", F.array(*[F.lit(q) for q in shares])[F.col("_at")].alias("share"))
     # One row of edges: every value is compared with them in place, and only counts leave the tasks.
     placed = known.join(F.broadcast(edges.select("edges")))

@@ -149,10 +149,11 @@ def information_value(bins: DataFrame, threshold: float = 0.0) -> DataFrame:
     return ivs.where(F.col("iv") >= threshold)
 
 
-def monotonicity(bins: DataFrame) -> DataFrame:
-    """Per variable with intervals: how often the WOE turns between neighbouring intervals."""
+def monotonicity(bins: DataFrame, value: Column | None = None) -> DataFrame:
+    """Per variable with intervals: how often the WOE (or ``value``) turns between neighbouring intervals."""
+    value = F.col("woe") if value is None else value
     order = Window.partitionBy("variable").orderBy("bin_id")  # a few rows per variable
-    steps = bins.where(F.col("kind") == "interval").withColumn("step", F.signum(F.col("woe") - F.lag("woe").over(order)))
+    steps = bins.where(F.col("kind") == "interval").withColumn("step", F.signum(value - F.lag(value).over(order)))
     turns = steps.withColumn("turn", F.col("step") * F.lag("step").over(order) < 0)
     return turns.groupBy("variable").agg(
         F.count(F.lit(1)).alias("n_bins"), F.sum(F.when(F.col("turn"), 1).otherwise(0)).alias("turns")
@@ -345,9 +346,10 @@ def auto_bins(
 
 
 def monotone_bins(bins: DataFrame) -> DataFrame:
-    """The bins with neighbouring intervals pooled until the WOE of each variable only rises or only falls.
+    """The bins with neighbouring intervals pooled until the rate of positives of each variable only rises or only falls, and the
+    WOE with it, but for the count put in place of an empty cell where cells hold one or two rows.
 
-    Pool adjacent violators on the rate of positives, in whole numbers; intervals of equal rate are pooled too. Of the two
+    Pool adjacent violators, in whole numbers; intervals of equal rate are pooled too. Of the two
     directions the one with the smaller squared error (rows times distance of rate and fit) is taken, the rising one at a tie. Bins that are
     no intervals stay as they are.
     """

@@ -17,7 +17,7 @@ from leadwright.plans import features as ft
 from leadwright.plans import oracle as oc
 from leadwright.plans.registry import SPAN, TIERS, feature_stage, query
 from leadwright.plans.scoring import daily_scoring as run_daily
-from leadwright.plans.training import train_scorecard
+from leadwright.plans.training import NOT_FEATURES, train_scorecard
 from leadwright.session import materialise, shared_dir
 from leadwright.sources import roles, tables
 
@@ -207,11 +207,14 @@ MONOTONE = {
 def woe_monotone_bins(spark, sf):
     """The manual bins pooled until every variable's WOE is monotone, and whether it is."""
     bins = wo.monotone_bins(manual(spark, sf, NUMERIC))
-    return bins.join(wo.monotonicity(bins).select("variable", "monotone"), "variable").select(
+    checked = wo.monotonicity(bins, F.col("pos") / F.col("n")).select("variable", "monotone")
+    return bins.join(checked, "variable").select(
         "variable", "bin_id", "bin", "n", "pos", F.round("woe", 6).alias("woe"), "monotone")
 
 
 # ---------------------------------------------------------------- model
+TRAIN_SPLIT = f"""SELECT features.*, CASE WHEN row_number() OVER (PARTITION BY {TARGET} ORDER BY md5('{fx.SPLIT_SEED}|' || task_id), task_id)
+  <= round(0.7 * count(*) OVER (PARTITION BY {TARGET})) THEN 'train' ELSE 'test' END AS part FROM features"""
 _TRAINED: dict = {}
 
 
@@ -229,6 +232,18 @@ def l1_fit(spark, sf):
     return trained(spark, sf).first_coefs
 
 
+_FITTED = sorted(c for c in ft.FINAL_COLUMNS if c not in NOT_FEATURES and c != TARGET)
+
+
+@query("l1_optimality", f"""SELECT feature, n, positives, true AS optimal FROM (SELECT unnest({[md.INTERCEPT, *(f'{c}_woe' for c in _FITTED)]!r}) AS feature),
+       (SELECT count(*) AS n, sum({TARGET})::BIGINT AS positives FROM train_rows)""", {"split": TRAIN_SPLIT, "train_rows": "SELECT * FROM split WHERE part = 'train'"})
+def l1_optimality(spark, sf):
+    """Whether every coefficient of the first fit meets the condition of the optimum, from the gradients over the training rows."""
+    run = trained(spark, sf)
+    found = md.l1_optimality(run.train_woe, run.first_coefs, TARGET)
+    return found.select("feature", "n", "positives", "optimal")
+
+
 @query("l1_selected")
 def l1_selected(spark, sf):
     coefs = trained(spark, sf).first_coefs

@@ -198,4 +198,4 @@ def test_monotone_bins_are_the_least_squares_fit(spark):
             got.setdefault(r.variable, []).append((int(r.lo), int(r.hi)))
     assert got == want
     assert found.agg(F.sum("n")).first()[0] == bins.agg(F.sum("n")).first()[0]
-    assert wo.monotonicity(found).where("NOT monotone").count() == 0
+    assert wo.monotonicity(found, F.col("pos") / F.col("n")).where("NOT monotone").count() == 0
