@@ -3,8 +3,12 @@
 A line that many different texts of one host carry is boilerplate. Lines are normalised (lower case, white
 space folded) and hashed; for each host and line the different texts with it are counted, so that exact
 copies of one document count once. A line is over the limit when more than ``min_docs`` texts and more than
-``max_share`` of the host's texts carry it. Lines over the limit are removed; a document that keeps less than
-``min_left`` of its words is depleted and rejected. DataFrame functions only.
+``max_share`` of the host's texts carry it. Lines over the limit are removed from the texts; a document that keeps less
+than ``min_left`` of its words is depleted and rejected. DataFrame functions only.
+
+A text, not a row, is the document that is counted: a page that is stored a hundred times would otherwise make all of its own lines
+boilerplate, and be rejected with all of its copies. The limit is a share as well as a number for the same reason: on a large host
+a few hundred near copies of one text must not take each other's lines away.
 
 Defined cases: a null or empty text has no words and fails the base rules; a null host is a host of its own;
 rows with equal host and text share one verdict, so repeated rows and null ids need no key; an empty table
@@ -69,7 +73,7 @@ def _with_counts(keyed: DataFrame) -> DataFrame:
 
 def line_rows(keyed: DataFrame) -> DataFrame:
     """One row per host, different text and line with a word: its place, hash and number of words."""
-    lines = keyed.select("host", "text_hash", F.posexplode(_lines(F.col("text"))).alias("place", "line"))
+    lines = keyed.select("host", "text_hash", F.posexplode(F.split("text", "\n", -1)).alias("place", "line")).filter(F.col("line").rlike(_HAS_WORD))
     return lines.select(
         "host", "text_hash", "place", F.xxhash64(_normal(F.col("line"))).alias("line_hash"),
         F.size(tools.words(F.col("line"))).cast("long").alias("n"),
@@ -88,7 +92,7 @@ def frequent_lines(lines: DataFrame, min_docs: int = MIN_DOCS, max_share: float
 def _judged(keyed: DataFrame, min_docs: int, max_share: float, min_left: float) -> DataFrame:
     lines = tools.materialise(line_rows(keyed), "quality-lines")
     removed = lines.join(frequent_lines(lines, min_docs, max_share), ["host", "line_hash"]).groupBy(
-        "host", "text_hash").agg(F.sum("n").alias("removed_words"))
+        "host", "text_hash").agg(F.sum("n").alias("removed_words"), F.collect_list("place").alias("removed_lines"))
     found = _with_counts(keyed).join(removed, ["host", "text_hash"], "left").withColumn(
         "removed_words", F.coalesce("removed_words", F.lit(0)))
     depleted = F.col("n_words") - F.col("removed_words") < min_left * F.col("n_words")
@@ -104,12 +108,22 @@ def verdicts(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, ma
     on it: a filter moves down into the counts and repeats their array work.
     """
     keyed = _keyed(docs, host, docs.columns if carry is None else carry)
-    return _judged(keyed, min_docs, max_share, min_left).drop("text_hash")
+    return _judged(keyed, min_docs, max_share, min_left).drop("text_hash", "removed_lines")
 
 
 def kept_documents(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE,
                    min_left: float = MIN_LEFT) -> DataFrame:
-    """The documents that the rules keep, unchanged and with the columns of the input."""
-    judged = _judged(_keyed(docs, host, ["text"]), min_docs, max_share, min_left).select("host", "text_hash", "kept")
-    kept = tools.materialise(judged, "quality-verdicts").filter("kept").select("host", "text_hash").distinct()
-    return _keyed(docs, host, docs.columns).join(kept, ["host", "text_hash"], "left_semi").select("row.*")
+    """The documents that the rules keep, without the lines over the limit, and with the columns of the input (``n_chars`` counted anew)."""
+    judged = _judged(_keyed(docs, host, ["text"]), min_docs, max_share, min_left).select("host", "text_hash", "kept", "removed_lines")
+    kept = tools.materialise(judged, "quality-verdicts").filter("kept").dropDuplicates(["host", "text_hash"]).drop("kept")
+    rows = _keyed(docs, host, docs.columns).select("row", "host", "text_hash").join(kept, ["host", "text_hash"])
+    # The lines are split once, in a struct of their own, and those that stay are put together again.
+    split = F.struct(F.split("row.text", "\n", -1).alias("lines"), F.col("removed_lines").alias("removed"))
+    shorter = F.element_at(F.transform(F.array(split), lambda x: F.array_join(F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(x["lines"]) - 1), x["removed"]), lambda i: F.get(x["lines"], i)), "\n")), 1)
+    cut = F.size("removed_lines") > 0
+    rows = rows.withColumn("left", F.when(cut, shorter).otherwise(F.col("row.text")))
+    new = {"text": F.col("left")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(cut, F.length("left").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars"))
+    return rows.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

@@ -21,8 +21,8 @@ def counts(text):
     return (len(words), sum(map(len, words)), sum(text.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(covered), failed)
 
 
-def brute(rows, min_docs, max_share, min_left):
-    """Verdict per row, from the definition."""
+def over_limit(rows, min_docs, max_share):
+    """Whether a line of a host is over the limit."""
     have, texts = collections.defaultdict(set), collections.defaultdict(set)
     cut = lambda t: [x for x in (t or "").split("\n") if WORD.search(x)]
     norm = lambda x: re.sub(r"[\x20\x09-\x0D]+", " ", x).strip(" ").lower()
@@ -30,9 +30,20 @@ def brute(rows, min_docs, max_share, min_left):
         for line in cut(text):
             have[host or "", norm(line)].add(text)
             texts[host or ""].add(text)
-    out = []
+    return lambda host, x: len(have[host or "", norm(x)]) > max(min_docs, max_share * len(texts[host or ""]))
+
+
+def left(rows, min_docs=quality_rules.MIN_DOCS, max_share=quality_rules.MAX_SHARE):
+    """The texts without the lines over the limit."""
+    over = over_limit(rows, min_docs, max_share)
+    return [None if text is None else "\n".join(x for x in text.split("\n") if not (WORD.search(x) and over(host, x))) for _, text, host in rows]
+
+
+def brute(rows, min_docs, max_share, min_left):
+    """Verdict per row, from the definition."""
+    over, out = over_limit(rows, min_docs, max_share), []
     for _, text, host in rows:
-        removed = sum(len(WORD.findall(x)) for x in cut(text) if len(have[host or "", norm(x)]) > max(min_docs, max_share * len(texts[host or ""])))
+        removed = sum(len(WORD.findall(x)) for x in (text or "").split("\n") if WORD.search(x) and over(host, x))
         c = counts(text)
         out.append((*c, removed, not c[5] and not c[0] - removed < min_left * c[0]))
     return out
@@ -65,8 +76,21 @@ def test_hot_host_and_depleted_documents(make):
     banner = "subscribe to the daily letter of this site for more news"
     rows = [(i, f"{body(i)}\n{banner}", "hot" if i % 3 else f"host{i}") for i in range(300)]
     rows += [(1000 + i, f"{banner}\nx{i} y", "hot") for i in range(5)] + [(2000 + i, body(-1), "hot") for i in range(120)]
-    kept = {r["doc_id"] for r in quality_rules.kept_documents(make(rows)).collect()}
-    assert kept == {r[0] for r in rows} - {1000 + i for i in range(5)}  # 120 copies count as one text, so they stay
+    kept = {r["doc_id"]: (r["text"], r["n_chars"]) for r in quality_rules.kept_documents(make(rows)).collect()}
+    assert set(kept) == {r[0] for r in rows} - {1000 + i for i in range(5)}  # 120 copies count as one text, so they stay
+    for i, text, host in rows:
+        if i in kept:
+            want = body(i) if host == "hot" and i < 1000 else text
+            assert kept[i] == (want, len(want) if want != text else None)
+
+
+def test_lines_over_the_limit_are_removed(make):
+    banner, other = "subscribe to the  daily letter", "all rights of this page\tare ours"
+    body = lambda i: "\n".join(f"own line {i} {j} with words" for j in range(5))
+    rows = [(i, f"{banner.upper()}\n\n{body(i)}\n{other}\n{banner}", "h") for i in range(20)] + [(50, f"{body(50)}\n{banner}", "other"), (50, f"{body(50)}\n{banner}", "other")]
+    got = collections.Counter((r["doc_id"], r["text"]) for r in quality_rules.kept_documents(make(rows).repartition(4)).collect())
+    assert got == collections.Counter((r[0], t) for r, t in zip(rows, left(rows)))
+    assert got[3, "\n" + body(3)] == 1 and got[50, f"{body(50)}\n{banner}"] == 2
 
 
 @settings(max_examples=15, deadline=None)
