@@ -100,3 +100,26 @@ def test_components(spark):
         for a, b in links:
             root[a] = root[b] = min(root[a], root[b])
     assert got == {x: r for x, r in root.items() if any(x in p and p[0] != p[1] for p in links)}
+
+
+def test_one_row_of_each_group_by_id_and_text(make):
+    """Rows of one id and text are one; a text that shares its id with a copy stays; a null id is the last choice."""
+    same, near = " ".join(f"w{i}" for i in range(60)), " ".join(f"w{i}" for i in range(59)) + " x"
+    alone = [" ".join(f"{c}{i}" for i in range(40)) for c in "pqr"]
+    rows = [(1, same), (1, same), (2, near), (2, alone[0]), (3, same), (None, same), (None, alone[1]), (None, alone[1]), (4, None), (4, None), (5, ""), (6, alone[2])]
+    docs = make(rows)
+    got = collections.Counter((r["doc_id"], r["text"]) for r in jaccard_join.one_per_group(docs).collect())
+    assert got == collections.Counter([(1, same), (2, alone[0]), (None, alone[1]), (4, None), (5, ""), (6, alone[2])])
+    assert jaccard_join.one_per_group(docs.limit(0)).count() == 0
+
+
+def test_pairs_under_many_tops_meet_once(make, monkeypatch):
+    """Near copies that are not linked with one another share many tops; the answer does not depend on how many a leaf remembers."""
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(10 ** 6)}" for _ in range(150)]
+    rows = [(i, edited(base, rng, 7)) for i in range(60)]
+    want = brute(rows)
+    for earlier, guides in ((8, 2), (1, 0)):
+        monkeypatch.setattr(jaccard_join, "EARLIER", earlier)
+        monkeypatch.setattr(jaccard_join, "GUIDES", guides)
+        assert found(make(rows)) == want
