@@ -86,7 +86,7 @@ def test_hot_host_and_depleted_documents(make):
 
 def test_lines_over_the_limit_are_removed(make):
     banner, other = "subscribe to the  daily letter", "all rights of this page\tare ours"
-    body = lambda i: "\n".join(f"own line {i} {j} with words" for j in range(5))
+    body = lambda i: "\n".join(" ".join(f"w{i}x{j}{c}" for c in "abcdef") for j in range(5))
     rows = [(i, f"{banner.upper()}\n\n{body(i)}\n{other}\n{banner}", "h") for i in range(20)] + [(50, f"{body(50)}\n{banner}", "other"), (50, f"{body(50)}\n{banner}", "other")]
     got = collections.Counter((r["doc_id"], r["text"]) for r in quality_rules.kept_documents(make(rows).repartition(4)).collect())
     assert got == collections.Counter((r[0], t) for r, t in zip(rows, left(rows)))
