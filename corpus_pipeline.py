@@ -1,8 +1,8 @@
 """Training-text pipeline: five stages over ``documents``, each written as Parquet and read again by the next.
 
 quality rules -> line dedup -> near duplicates -> benchmark decontamination -> packing. All but the last return the
-columns of ``documents``. A rejected document goes; line dedup shortens texts and drops what it leaves empty; of each
-component of near duplicates the smallest doc_id stays; documents that hold a benchmark item go; the rest is packed.
+columns of ``documents``. A rejected document goes, kept ones lose the lines over the limit of their host; line dedup shortens
+texts and drops what it leaves empty; of each component of near duplicates one document stays, by the smallest doc_id; documents that hold a benchmark item go; the rest is packed.
 """
 
 from __future__ import annotations
