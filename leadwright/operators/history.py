@@ -57,7 +57,8 @@ def version_on(moments: DataFrame, key: str, at: str, index: DataFrame) -> DataF
     up = F.transform(F.sequence(F.lit(0), F.lit(LEVELS)), lambda i: F.struct(
         i.alias("level"), F.floor(number / F.pow(F.lit(2), i)).cast("int").alias("node")))
     asked = days.where(number.between(0, 2**LEVELS - 1)).select("_k", "_day", F.explode(up).alias("_n")).select("_k", "_day", "_n.level", "_n.node")
-    return asked.join(index, ["_k", "level", "node"]).groupBy("_k", "_day").agg(F.max("_best").alias("_version"))
+    # A moment asks for 17 nodes, which the planner's estimate of an explode does not count: without the hint the larger side may be broadcast.
+    return asked.hint("merge").join(index.hint("merge"), ["_k", "level", "node"]).groupBy("_k", "_day").agg(F.max("_best").alias("_version"))
 
 
 def valid_version_join(

@@ -6,7 +6,7 @@ import random
 import pytest
 
 from conftest import plan_text
-from leadwright.operators.history import interval_index, valid_and_last, valid_version_join
+from leadwright.operators.history import interval_index, valid_and_last, valid_version_join, version_on
 
 D, T = datetime.date(2024, 1, 1), datetime.datetime(2024, 1, 1)
 HISTORY = "user long, seen timestamp_ntz, start date, end date, n int, row string"
@@ -75,3 +75,12 @@ def test_days_outside_the_tree(spark):
     given = spark.createDataFrame([(1, 1, datetime.datetime(1960, 5, 5), 0), (2, 1, datetime.datetime(2149, 6, 5), 0)], LEADS)
     rows = spark.createDataFrame([(1, None, datetime.date(1900, 1, 1), far, 7, "x")], HISTORY)
     assert {r["lead"]: r["valid_n"] for r in valid_version_join(given, rows, "user", "at", "start", "end", ["n"]).collect()} == {1: None, 2: 7}
+
+
+def test_no_side_of_the_node_lookup_is_broadcast(spark, tmp_path):
+    """A day is 17 rows in the lookup; an estimate that takes it for one row must not send them through the driver."""
+    leads, history = frames(spark, [(i, i % 5, i * 7, 0) for i in range(60)], [(i % 5, i, i // 24, None, i, "r") for i in range(60)])
+    leads.write.parquet(str(tmp_path / "leads")), history.write.parquet(str(tmp_path / "history"))
+    leads, history = spark.read.parquet(str(tmp_path / "leads")), spark.read.parquet(str(tmp_path / "history"))
+    index = interval_index(history, "user", "start", "end", ["start", "n"], ["n"])
+    assert "Broadcast" not in plan_text(version_on(leads, "user", "at", index))
