@@ -60,7 +60,8 @@ def _events(sources: list[Source], key: str, at_type: str, keys: DataFrame, limi
         ts = as_col(source.ts)
         if source.df.select(ts).dtypes[0][1] != at_type:
             ts = ts.cast(at_type)
-        known = source.df.where((ts < limit) if strict else (ts <= limit))
+        # Both conditions hold in any case; named here, every use of the events has the same plan, and they are shuffled once.
+        known = source.df.where(((ts < limit) if strict else (ts <= limit)) & as_col(key).isNotNull() & F.to_date(ts).isNotNull())
         lasts = {n: col for n, (how, col) in source.measures.items() if how == "last"}
         some = reduce(lambda a, b: a | b, [c.isNotNull() for c in lasts.values()], F.lit(False))
         row = [F.when(some, F.struct(*[c.alias(n) for n, c in lasts.items()])).alias(f"_last{i}")] if lasts else []
@@ -120,7 +121,7 @@ def point_in_time(
     probe_kind, event_kind = (0, 1) if strict else (1, 0)
     asked = moments.select("_k", "_at", F.explode(points).alias("_p")).select(
         "_k", "_at", F.col("_p.tag").alias("_tag"), F.col("_p.ts").alias("_ts"), F.lit(probe_kind).alias("_kind")
-    )
+    ).where(F.to_date("_ts").isNotNull())
     events = _events(sources, key, at_type, moments.select("_k").distinct(), limit, strict)
     folded = events.groupBy("_k", "_ts").agg(*[_SAME_INSTANT[how](n).alias(n) for n, how in held.items()])
     rows = asked.unionByName(folded.withColumn("_kind", F.lit(event_kind)), allowMissingColumns=True)

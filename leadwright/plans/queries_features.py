@@ -11,7 +11,7 @@ from leadwright.operators import temporal as tp
 from leadwright.operators.history import valid_and_last
 from leadwright.plans import features as ft
 from leadwright.plans import oracle as oc
-from leadwright.plans.registry import SPAN, TIERS, feature_stage, lead_stage, query, role
+from leadwright.plans.registry import SPAN, TIERS, event_stage, feature_stage, lead_stage, query, role, sources
 from leadwright.plans.runs import run_stages
 from leadwright.session import materialise, shared_dir
 from leadwright.sources import roles
@@ -23,7 +23,7 @@ _LEAD_OUT = ["task_id", *ft.LEAD_COLUMNS, "through_flag", "fst_through_flag", "t
 
 @query("stage_lead_base", f"SELECT {', '.join(_LEAD_OUT)} FROM base_leads")
 def stage_lead_base(spark, sf):
-    rows = ft.lead_base(roles.load_roles(spark, sf), SPAN)
+    rows = ft.lead_base(sources(spark, sf), SPAN)
     rounded = {c: F.round(c, 4) for c in ("t7_origin", "t14_origin")}
     return rows.withColumns(rounded).select(*_LEAD_OUT)
 
@@ -44,7 +44,7 @@ _SHARE_OUT = ["share_cnt", "datediff_lastshare", "sdb_app_start_flag"]
 
 
 def _with_base(spark, sf, groups):
-    src = roles.load_roles(spark, sf)
+    src = sources(spark, sf)
     leads = lead_stage(spark, sf).withColumns({c: F.round(c, 4) for c in ("t7_origin", "t14_origin")}).select(*_LEAD_OUT)
     rows = ft.add_point_in_time(leads, src, SPAN, groups)
     if "shares" in groups:
@@ -109,12 +109,12 @@ def gift_order_count(spark, sf):
 @query("final_feature_table", f"SELECT {', '.join(ft.FINAL_COLUMNS)}, alloc_time, last_visit_time FROM features")
 def final_feature_table(spark, sf):
     """The whole feature build in one plan, from the source roles to one row per lead."""
-    return ft.feature_table(roles.load_roles(spark, sf), SPAN, TIERS)
+    return ft.feature_table(sources(spark, sf), SPAN, TIERS)
 
 
 @query("final_feature_table_reference", f"SELECT {', '.join(ft.FINAL_COLUMNS)} FROM features_reference")
 def final_feature_table_reference(spark, sf):
-    return ft.feature_table_reference(roles.load_roles(spark, sf), SPAN, TIERS)
+    return ft.feature_table_reference(sources(spark, sf), SPAN, TIERS)
 
 
 _AUDITED = {**{f"last_visit_{g}": f"last_visit_time_{g}" for g in ft.VISITS}, "last_view": "last_view", "last_order": "last_order",
@@ -130,7 +130,7 @@ _AUDIT_ORDERS = {"lead_order_times": """SELECT l.task_id, max(o.create_time) AS
     for n, c in _AUDITED.items()), _AUDIT_ORDERS)
 def leakage_audit(spark, sf):
     """The newest event behind every timed feature, against the allocation."""
-    src = roles.load_roles(spark, sf)
+    src = sources(spark, sf)
     leads = ft.add_point_in_time(lead_stage(spark, sf).select("task_id", *ft.LEAD_COLUMNS), src, SPAN, list(ft.VISITS))
     views = ft.page_view_rows(src["user_action"], SPAN)
     logs = [(views, "operation_time", {"last_view": F.col("operation_time")}),
@@ -184,7 +184,7 @@ def store_of(spark, sf):
     """The given tables as a store of stamped copies, written once a session."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _STORES:
-        _STORES[key] = roles.write_store(spark, sf, f"{shared_dir(spark)}/store-{uuid.uuid4().hex}")
+        _STORES[key] = roles.write_store(spark, sf, f"{shared_dir(spark)}/store-{uuid.uuid4().hex}", event_stage(spark, sf))
     return Catalogue(_STORES[key], ft.source_rules(SPAN))
 
 
@@ -252,7 +252,7 @@ def _changed_sql(build: str, table: str) -> str:
        {**_FIRST, **oc.variant("features", _CUT_ROLES, "_cut"), **oc.variant("features_reference", _CUT_ROLES, "_cut")})
 def leakage_perturbation(spark, sf):
     """Per feature the first leads whose value changes when everything from their allocation on is taken away, for both builds."""
-    src = roles.load_roles(spark, sf)
+    src = sources(spark, sf)
     leads = lead_stage(spark, sf).where(F.col("user_id").isNotNull())
     first = materialise(tp.first_by(leads, "user_id", ["alloc_time", "task_id"], ["task_id", "alloc_time"]).withColumnRenamed("alloc_time", "cut"), "first-leads")
     builds = {"lead": lambda s: ft.feature_table(s, SPAN, TIERS, lead_stage(spark, sf)), "user_level": lambda s: ft.feature_table_reference(s, SPAN, TIERS)}

@@ -15,7 +15,7 @@ from leadwright.operators import woe as wo
 from leadwright.operators.monitor_state import MonitorState
 from leadwright.plans import features as ft
 from leadwright.plans import oracle as oc
-from leadwright.plans.registry import SPAN, TIERS, feature_stage, query
+from leadwright.plans.registry import SPAN, TIERS, feature_stage, query, sources
 from leadwright.plans.scoring import daily_scoring as run_daily
 from leadwright.plans.training import NOT_FEATURES, train_scorecard
 from leadwright.session import materialise, shared_dir
@@ -561,7 +561,7 @@ def delivery_changes(spark, sf):
 
 @query("daily_scoring", "SELECT * FROM ranked")
 def daily_scoring(spark, sf):
-    return run_daily(roles.load_roles(spark, sf), SPAN, TIERS).select(*RANK_COLUMNS)
+    return run_daily(sources(spark, sf), SPAN, TIERS).select(*RANK_COLUMNS)
 
 
 # ---------------------------------------------------------------- monitoring

@@ -53,13 +53,23 @@ def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return roles.role(spark, sf_dir, name)
 
 
+def event_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events with their JSON field extracted: fourteen roles read it, most of them several times."""
+    return stage(spark, sf_dir, "events", lambda: roles.extracted_events(spark, sf_dir))
+
+
+def sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All roles, over the extracted events."""
+    return roles.load_roles(spark, sf_dir, event_stage(spark, sf_dir))
+
+
 def lead_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lead base as a stage table: the later stages read it several times."""
-    return stage(spark, sf_dir, "lead_base", lambda: ft.lead_base(roles.load_roles(spark, sf_dir), SPAN))
+    return stage(spark, sf_dir, "lead_base", lambda: ft.lead_base(sources(spark, sf_dir), SPAN))
 
 
 def feature_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feature table as a stage table, the input of training and scoring."""
     def build() -> DataFrame:
-        return ft.feature_table(roles.load_roles(spark, sf_dir), SPAN, TIERS, lead_stage(spark, sf_dir))
+        return ft.feature_table(sources(spark, sf_dir), SPAN, TIERS, lead_stage(spark, sf_dir))
     return stage(spark, sf_dir, "features", build)

@@ -9,7 +9,7 @@ FIXTURES.md describes the roles.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -31,6 +31,8 @@ SPARK = Dialect(
     plus_days="date_add({d}, cast({n} as int))",
     day_number="datediff(cast({t} as date), date '2024-01-01')",
 )
+#: The same over ``extracted_events``, where the one JSON field the roles use stands in a column.
+EXTRACTED = replace(SPARK, json_k="k_text")
 DUCK = Dialect(
     json_k="json_extract_string(props, '$.k')",
     minus_days="({t} - to_days(cast({n} as int)))",
@@ -171,9 +173,16 @@ def given(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def extracted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events with the JSON field that the roles use as text, ``k_text``. Most roles read it several times per row, so a build
+    that reads all roles does better to write these once."""
+    return given(spark, sf_dir, "events").select(
+        "event_id", "ts", "user_id", "event_type", "value", F.expr(f"{SPARK.json_k} AS k_text"))
+
+
 def role(spark: SparkSession, sf_dir: str, name: str, opened: dict[str, DataFrame] | None = None) -> DataFrame:
-    """A role as a lazy DataFrame over the given Parquet tables; ``opened`` holds tables opened before."""
-    sql = role_sql(name, SPARK)
+    """A role as a lazy DataFrame over the given Parquet tables; ``opened`` holds tables opened before, the events either as given or extracted."""
+    sql = role_sql(name, EXTRACTED if opened and "events" in opened and "k_text" in opened["events"].columns else SPARK)
     opened = {} if opened is None else opened
     tables = {}
     for table in sorted(set(_GIVEN.findall(sql))):
@@ -183,8 +192,9 @@ def role(spark: SparkSession, sf_dir: str, name: str, opened: dict[str, DataFram
     return spark.sql(_GIVEN.sub(r"{\1}", sql), **tables)
 
 
-def load_roles(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    opened: dict[str, DataFrame] = {}
+def load_roles(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All roles; ``events`` are the extracted events, if they have been written."""
+    opened: dict[str, DataFrame] = {} if events is None else {"events": events}
     return {name: role(spark, sf_dir, name, opened) for name in ROLES}
 
 
@@ -231,10 +241,10 @@ def copied_roles() -> list[str]:
     return [r for r in ROLES if r not in INCREMENT_ROLES and r not in UNSTAMPED_ROLES]
 
 
-def write_store(spark: SparkSession, sf_dir: str, folder: str) -> dict[str, str]:
+def write_store(spark: SparkSession, sf_dir: str, folder: str, events: DataFrame | None = None) -> dict[str, str]:
     """Write every role as a table of the store; the path of each."""
     paths = {}
-    for name, rows in load_roles(spark, sf_dir).items():
+    for name, rows in load_roles(spark, sf_dir, events).items():
         path = paths[name] = f"{folder}/{name}"
         if name in UNSTAMPED_ROLES:
             rows.write.mode("overwrite").parquet(path)

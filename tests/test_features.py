@@ -88,3 +88,15 @@ def test_perturbation_finds_leaks_that_no_time_shows(spark, small):
 
     found = {r["feature"]: (r["rows"], r["changed"]) for r in ft.leakage_by_perturbation(src, leaky, first, ["agent_type", "visits", "views"]).collect()}
     assert found["agent_type"] == (first.count(), 0) and found["visits"][1] > 0 and found["views"][1] > 0
+
+
+def test_timeline_and_totals_share_one_shuffle(spark, small):
+    """The running values and the day totals read the same shuffled rows, also where a second moment is asked for."""
+    table = ft.add_point_in_time(rg.lead_stage(spark, small), rg.sources(spark, small), rg.SPAN, ft.FINAL_GROUPS)
+    exchanges, todo = [], [table._jdf.queryExecution().executedPlan().executedPlan()]
+    while todo:
+        node = todo.pop()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+        if node.nodeName() == "Exchange" and "REPARTITION_BY_COL" in node.simpleString(50):
+            exchanges.append(node)
+    assert len(exchanges) == 2 and exchanges[0].sameResult(exchanges[1])

@@ -95,3 +95,13 @@ def test_repeated_delivery_changes_nothing(spark, tmp_path):
     got = {(str(r["run_date"]), r["id"], r["change"]) for r in spark.read.parquet(changes).collect()}
     first = {("2024-01-01", i, "new") for i in range(3)}
     assert got == first | {("2024-01-02", 1, "moved"), ("2024-01-02", 2, "moved"), ("2024-01-02", 3, "new"), ("2024-01-02", 4, "new")}
+
+
+def test_extracted_events_give_the_same_roles(spark, small):
+    """The JSON field is read once per event, whatever the number of roles and of its uses in a role."""
+    events = materialise(roles.extracted_events(spark, small), "events")
+    extracted, given = roles.load_roles(spark, small, events), roles.load_roles(spark, small)
+    for name in roles.ROLES:
+        assert extracted[name].dtypes == given[name].dtypes
+        assert sorted(map(str, extracted[name].collect())) == sorted(map(str, given[name].collect())), name
+        assert "get_json_object" not in plan_text(extracted[name])
