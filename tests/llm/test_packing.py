@@ -85,3 +85,19 @@ def test_words_have_the_ids_of_the_tokenizer(text):
     words = test_words_have_the_ids_of_the_tokenizer.__dict__.setdefault("words", packing.WordIds(packing.tokenizer_path()))
     got = np.frombuffer(b"".join(map(words.__getitem__, text.encode().split())), "<u4").tolist()
     assert got == words.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_words_of_a_task_stay_in_the_cache():
+    """A task's worth of different words is tokenised once, not once per pass over them."""
+    class Counted(packing.WordIds):
+        calls = 0
+
+        def ids(self, word):
+            self.calls += 1
+            return [7, 300_000]
+
+    words = Counted(packing.tokenizer_path())
+    vocabulary = [str(i).encode() for i in range(300_000)]
+    for _ in range(2):
+        assert {words[w] for w in vocabulary} == {bytes([7, 0, 0, 0]) + (300_000).to_bytes(4, "little")}
+    assert words.calls == len(vocabulary)
