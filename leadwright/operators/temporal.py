@@ -1,10 +1,10 @@
 """Point-in-time operators: what was known about a key strictly before a moment.
 
 ``point_in_time`` puts the moments asked for ("probes") and the events of any number of sources on
-one timeline per key and day, and reads running aggregates off it; a small table carries the aggregates
-of a key's earlier days. No pair of probe and event is ever formed, so the work is linear in the rows, and
-no key is handled as a whole: a key with very many rows is spread over its days, a day with very many over its
-minutes or seconds, and copies at one instant are folded before they are shuffled. Only events of the keys
+one timeline per key, and reads running aggregates off it. No pair of probe and event is ever formed, so the
+work is linear in the rows, and no large key is handled as a whole: a key with very many rows is spread over its
+days, a day with very many over its minutes or seconds, a small table carries the aggregates of the earlier
+ones, and copies at one instant are folded before they are shuffled. Only events of the keys
 asked for, up to the last moment asked for, are read on. Nothing runs before the result is asked for.
 """
 
@@ -48,19 +48,19 @@ _WITH_CARRY = {
 }
 
 
-#: Instants of one key and day from which on the day is cut into minutes, and times 1,000 into seconds. Fewer than one in so
-#: many rows can be such a day, which bounds the table of them that is broadcast.
+#: Events of one key and day from which on the day is cut into minutes, and times 1,000 into seconds. A tenth of it in all is
+#: what makes a key hot: its days are then handled apart. Fewer than ten in so many rows can be such a key, and fewer than
+#: one such a day, which bounds the table of them that is broadcast.
 HOT_ROWS = 2_000_000
 
 
-def _events(sources: list[Source], key: str, at_type: str, keys: DataFrame, limit: Column, strict: bool) -> DataFrame:
+def _events(sources: list[Source], key: str, at_type: str, limit: Column, strict: bool) -> DataFrame:
     """The events that can count; ``last`` measures as one row column per source."""
     events = None
     for i, source in enumerate(sources):
         ts = as_col(source.ts)
         if source.df.select(ts).dtypes[0][1] != at_type:
             ts = ts.cast(at_type)
-        # Both conditions hold in any case; named here, every use of the events has the same plan, and they are shuffled once.
         known = source.df.where(((ts < limit) if strict else (ts <= limit)) & as_col(key).isNotNull() & F.to_date(ts).isNotNull())
         lasts = {n: col for n, (how, col) in source.measures.items() if how == "last"}
         some = reduce(lambda a, b: a | b, [c.isNotNull() for c in lasts.values()], F.lit(False))
@@ -68,21 +68,24 @@ def _events(sources: list[Source], key: str, at_type: str, keys: DataFrame, limi
         part = known.select(
             as_col(key).alias("_k"), ts.alias("_ts"),
             *[col.alias(n) for n, (how, col) in source.measures.items() if how != "last"], *row,
-        ).join(keys, "_k", "left_semi")
+        )
         events = part if events is None else events.unionByName(part, allowMissingColumns=True)
     return events
 
 
-def _sliced(rows: DataFrame, folded: DataFrame, measures: list[str], hot_rows: int) -> DataFrame:
-    """``rows`` with ``_slice``: 0, but for keys and days with very many instants the minute or second of the day."""
-    # The hash names every column, so that the folded events are shuffled once for the counts and for the timeline.
-    counts = folded.groupBy("_k", F.to_date("_ts").alias("_day")).agg(
-        F.count(F.lit(1)).alias("_n"), F.max(F.xxhash64(*measures)).alias("_any"))
-    hot = counts.where((F.col("_n") > hot_rows) & F.col("_any").isNotNull()).select(
-        "_k", "_day", F.when(F.col("_n") > hot_rows * 1000, 1).otherwise(60).alias("_width"))
+def _sliced(rows: DataFrame, events: DataFrame, measures: list[str], hot_rows: int) -> DataFrame:
+    """``rows`` with ``_day`` and ``_slice``: one place, the slice -1, for most keys; for those with very many ``events`` the
+    day, and for their days with very many the minute or second of the day. ``measures`` are not read: the counts need keys and times alone."""
+    days = events.drop(*measures).groupBy("_k", F.to_date("_ts").alias("_d")).agg(F.count(F.lit(1)).alias("_n"))
+    width = F.when(F.col("_n") > hot_rows * 1000, 1).when(F.col("_n") > hot_rows, 60)
+    cut = F.collect_list(F.when(width.isNotNull(), F.struct("_d", width)))  # without NULLs: hot days only
+    hot = days.groupBy("_k").agg(F.sum("_n").alias("_n"), F.map_from_entries(cut).alias("_widths")).where(
+        F.col("_n") * 10 > hot_rows).select("_k", "_widths")
     second = F.hour("_ts") * 3600 + F.minute("_ts") * 60 + F.second("_ts")
-    met = rows.withColumn("_day", F.to_date("_ts")).join(F.broadcast(hot), ["_k", "_day"], "left")
-    return met.withColumn("_slice", F.coalesce(F.floor(second / F.col("_width")).cast("int"), F.lit(0))).drop("_width")
+    met, many = rows.join(F.broadcast(hot), "_k", "left"), F.col("_widths").isNotNull()
+    day = F.coalesce(F.when(many, F.to_date("_ts")), F.lit("1970-01-01").cast("date"))  # never NULL, so that no test for it is pushed down
+    place = F.when(many, F.coalesce(F.floor(second / F.col("_widths")[F.to_date("_ts")]).cast("int"), F.lit(0)))
+    return met.withColumns({"_day": day, "_slice": F.coalesce(place, F.lit(-1))}).drop("_widths")
 
 
 def point_in_time(
@@ -122,24 +125,27 @@ def point_in_time(
     asked = moments.select("_k", "_at", F.explode(points).alias("_p")).select(
         "_k", "_at", F.col("_p.tag").alias("_tag"), F.col("_p.ts").alias("_ts"), F.lit(probe_kind).alias("_kind")
     ).where(F.to_date("_ts").isNotNull())
-    events = _events(sources, key, at_type, moments.select("_k").distinct(), limit, strict)
+    found = _events(sources, key, at_type, limit, strict)
+    events = found.join(moments.select("_k").distinct(), "_k", "left_semi")
     folded = events.groupBy("_k", "_ts").agg(*[_SAME_INSTANT[how](n).alias(n) for n, how in held.items()])
     rows = asked.unionByName(folded.withColumn("_kind", F.lit(event_kind)), allowMissingColumns=True)
     place = ["_k", "_day", "_slice"]
     # Shuffled once, for the running values and for the totals: both name every column.
-    rows = _sliced(rows, folded, list(held), hot_rows).repartition(*place)
+    rows = _sliced(rows, found, list(held), hot_rows).repartition(*place)
     inside = Window.partitionBy(*place).orderBy("_ts", "_kind").rowsBetween(Window.unboundedPreceding, 0)
     running = rows.select(
         *place, "_at", "_tag", *[_RUNNING[how](n).over(inside).alias(n) for n, how in held.items()]
     ).where(F.col("_tag").isNotNull())
-    # One row per key and slice of a day; the slices of one key are few, however many rows they hold.
-    totals = rows.groupBy(*place).agg(
+    # One row per slice of a hot key; the slices of one key are few, however many rows they hold. With the (never met) test of the
+    # task's number it stays above the shuffle, which would not be shared otherwise.
+    sliced = (F.col("_slice") >= 0) | (F.spark_partition_id() < 0)
+    totals = rows.where(sliced).groupBy(*place).agg(
         F.max(F.xxhash64("_at", "_tag", "_kind")).alias("_any"),
         *[(F.max_by(n, F.when(F.col(n).isNotNull(), F.col("_ts"))) if how == "last" else _SAME_INSTANT[how](n)).alias(n)
           for n, how in held.items()]).where(F.col("_any").isNotNull())
     before = Window.partitionBy("_k").orderBy("_day", "_slice").rowsBetween(Window.unboundedPreceding, -1)
     carries = totals.select(*place, *[_RUNNING[how](n).over(before).alias(f"_c_{n}") for n, how in held.items()])
-    known = running.join(carries, place).select(
+    known = running.join(carries, place, "left").select(
         "_k", "_at", "_tag", *[_WITH_CARRY[how](F.col(n), F.col(f"_c_{n}")).alias(n) for n, how in held.items()])
     known = known.select("_k", "_at", "_tag", *kinds, *[F.col(f"{row}.{n}").alias(n) for row, names in lasts.items() for n in names])
     measures = [*kinds, *[n for names in lasts.values() for n in names]]

@@ -220,7 +220,10 @@ def tag_features(tag: DataFrame, tiers: Tiers) -> DataFrame:
     return tag.select("user_id", *kept, *[c.alias(n) for n, c in classes.items()])
 
 
-def add_tags(leads: DataFrame, tag: DataFrame, tiers: Tiers) -> DataFrame:
+def add_tags(leads: DataFrame, tag: DataFrame, tiers: Tiers, users: DataFrame | None = None) -> DataFrame:
+    """``users`` is a stage table with all users of ``leads``: the cities of others are then not matched against the tiers."""
+    if users is not None:
+        tag = tag.join(users.select("user_id").distinct(), "user_id", "left_semi")
     joined = leads.join(tag_features(tag, tiers), "user_id", "left")
     recency = {name: days_between("alloc_date", column) for column, name in fx.TAG_TIMES.items()}
     return joined.withColumns(recency).drop(*fx.TAG_TIMES)
@@ -398,7 +401,7 @@ def feature_table(src: Sources, span: Span, tiers: Tiers = DEFAULT_TIERS, leads:
     base = materialise(lead_base(src, span), "lead_base") if leads is None else leads
     base = base.drop("channel_type", "channel", "subchannel")
     rows = add_point_in_time(base, src, span, FINAL_GROUPS)
-    return final_columns(add_follow_tags(add_user_agent(add_tags(rows, src["user_tag"], tiers), src["user_ua"]), src["wx_detail"], span))
+    return final_columns(add_follow_tags(add_user_agent(add_tags(rows, src["user_tag"], tiers, base), src["user_ua"]), src["wx_detail"], span))
 
 
 def final_columns(rows: DataFrame) -> DataFrame:
@@ -429,7 +432,7 @@ def feature_stages(span: Span, tiers: Tiers = DEFAULT_TIERS) -> list[Stage]:
         return add_point_in_time(base, src, span, FINAL_GROUPS)
 
     def users(src: Sources, _) -> DataFrame:
-        rows = add_user_agent(add_tags(src["timeline"], src["user_tag"], tiers), src["user_ua"])
+        rows = add_user_agent(add_tags(src["timeline"], src["user_tag"], tiers, src["timeline"]), src["user_ua"])
         return add_follow_tags(rows, src["wx_detail"], span)
 
     return [
@@ -510,7 +513,7 @@ def feature_table_reference(src: Sources, span: Span, tiers: Tiers = DEFAULT_TIE
     rows = tasks
     for part in (users, gift_counts_by_user(last_days, src["ins_order"]), latest_order_channels(src["ins_order"]), shares, apps):
         rows = rows.join(part, "user_id", "left")
-    rows = add_user_agent(add_tags(rows, src["user_tag"], tiers), src["user_ua"])
+    rows = add_user_agent(add_tags(rows, src["user_tag"], tiers, leads), src["user_ua"])
     rows = add_follow_tags(rows, src["wx_detail"], span, "_max_day")
     day = {  # the behaviour recencies use the user's last allocation day, the log recencies the lead's own
         **{f"datediff_{f}_visit_{g}": days_between("_max_day", f"_{f}_{g}") for g in ("cf", "hz") for f in ("first", "last")},

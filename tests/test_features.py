@@ -100,3 +100,12 @@ def test_timeline_and_totals_share_one_shuffle(spark, small):
         if node.nodeName() == "Exchange" and "REPARTITION_BY_COL" in node.simpleString(50):
             exchanges.append(node)
     assert len(exchanges) == 2 and exchanges[0].sameResult(exchanges[1])
+
+
+def test_only_asked_users_are_matched_against_the_tiers(spark, small):
+    users = spark.createDataFrame([(1,), (2,), (2,)], "user_id bigint")
+    leads = users.select("user_id", F.lit("2024-01-20").cast("date").alias("alloc_date"))
+    tag = roles.role(spark, small, "user_tag")
+    found = ft.add_tags(leads, tag, rg.TIERS, leads)
+    assert "LeftSemi" in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(found.collect(), key=str) == sorted(ft.add_tags(leads, tag, rg.TIERS).collect(), key=str)

@@ -184,3 +184,11 @@ def test_first_and_latest_by_key(spark):
     rows = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), ("b", 5, "z")], "k string, t int, v string")
     assert {(r.k, r.v) for r in tp.first_by(rows, "k", ["t"], ["v"]).collect()} == {("a", "y"), ("b", "z")}
     assert {(r.k, r.v) for r in tp.latest_by(rows, "k", ["t"], ["v"]).collect()} == {("a", "x"), ("b", "z")}
+
+
+def test_keys_with_few_rows_stay_whole(spark):
+    """A key is one window partition over all its days; only a key with very many rows is cut."""
+    rows = spark.range(3000).select(F.when(F.col("id") < 2000, 0).otherwise(F.col("id") % 10 + 1).cast("bigint").alias("_k"), F.expr(
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(int(id % 20), 0, 0, id)").alias("_ts"))
+    placed = tp._sliced(rows, rows, [], 10_000).select("_k", "_day", "_slice").distinct().groupBy("_k").count().collect()
+    assert {r["_k"]: r["count"] for r in placed} == {0: 20, **{k: 1 for k in range(1, 11)}}
