@@ -117,15 +117,16 @@ def pick(bins: list[Bin], values: list, default=None) -> Column:
 
 def bin_counts(df: DataFrame, bins: list[Bin], target: str) -> DataFrame:
     """Rows, positives and negatives per variable and bin; one pass over ``df`` for all variables."""
-    cells = F.array(*[
-        F.struct(F.lit(v).alias("variable"), pick(bs, [b.bin_id for b in bs]).cast("int").alias("bin_id"))
-        for v, bs in by_variable(bins).items()
-    ])
+    # Variables go by their number, so that no text is copied or hashed per row and variable.
+    variables = by_variable(bins)
+    cells = F.array(*[pick(bs, [b.bin_id for b in bs]).cast("int") for bs in variables.values()])
     known = df.where(F.col(target).isNotNull())
-    long = known.select(F.col(target).alias("_y"), F.explode(cells).alias("_c")).select("_y", "_c.variable", "_c.bin_id")
-    counts = long.where(F.col("bin_id").isNotNull()).groupBy("variable", "bin_id").agg(
+    long = known.select(F.col(target).alias("_y"), F.posexplode(cells).alias("_v", "bin_id"))
+    numbered = long.where(F.col("bin_id").isNotNull()).groupBy("_v", "bin_id").agg(
         F.count(F.lit(1)).alias("n"), F.sum("_y").cast("bigint").alias("pos")
     )
+    names = F.array(*[F.lit(v) for v in variables])
+    counts = numbered.select(names[F.col("_v")].alias("variable"), "bin_id", "n", "pos")
     # The definitions are made on the driver and counted, so the broadcast is bounded.
     if len(bins) > MAX_BINS_TOTAL:
         raise ValueError(f"more than {MAX_BINS_TOTAL} bins")
@@ -209,8 +210,9 @@ def in_cells(bins: DataFrame) -> list[str]:
 def _fine_edges(df: DataFrame, numeric: list[str], n_fine: int) -> dict[str, list[float]]:
     """Limits between the fine cells of each number: every value a cell of its own where they are few, else quantiles."""
     doubles = df.select(*[F.col(v).cast("double").alias(v) for v in numeric])
-    sizes = doubles.agg(*[F.approx_count_distinct(v, 0.02).alias(v) for v in numeric]).first()
-    edges, few = {}, [v for v in numeric if sizes[v] <= 2 * n_fine]
+    # Sketches of 4,096 registers (2 %), kept as one binary buffer a column. They only choose whose values are looked at.
+    sizes = doubles.agg(*[F.hll_sketch_estimate(F.hll_sketch_agg(F.when(F.col(v).isNotNull(), F.xxhash64(v)), 12)).alias(v) for v in numeric]).first()
+    edges, few = {}, [v for v in numeric if (sizes[v] or 0) <= 2 * n_fine]
     if few:
         pairs = F.array(*[F.struct(F.lit(v).alias("variable"), F.col(v).alias("value")) for v in few])
         # About 2 n_fine values of each variable at most.

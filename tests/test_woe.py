@@ -199,3 +199,13 @@ def test_monotone_bins_are_the_least_squares_fit(spark):
     assert got == want
     assert found.agg(F.sum("n")).first()[0] == bins.agg(F.sum("n")).first()[0]
     assert wo.monotonicity(found, F.col("pos") / F.col("n")).where("NOT monotone").count() == 0
+
+
+def test_bins_are_counted_by_number(spark, sample):
+    """No text is made per row and variable: the counts group two numbers."""
+    df = spark.createDataFrame([(1.0, "a", 1), (5.0, "b", 0), (None, None, 1), (7.0, "c", None)], "x double, t string, y int")
+    counts = wo.bin_counts(df, wo.bins_from_breaks({"x": [3], "t": ["a", "b"]}), "y")
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode" in plan and "Aggregate [_v" in plan
+    assert sorted((r.variable, r.bin_id, r.n, r.pos) for r in counts.collect()) == [
+        ("t", 0, 1, 1), ("t", 1, 1, 1), ("t", 2, 1, 0), ("x", 0, 1, 1), ("x", 1, 1, 1), ("x", 2, 1, 0)]
