@@ -13,7 +13,7 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from leadwright.sources.snapshots import write_copy
+from leadwright.sources.snapshots import write_copies
 from leadwright.sources.tables import write_dated
 
 
@@ -251,9 +251,8 @@ def write_store(spark: SparkSession, sf_dir: str, folder: str, events: DataFrame
         elif name in INCREMENT_ROLES:
             write_dated(rows, path)
         else:
-            for stamp in LATE_DAYS.get(name, COPY_DAYS):
-                known = F.expr(_JOINED) if name in _DAYLESS else F.col("dt")
-                write_copy(rows.where(known <= F.lit(stamp).cast("date")), path, stamp)
+            known = F.expr(_JOINED) if name in _DAYLESS else F.col("dt")
+            write_copies(rows, known, path, LATE_DAYS.get(name, COPY_DAYS))
     return paths
 
 

@@ -11,7 +11,7 @@ import datetime
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 Day = datetime.date
 
@@ -96,6 +96,18 @@ def write_copy(rows: DataFrame, path: str, stamp: str, dt: str = "dt") -> None:
     rows.drop(dt).write.mode("overwrite").parquet(f"{path}/{dt}={_day(stamp).isoformat()}")
 
 
+def write_copies(rows: DataFrame, known: Column, path: str, stamps: list[str], dt: str = "dt") -> None:
+    """Write the full copies of several days in one pass: every row goes into each copy from its day ``known`` on. Replaces what lay there; a day
+    before all rows gets an empty copy."""
+    days = F.array(*[F.lit(_day(s)) for s in stamps])
+    copies = rows.withColumn(dt, F.explode(F.filter(days, lambda day: known <= day)))
+    copies.write.mode("overwrite").partitionBy(dt).parquet(path)
+    written = stamps_of(rows.sparkSession, path, dt)
+    for stamp in stamps:
+        if _day(stamp) not in written:
+            write_copy(rows.limit(0), path, stamp, dt)
+
+
 def copies_read(sources: dict[str, DataFrame], chosen: dict[str, list[Day]]) -> DataFrame:
     """role, stamp and rows of every copy a run reads."""
     counted = None

@@ -74,3 +74,16 @@ def test_stamped_copies_give_the_result_of_single_copies(spark, small, store):
     want = ft.feature_table(cut, SPAN, TIERS)
     assert got.columns == want.columns
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() > 0
+
+
+def test_copies_of_several_days_are_written_in_one_pass(spark, tmp_path):
+    """Each copy holds the rows up to its day, a day before all rows has an empty copy, and the rows are read once."""
+    rows = spark.range(100).select("id", F.expr("date_add(date '2024-01-02', int(id % 5))").alias("dt"), F.col("id").alias("v"))
+    read = spark.sparkContext.accumulator(0)
+    seen = rows.rdd.map(lambda r: (read.add(1), (r.id, r.dt, r.v))[1]).toDF(rows.schema)
+    path, days = str(tmp_path / "t"), ["2024-01-01", "2024-01-03", "2024-01-06"]
+    snapshots.write_copies(seen, F.col("dt"), path, days)
+    assert read.value == 100 and snapshots.stamps_of(spark, path) == [D.fromisoformat(d) for d in days]
+    for day, want in zip(days, (0, 40, 100)):
+        copy = snapshots.open_stamps(spark, path, [D.fromisoformat(day)])
+        assert copy.columns == ["id", "v", "dt"] and copy.where(F.col("dt") == day).count() == want
